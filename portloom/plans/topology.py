@@ -257,36 +257,54 @@ def _edge(kind: str, chamber: Column, start: Column, end: Column, vendor: Column
     )
 
 
+def _path_partners(ports: DataFrame, org: DataFrame) -> DataFrame:
+    """Pumps and BYP scrubbers of each path, in one pass over the ports."""
+    pump = is_pump() & (F.col("eqp_posn") == PUMP_POSN)
+    byp = is_scrubber() & (F.col("eqp_posn") == BYP) & F.col("seqp_ch").isNotNull()
+    rows = mapped(ports.where(pump | byp), org)
+    other = F.when(is_pump(), F.col("seqp_id")).otherwise(scrubber_code())
+    return rows.select(*PATH, other.alias("other"), is_pump().alias("is_pump")).distinct()
+
+
 def edges(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Pipe edges of six types between equipment nodes.
 
     An edge links at most a NOR scrubber with one pump or one BYP scrubber of its path, so NOR rows
-    meet pumps and BYP rows in one join of pairs and the pump x NOR x BYP product is never made.
-    BYP rows count only where the path has a pump.
+    of paths with a pump meet both kinds in one join of pairs and the pump x NOR x BYP product is
+    never made. What a pair stands for is reduced to distinct short keys (``x``, ``y``) before the
+    long edge codes are written.
     """
-    pumps = _path_pumps(ports, org)
-    pumped = pumps.select(*PATH).distinct()
-    byps = _path_scrubbers(ports, BYP).join(pumped, PATH, "left_semi")
-    others = pumps.select(*PATH, F.col("pump_code").alias("other"), F.lit(True).alias("is_pump")).unionAll(
-        byps.select(*PATH, F.col("scrubber").alias("other"), F.lit(False).alias("is_pump"))
-    )
-    nors = _path_scrubbers(ports, NOR, "seqp_maker")
+    others = _path_partners(ports, org)
+    pumped = others.groupBy(*PATH).agg(F.max("is_pump").alias("_pumped")).where("_pumped").drop("_pumped")
+    nors = skew_join(_path_scrubbers(ports, NOR, "seqp_maker"), pumped, PATH, "left_semi", rows_per_slice)
     pairs = skew_join(nors, others, PATH, "inner", rows_per_slice)
 
-    cell, nor, other = path_code(), F.col("scrubber"), F.col("other")
-    nor_valve, nor_merge = valve_code(nor, NOR), code_of(nor, "_MERGE")
-    byp_valve, byp_merge = valve_code(other, BYP), code_of(other, "_MERGE")
-    with_pump = F.array(
-        _edge("FORELINE", cell, cell, other),
-        _edge("PS", cell, other, nor_valve),
-        _edge("SD1", cell, nor, nor_merge),
-        _edge("SD2", cell, nor_merge, code_of(F.col("eqp_id"), "_DUCT")),
-    )
-    with_byp = F.array(
-        _edge("SS", cell, nor_valve, byp_valve, F.col("seqp_maker")),
-        _edge("ALLBYPASS", cell, byp_valve, byp_merge),
-    )
-    process = pairs.select(F.inline(F.when(F.col("is_pump"), with_pump).otherwise(with_byp))).distinct()
+    def key(kind: str, x: str, y: str | None = None, vendor: str | None = None) -> Column:
+        none = F.lit(None).cast("string")
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            F.col(x).alias("x"),
+            (F.col(y) if y else none).alias("y"),
+            (F.col(vendor) if vendor else none).alias("vendor"),
+        )
+
+    by_pump = F.array(key("FORELINE", "other"), key("PS", "other", "scrubber"), key("SD", "scrubber"))
+    by_byp = F.array(key("SS", "scrubber", "other", "seqp_maker"), key("ALLBYPASS", "other"))
+    keys = pairs.select(*PATH, F.inline(F.when(F.col("is_pump"), by_pump).otherwise(by_byp))).distinct()
+
+    cell, x, y = path_code(), F.col("x"), F.col("y")
+    merge = code_of(x, "_MERGE")
+    unfolded = {
+        "FORELINE": [_edge("FORELINE", cell, cell, x)],
+        "PS": [_edge("PS", cell, x, valve_code(y, NOR))],
+        "SD": [_edge("SD1", cell, x, merge), _edge("SD2", cell, merge, code_of(F.col("eqp_id"), "_DUCT"))],
+        "SS": [_edge("SS", cell, valve_code(x, NOR), valve_code(y, BYP), F.col("vendor"))],
+        "ALLBYPASS": [_edge("ALLBYPASS", cell, valve_code(x, BYP), merge)],
+    }
+    of_kind = F.lit(None)
+    for kind, made in unfolded.items():
+        of_kind = F.when(F.col("kind") == kind, F.array(*made)).otherwise(of_kind)
+    process = keys.select(F.inline(of_kind))
     free = F.array(_edge("FORELINE", F.col("chamber_code"), F.col("chamber_code"), F.col("pump_code")))
     transfer = tmll_pumps(ports, org, rows_per_slice).select(F.inline(free))
     return process.unionAll(transfer)
