@@ -46,13 +46,21 @@ def check_accepted_values(spark, sf):
     return K.accepted_values(table(spark, sf, "orders"), "o_orderpriority", PRIORITIES)
 
 
+PIPE_ENDS = ["main_equipment_code", "chamber_code", "from_equipment_code", "to_equipment_code"]
+
+
 @query(
     "check_relationships",
-    f"""{NODES}, {EDGES} SELECT to_equipment_code, count(*) AS n_rows FROM dim_pipe
-    WHERE to_equipment_code NOT IN (SELECT code FROM dim_equipment) GROUP BY 1""",
+    f"""{NODES}, {EDGES}, held AS (
+      SELECT unnest({PIPE_ENDS}) AS column_name, unnest([{", ".join(PIPE_ENDS)}]) AS value FROM dim_pipe)
+    SELECT column_name, value, count(*) AS n_rows FROM held
+    WHERE value NOT IN (SELECT code FROM dim_equipment) GROUP BY ALL
+    UNION ALL SELECT 'eqp_id', eqp_id, count(*) FROM pm_raw
+    WHERE eqp_id NOT IN (SELECT eqp_id FROM org) GROUP BY 2""",
 )
 def check_relationships(spark, sf):
-    return K.relationships(dim_pipe(spark, sf), "to_equipment_code", dim_equipment(spark, sf), "code")
+    pipes = K.relationships(dim_pipe(spark, sf), PIPE_ENDS, dim_equipment(spark, sf), "code")
+    return pipes.unionAll(K.relationships(raw_ports(spark, sf), "eqp_id", org(spark, sf), "eqp_id"))
 
 
 @query(

@@ -46,14 +46,18 @@ def accepted_values(df: DataFrame, col: str, values: Sequence[str], count_as: st
     return bad.groupBy(col).agg(F.count(F.lit(1)).alias(count_as))
 
 
-def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child values without a parent, one row each with the number of child rows; null passes.
+def relationships(child: DataFrame, cols: str | Sequence[str], parent: DataFrame, parent_col: str) -> DataFrame:
+    """(column_name, value, n_rows): child values without a parent and how many rows hold them.
 
-    Child rows are counted per value first, so a value held by most rows is shuffled once per task.
+    Null passes. All columns are unfolded in one pass over the child and counted per value, so a
+    value held by most rows leaves each task once and the parent is matched once for all columns.
     """
-    values = child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
-    known = parent.select(F.col(parent_col).alias(col)).where(F.col(col).isNotNull())
-    return values.join(known, col, "left_anti")
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    held = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols))
+    values = child.select(F.inline(held)).where(F.col("value").isNotNull())
+    counts = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    known = parent.select(F.col(parent_col).cast("string").alias("value"))
+    return counts.join(known, "value", "left_anti").select("column_name", "value", "n_rows")
 
 
 def scrubber_owner(nodes: DataFrame, ports: DataFrame) -> DataFrame:

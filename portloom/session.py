@@ -31,14 +31,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local master may fall back to a machine-local temporary folder.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="portloom-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="portloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def workspace(spark: SparkSession, name: str) -> str:

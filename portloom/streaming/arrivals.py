@@ -24,7 +24,9 @@ class Arrivals:
         self.spark, self.root, self.sources = spark, root, dict(sources)
 
     def bronze(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.sources[name][1]).parquet(f"{self.root}/bronze/{name}")
+        """Everything landed so far, with the source's own columns."""
+        schema = self.sources[name][1]
+        return self.spark.read.schema(schema).parquet(f"{self.root}/bronze/{name}").select(*schema.names)
 
     def drain(self) -> None:
         """Lands whatever has arrived in each source; files already taken are not read again."""
@@ -35,7 +37,7 @@ class Arrivals:
 
     def _lander(self, name: str) -> Callable[[DataFrame, int], None]:
         def land(batch: DataFrame, batch_id: int) -> None:
-            rows = counted_write(batch, f"{self.root}/bronze/{name}/batch_id={batch_id}", mode="overwrite")
+            rows = counted_write(batch, f"{self.root}/bronze/{name}/landed_batch={batch_id}", mode="overwrite")
             record = self.spark.range(1).select(F.lit(rows).cast("long").alias("row_count"))
             record.write.mode("overwrite").parquet(
                 f"{self.root}/arrivals/source_name={name}/batch_id={batch_id}"
