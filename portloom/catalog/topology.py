@@ -8,6 +8,7 @@ from portloom.catalog.registry import query, table
 from portloom.operators.pick import precedence_dedup
 from portloom.plans import ports as P
 from portloom.plans import topology as G
+from portloom.sources.layers import materialize
 
 PM_RAW = """
 pm_raw AS (
@@ -257,4 +258,5 @@ def dim_vendor(spark, sf):
     SELECT root, node, min(depth) AS depth FROM walk GROUP BY ALL""",
 )
 def pipe_reachability(spark, sf):
-    return G.pipe_reachability(ports(spark, sf), org(spark, sf))
+    nodes = materialize(dim_equipment(spark, sf), "dim_equipment", "gld")
+    return G.pipe_reachability(nodes, dim_pipe(spark, sf))

@@ -85,19 +85,23 @@ def chambers_with_scrubber(ports: DataFrame) -> DataFrame:
     return ports.where(is_scrubber()).select(*CHAMBER).distinct()
 
 
-def chambers(ports: DataFrame, org: DataFrame) -> DataFrame:
-    """Chamber nodes: one per path where the chamber holds a scrubber, else one per chamber.
+def chamber_cells(ports: DataFrame, org: DataFrame) -> DataFrame:
+    """(code, eqp_id): one cell per path where the chamber holds a scrubber, else one per chamber.
 
     Rows shrink to paths first; only those are matched with the scrubber chambers.
     """
     paths = mapped(ports, org).groupBy(*PATH).agg(F.max(is_scrubber()).alias("_s"))
     held = paths.groupBy(*CHAMBER).agg(F.max("_s").alias("_held"))
     coded = paths.join(held, CHAMBER).select(
-        F.when(F.col("_held"), path_code()).otherwise(chamber_code()).alias("code"),
-        F.col("eqp_id").alias("group_code"),
-        "eqp_id",
+        F.when(F.col("_held"), path_code()).otherwise(chamber_code()).alias("code"), "eqp_id"
     )
-    return org_enrich(coded.distinct(), org)
+    return coded.distinct()
+
+
+def chambers(ports: DataFrame, org: DataFrame) -> DataFrame:
+    """Chamber nodes with their organisation."""
+    cells = chamber_cells(ports, org).select("code", F.col("eqp_id").alias("group_code"), "eqp_id")
+    return org_enrich(cells, org)
 
 
 def scrubber_owners(ports: DataFrame, org: DataFrame) -> DataFrame:
@@ -145,9 +149,10 @@ def _node(kind: str, code: Column, group: Column, vendor: Column | None = None,
 def node_candidates(ports: DataFrame, org: DataFrame) -> DataFrame:
     """Nodes of all types before precedence, without organisation columns.
 
-    Port rows are folded once to their distinct equipment units and unfolded to MAIN, PUMP and
-    valve nodes; each owned scrubber unfolds to its SCRUBBER, MERGE and DUCT. A duct then exists
-    only where a scrubber is owned, and the vendor order of the later dedup picks its first maker.
+    Port rows are folded to distinct chambers, units and owned scrubbers. A chamber unfolds to
+    MAIN and CHAMBER, a unit to a pump or valve, a scrubber to its SCRUBBER, MERGE and DUCT. A duct
+    then exists only where a scrubber is owned, and the vendor order of the later dedup picks its
+    first maker.
     """
     maker, group = F.col("seqp_maker"), F.col("_scrubber")
     usable = is_scrubber() & F.col("seqp_ch").isNotNull()
@@ -171,11 +176,9 @@ def node_candidates(ports: DataFrame, org: DataFrame) -> DataFrame:
     )
     from_units = units.select(F.inline(F.array_compact(unit_nodes)))
 
-    eqps = mapped(ports, org).select("eqp_id").distinct()
-    mains = eqps.select(F.inline(F.array(_node("MAIN", F.col("eqp_id"), F.col("eqp_id")))))
-
-    cells = chambers(ports, org).select("code", "eqp_id")
-    from_chambers = cells.select(F.inline(F.array(_node("CHAMBER", F.col("code"), F.col("eqp_id")))))
+    eqp = F.col("eqp_id")
+    held = F.array(_node("MAIN", eqp, eqp), _node("CHAMBER", F.col("code"), eqp))
+    from_chambers = chamber_cells(ports, org).select(F.inline(held))
 
     duct = code_of(F.col("eqp_id"), "_DUCT")
     owned = F.array(
@@ -184,7 +187,7 @@ def node_candidates(ports: DataFrame, org: DataFrame) -> DataFrame:
         _node("LATERAL_DUCT", duct, duct, maker),
     )
     from_scrubbers = scrubber_owners(ports, org).select(F.inline(owned))
-    return mains.unionAll(from_chambers).unionAll(from_units).unionAll(from_scrubbers)
+    return from_chambers.unionAll(from_units).unionAll(from_scrubbers)
 
 
 def nodes(ports: DataFrame, org: DataFrame) -> DataFrame:
@@ -329,8 +332,8 @@ def pipe_links(node_table: DataFrame, edge_table: DataFrame) -> DataFrame:
     return pipes.unionAll(bridge)
 
 
-def pipe_reachability(ports: DataFrame, org: DataFrame, max_depth: int = 16) -> DataFrame:
-    """(root, node, depth): everything downstream of each chamber."""
-    node_table, edge_table = nodes(ports, org), edges(ports, org)
+def pipe_reachability(node_table: DataFrame, edge_table: DataFrame, max_depth: int = 16) -> DataFrame:
+    """(root, node, depth): everything downstream of each chamber. Give written marts, the node
+    table is read for the seeds and for the links."""
     seeds = node_table.where(F.col("type_code") == "CHAMBER").select(F.col("code").alias("node"))
     return reachability(pipe_links(node_table, edge_table), seeds, max_depth=max_depth)

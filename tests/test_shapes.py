@@ -130,7 +130,7 @@ def test_reachability_stops_on_cycles_and_keeps_shortest(spark):
     with pytest.raises(RuntimeError):
         reachability(edges, seeds, max_depth=1)
     hub = spark.createDataFrame([("h", f"n{i}") for i in range(50)] + [(f"n{i}", "t") for i in range(50)], "src string, dst string")
-    got = reachability(hub, spark.createDataFrame([("h",)], "node string"), rows_per_slice=5)
+    got = reachability(hub, spark.createDataFrame([("h",)], "node string"))
     assert got.count() == 52
 
 

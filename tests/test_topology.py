@@ -183,9 +183,9 @@ def test_code_collision_keeps_first_type_and_smallest_owner(spark):
     assert got["SX1_NOR_A_PRO"].main_equipment_code == "E3"
 
 
-def test_reachability_from_chamber_to_duct(built, spark):
-    ports, orgs, _, _ = built
-    reached = G.pipe_reachability(ports, orgs).where("root = 'AX10_A_PRO'").collect()
+def test_reachability_from_chamber_to_duct(built):
+    _, _, nodes, edges = built
+    reached = G.pipe_reachability(nodes, edges).where("root = 'AX10_A_PRO'").collect()
     depth = {r.node: r.depth for r in reached}
     assert depth["AX10_DUCT"] == 5
     assert depth["AX10_PP04"] == 1 and depth["AX10_SC011_NOR_A_PRO"] == 2
