@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from portloom.catalog.registry import query, table
 from portloom.functions.text import to_messages
 from portloom.operators.shape import union_sources
 from portloom.session import workspace
-from portloom.sources import control, landing, tables
+from portloom.sources import control, landing, loader, tables
 from portloom.sources.spec import SourceSpec
 
 LINE_COLUMNS = (
@@ -69,6 +71,35 @@ def bronze_text_landing(spark, sf):
     return landing.to_bronze(table(spark, sf, "lineitem"), cols, ntz("2024-01-31 01:00:00"))
 
 
+@query(
+    "snapshot_load",
+    """SELECT l_orderkey::VARCHAR AS l_orderkey, l_suppkey::VARCHAR AS l_suppkey, l_returnflag, 'success' AS status,
+      count(*) OVER () AS row_count, 1 AS n_runs, 1 AS n_marks
+    FROM lineitem WHERE l_returnflag IN ('A', 'R')""",
+)
+def snapshot_load(spark, sf):
+    """The whole extract, run and retried: bronze rows with what audit and watermark say of it."""
+    root = workspace(spark, "warehouse")
+    spec = SourceSpec(
+        name="order_lines",
+        location=f"{sf}/lineitem.parquet",
+        expected_columns=LINE_COLUMNS,
+        select_columns=("l_orderkey", "l_suppkey", "l_returnflag"),
+        filter="l_returnflag IN ('A', 'R')",
+        target="brz.order_lines",
+    )
+    for run in ("first", "retry"):
+        loader.load_snapshot(spark, spec, root, "extract_order_lines", datetime(2024, 1, 31), run)
+    audit = tables.read_table(spark, f"{root}/ctl/job_audit")
+    run, n_runs = audit.first(), audit.count()
+    n_marks = tables.read_table(spark, f"{root}/ctl/watermark").count()
+    bronze = tables.read_table(spark, f"{root}/brz/order_lines").drop("loaded_at")
+    said = {"status": run.status, "row_count": run.row_count, "n_runs": n_runs, "n_marks": n_marks}
+    return bronze.withColumns({k: F.lit(v) for k, v in said.items()}).withColumn(
+        "row_count", F.col("row_count").cast("long")
+    )
+
+
 @query("snapshot_replace_twice", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 2 AS n_versions FROM orders")
 def snapshot_replace_twice(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")

@@ -11,6 +11,8 @@ from portloom.operators import marts as M
 from portloom.operators.closure import hierarchy
 from portloom.operators.pick import latest_version, representative
 from portloom.operators.shape import canonical_merge, melt
+from portloom.session import workspace
+from portloom.sources.tables import write_partition
 
 
 def money(name: str):
@@ -163,10 +165,11 @@ def fact_daily_rollup(spark, sf):
         count(*)::DOUBLE AS a, sum(o_totalprice::DECIMAL(15,2))::DOUBLE AS b FROM orders GROUP BY 1),
     e AS (SELECT 'event_type=' || event_type || ',user_id=' || user_id::VARCHAR AS dimensions, count(*)::DOUBLE AS a,
         max(value) AS b FROM events WHERE event_type <> 'error' GROUP BY 1)
+    SELECT *, '2024-01-31' AS part_date FROM (
     SELECT 'orders' AS source_name, dimensions, 'order_count' AS metric_name, a AS metric_value FROM o
     UNION ALL SELECT 'orders', dimensions, 'order_amount', b FROM o
     UNION ALL SELECT 'events', dimensions, 'event_count', a FROM e
-    UNION ALL SELECT 'events', dimensions, 'top_value', b FROM e""",
+    UNION ALL SELECT 'events', dimensions, 'top_value', b FROM e)""",
 )
 def metric_store(spark, sf):
     specs = [
@@ -182,7 +185,12 @@ def metric_store(spark, sf):
             where="event_type <> 'error'",
         ),
     ]
-    return M.metric_rows({n: table(spark, sf, n) for n in ("orders", "events")}, specs)
+    rows = M.metric_rows({n: table(spark, sf, n) for n in ("orders", "events")}, specs)
+    path = workspace(spark, "metrics")
+    for _ in range(2):  # a rerun of the day replaces its partition
+        write_partition(rows, path, "2024-01-31")
+    stored = spark.read.schema(rows.schema.add("part_date", "date")).parquet(path)
+    return stored.withColumn("part_date", F.col("part_date").cast("string"))
 
 
 @query(

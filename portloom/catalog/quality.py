@@ -9,7 +9,9 @@ from portloom.catalog.topology import (
     BASE, EDGES, NODES, PM, PM_RAW, UNITS, dim_equipment, dim_pipe, org, ports, raw_ports,
 )
 from portloom.operators import quality as K
+from portloom.plans.gated import PIPE_ENDS, build_gated, pipe_marts
 from portloom.plans.ports import PORT_COLUMNS, clean_ports
+from portloom.session import workspace
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
 
@@ -46,9 +48,6 @@ def check_accepted_values(spark, sf):
     return K.accepted_values(table(spark, sf, "orders"), "o_orderpriority", PRIORITIES)
 
 
-PIPE_ENDS = ["main_equipment_code", "chamber_code", "from_equipment_code", "to_equipment_code"]
-
-
 @query(
     "check_relationships",
     f"""{NODES}, {EDGES}, held AS (
@@ -162,3 +161,36 @@ def reconcile_diff(spark, sf):
     )
     twice = renewed.unionAll(renewed.where(key % 101 == 0))
     return K.reconcile(orders.where(key % 53 != 0), twice, ["o_orderkey"], ["o_orderstatus", "o_custkey"])
+
+
+@query(
+    "gated_build",
+    f"""{NODES}, nor AS (SELECT DISTINCT seqp_id || seqp_ch AS code, eqp_id FROM pm WHERE eqp_posn = 'NOR'),
+    n AS (
+      SELECT 'unique' AS check_name, 'dim_vendor' AS table_name, 'code' AS column_name, 0 AS n_violations
+      UNION ALL SELECT 'not_null', 'dim_vendor', 'code,name,type_code', 0
+      UNION ALL SELECT 'unique', 'dim_equipment', 'code',
+        (SELECT count(*) - count(DISTINCT code) FROM dim_equipment)
+      UNION ALL SELECT 'not_null', 'dim_equipment',
+        'code,type_code,team_code,division_code,site_code,line_code,area_code,group_code,layer_order',
+        (SELECT count(*) FROM dim_equipment WHERE team_code IS NULL OR group_code IS NULL)
+      UNION ALL SELECT 'accepted_values', 'dim_equipment', 'type_code', 0
+      UNION ALL SELECT 'relationships', 'dim_equipment', 'main_equipment_code',
+        (SELECT count(*) FROM dim_equipment WHERE main_equipment_code NOT IN (SELECT code FROM dim_equipment))
+      UNION ALL SELECT 'relationships', 'dim_equipment', 'vendor_code',
+        (SELECT count(*) FROM dim_equipment WHERE vendor_code NOT IN (SELECT seqp_maker FROM pm))
+      UNION ALL SELECT 'merge_owner', 'dim_equipment', 'main_equipment_code',
+        (SELECT count(*) FROM dim_equipment m JOIN dim_equipment s ON s.code = m.group_code
+           AND s.type_code = 'SCRUBBER' AND m.type_code = 'SCRUBBER_MERGE'
+           AND s.main_equipment_code <> m.main_equipment_code)
+      UNION ALL SELECT 'scrubber_owner', 'dim_equipment', 'main_equipment_code',
+        (SELECT count(*) FROM dim_equipment WHERE type_code = 'SCRUBBER' AND code IN (SELECT code FROM nor)
+           AND (code, main_equipment_code) NOT IN (SELECT (code, eqp_id) FROM nor)))
+    SELECT check_name, table_name, column_name, n_violations::BIGINT AS n_violations,
+      CASE WHEN n_violations > 0 THEN 'fail' ELSE 'pass' END AS status,
+      sum(n_violations) OVER (PARTITION BY table_name) = 0 AS published FROM n""",
+)
+def gated_build(spark, sf):
+    """Here a scrubber whose only NOR user has no organisation fails the node table, so pipes wait."""
+    marts = pipe_marts(ports(spark, sf), org(spark, sf))
+    return build_gated(marts, workspace(spark, "marts"), must_pass=False)

@@ -30,3 +30,8 @@ def to_messages(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Rows as (key, value) text for a message bus: joined key columns and the row as JSON."""
     key = F.concat_ws("|", *(F.col(c).cast("string") for c in key_cols))
     return df.select(key.alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+
+
+def send_messages(df: DataFrame, key_cols: Sequence[str], options: Mapping[str, str], fmt: str = "kafka") -> None:
+    """Messages written to a bus; broker and topic come with the options, its connector with the cluster."""
+    to_messages(df, key_cols).write.format(fmt).options(**options).save()

@@ -5,7 +5,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from portloom import session
-from portloom.sources import control, jdbc, landing, tables
+from portloom.sources import control, jdbc, landing, loader, tables
+from portloom.sources.layers import materialize
 from portloom.sources.spec import SourceSpec
 
 CONF = session.CHECKPOINT_CONF
@@ -181,3 +182,38 @@ def test_shared_folder_follows_the_session():
         session.shared_folder(FakeSession(None, "yarn"))
     alone = FakeSession(None, "local[2]")
     assert session.shared_folder(alone) == session.shared_folder(alone)
+
+
+def test_load_snapshot_end_to_end(spark, folder):
+    root, src = folder("wh"), folder("src")
+    spark.range(5).selectExpr("id as a", "id as b").write.parquet(src)
+    s = spec(location=src, target="brz.ports", filter="b > 1")
+    assert loader.load_snapshot(spark, s, root, "d", NOW, "r1").row_count == 3
+    empty = spec(location=src, target="brz.ports", filter="b > 100")
+    with pytest.raises(tables.EmptySnapshot):
+        loader.load_snapshot(spark, empty, root, "d", LATER, "r2")
+    broken = spec(location=src, target="brz.ports", expected_columns=("a", "zz"))
+    with pytest.raises(landing.ContractViolation):
+        loader.load_snapshot(spark, broken, root, "d", LATER, "r3")
+    assert tables.read_table(spark, f"{root}/brz/ports").count() == 3
+    audit = tables.read_table(spark, f"{root}/ctl/job_audit")
+    assert rows(audit, "logical_date", "run_id", "status", "row_count") == [
+        (NOW, "r1", "success", 3), (LATER, "r3", "failed", None),
+    ]
+    assert "zz" in audit.where("status = 'failed'").first().detail
+    assert rows(tables.read_table(spark, f"{root}/ctl/watermark"), "source_name", "table_name") == [("ports", "brz.ports")]
+
+
+def test_layers(spark, folder):
+    view = materialize(spark.range(3), "cleaned", "slv")
+    assert view.count() == 3 and spark.catalog.tableExists("slv_cleaned")
+    assert materialize(spark.range(4), "mart", "gld", folder("wh")).count() == 4
+    with pytest.raises(ValueError):
+        materialize(spark.range(1), "x", "platinum")
+
+
+def test_messages_are_written_by_the_configured_format(spark, folder):
+    from portloom.functions.text import send_messages
+
+    send_messages(spark.range(2).selectExpr("id", "'x' as v"), ["id", "v"], {"path": folder("bus")}, fmt="parquet")
+    assert rows(spark.read.parquet(folder("bus"))) == [("0|x", '{"id":0,"v":"x"}'), ("1|x", '{"id":1,"v":"x"}')]

@@ -7,6 +7,8 @@ from fixture_ports import ORG_SCHEMA, PORT_SCHEMA, golden, org, pump, scrub
 from portloom.operators import quality as K
 from portloom.plans import ports as P
 from portloom.plans import topology as G
+from portloom.plans.gated import build_gated, pipe_marts
+from portloom.sources.tables import read_table, table_exists
 
 
 @pytest.fixture(scope="module")
@@ -189,3 +191,24 @@ def test_reachability_from_chamber_to_duct(built):
     depth = {r.node: r.depth for r in reached}
     assert depth["AX10_DUCT"] == 5
     assert depth["AX10_PP04"] == 1 and depth["AX10_SC011_NOR_A_PRO"] == 2
+
+
+def test_gate_publishes_good_marts_and_blocks_bad_ones(built, spark, folder):
+    ports, orgs, _, edges = built
+    root = folder("wh")
+    results = build_gated(pipe_marts(ports, orgs), root).collect()
+    assert {(r.table_name, r.published, r.status) for r in results} == {
+        (t, True, "pass") for t in ("dim_vendor", "dim_equipment", "dim_pipe")
+    }
+    assert rows(read_table(spark, f"{root}/gld/dim_pipe")) == rows(edges)
+
+    # the scrubber is owned by a BYP user because its only NOR user has no organisation
+    bad = [scrub("E1", "A", "PRO", "BYP", 1, "MK1"), ("E2", "A", "PRO", "NOR", "SCRUBBER", "MK1", None, "E1_SC01", "1", "1")]
+    bad_ports, bad_org = make(spark, bad, "E1")
+    with pytest.raises(K.GateFailed, match="scrubber_owner"):
+        build_gated(pipe_marts(bad_ports, bad_org), root)
+    assert rows(read_table(spark, f"{root}/gld/dim_pipe")) == rows(edges)
+    other = folder("other")
+    stopped = build_gated(pipe_marts(bad_ports, bad_org), other, must_pass=False).collect()
+    assert {(r.table_name, r.published) for r in stopped} == {("dim_vendor", True), ("dim_equipment", False)}
+    assert not table_exists(spark, f"{other}/gld/dim_equipment")
