@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,13 @@ SOURCE_ZONE = "UTC"
 LOCAL_ZONE = "Asia/Seoul"
 
 
+def time_literal(value: datetime, kind: T.DataType) -> Column:
+    """A point in time as a constant of the column type it is compared with."""
+    if isinstance(kind, T.TimestampNTZType):  # as text, so that no zone shifts the wall time
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value).cast(kind)
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

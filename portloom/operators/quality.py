@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portloom.functions.calendar import time_literal
 from portloom.functions.text import code_of
 
 GATE_SCHEMA = "check_name string, table_name string, column_name string, n_violations long, status string"
@@ -85,7 +86,7 @@ def freshness(
     df: DataFrame, ts: str, now: Column | datetime, warn_after: str, error_after: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Newest load per group against two thresholds such as ``"6 hours"``."""
-    now = now if isinstance(now, Column) else F.lit(now).cast(df.schema[ts].dataType)
+    now = now if isinstance(now, Column) else time_literal(now, df.schema[ts].dataType)
     newest = F.max(ts)
     late = lambda after: newest < now - F.expr(f"INTERVAL {after}")
     status = (

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portloom.functions.calendar import time_literal
 from portloom.operators.pick import pick_first
 
 # fixed values
@@ -160,6 +161,6 @@ def incremental_load(source: DataFrame, target: DataFrame, ts: str, keys: Sequen
     """
     mark = target.agg(F.max(ts).alias("m")).first().m
     if mark is not None:
-        kind = target.schema[ts].dataType
-        source = source.where(F.col(ts) > F.lit(mark).cast(kind) - F.expr(f"INTERVAL {lookback}"))
+        since = time_literal(mark, target.schema[ts].dataType) - F.expr(f"INTERVAL {lookback}")
+        source = source.where(F.col(ts) > since)
     return upsert(target, source, keys, order_by=[F.col(ts).desc()])

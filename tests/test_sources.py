@@ -154,6 +154,24 @@ def test_incremental_load_is_idempotent(spark):
     assert control.incremental_load(source, target.limit(0), "ts", ["id"], "3 DAYS").count() == 5
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_incremental_bound_reaches_the_scan(spark, folder, zone, kind):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        hours = F.expr("timestamp_ntz'2024-01-01 00:30:00' + make_dt_interval(0, int(id))").cast(kind)
+        path = folder("src")
+        spark.range(100).select("id", hours.alias("ts")).write.parquet(path)
+        source = spark.read.parquet(path)
+        got = control.incremental_load(source, source.where("id <= 50 AND id % 2 = 0"), "ts", ["id"], "10 HOURS")
+        want = sorted({i for i in range(0, 51, 2)} | set(range(41, 100)))
+        assert [r[0] for r in rows(got.orderBy("id"), "id")] == sorted(want, key=str)
+        assert "GreaterThan(ts," in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_jdbc_options():
     s = spec(format="jdbc", filter="b = 'x'", options={"url": "jdbc:x", "user": "u"})
     plain = jdbc.extract_options(s)
