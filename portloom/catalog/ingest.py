@@ -11,6 +11,7 @@ from portloom.functions.text import to_messages
 from portloom.operators.shape import union_sources
 from portloom.session import workspace
 from portloom.sources import control, landing, loader, tables
+from portloom.sources.merge import merge_partitions
 from portloom.sources.spec import SourceSpec
 
 LINE_COLUMNS = (
@@ -197,6 +198,47 @@ def incremental_lookback(spark, sf):
     return control.incremental_load(source, loaded, "ts", ["event_id"], "3 DAYS")
 
 
+@query(
+    "incremental_bronze",
+    """WITH first_seen AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00' AND event_id % 10 <> 0),
+    mark AS (SELECT max(ts) - INTERVAL 2 DAY AS since FROM first_seen)
+    SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, event_type, ts::DATE::VARCHAR AS part_date
+    FROM events, mark WHERE ts > since OR event_id IN (SELECT event_id FROM first_seen)""",
+)
+def incremental_bronze(spark, sf):
+    """An accumulating source loaded twice: late rows of the lookback come in, older ones do not."""
+    root, src = workspace(spark, "accumulating"), workspace(spark, "source")
+    columns = ("event_id", "user_id", "event_type", "ts")
+    events = table(spark, sf, "events").select(*columns)
+    cut = F.col("ts") < ntz("2024-01-20 00:00:00")
+    for day, seen in ((20, cut & (F.col("event_id") % 10 != 0)), (31, F.lit(True))):
+        events.where(seen).write.mode("overwrite").parquet(src)
+        spec = SourceSpec("event_log", src, columns, target="brz.event_log", mode="watermark")
+        loader.load_incremental(
+            spark, spec, root, "ts", ["event_id"], "2 DAYS", "extract_event_log", datetime(2024, 1, day), f"run_{day}"
+        )
+    schema = "event_id string, user_id string, event_type string, part_date date"
+    bronze = spark.read.schema(schema).parquet(f"{root}/brz/event_log")
+    return bronze.withColumn("part_date", F.col("part_date").cast("string"))
+
+
+@query(
+    "merge_touched_partitions",
+    """SELECT coalesce(b.o_orderkey, d.k) AS o_orderkey, coalesce(b.y, d.y) AS order_year,
+      CASE WHEN d.k IS NULL THEN b.o_orderstatus ELSE 'M' END AS o_orderstatus
+    FROM (SELECT o_orderkey, year(o_orderdate)::INTEGER AS y, o_orderstatus FROM orders WHERE o_orderstatus <> 'P') b
+    FULL JOIN (SELECT o_orderkey AS k, year(o_orderdate)::INTEGER AS y FROM orders
+               WHERE year(o_orderdate) IN (1996, 1999)) d ON d.k = b.o_orderkey AND d.y = b.y""",
+)
+def merge_touched_partitions(spark, sf):
+    path = workspace(spark, "merged")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("order_year"))
+    merge_partitions(rows.where(F.col("o_orderstatus") != "P"), path, ["o_orderkey"], "order_year")
+    delta = rows.where(F.col("order_year").isin(1996, 1999)).withColumn("o_orderstatus", F.lit("M"))
+    merge_partitions(delta, path, ["o_orderkey"], "order_year")
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query("seed_csv_roundtrip", "SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part")
 def seed_csv_roundtrip(spark, sf):
     path = workspace(spark, "seed")

@@ -152,15 +152,31 @@ def fold_audit(messages: DataFrame, order: Sequence[str], keys: Sequence[str] =
     )
 
 
-def incremental_load(source: DataFrame, target: DataFrame, ts: str, keys: Sequence[str], lookback: str) -> DataFrame:
+def newer_than(source: DataFrame, ts: str, watermark: datetime | None, lookback: str) -> DataFrame:
+    """Source rows newer than the watermark minus the lookback; all of them without a watermark.
+
+    The bound is a constant, so it reaches the source scan as a pushed-down filter.
+    """
+    if watermark is None:
+        return source
+    since = time_literal(watermark, source.schema[ts].dataType) - F.expr(f"INTERVAL {lookback}")
+    return source.where(F.col(ts) > since)
+
+
+def incremental_load(
+    source: DataFrame,
+    target: DataFrame,
+    ts: str,
+    keys: Sequence[str],
+    lookback: str,
+    watermark: datetime | None = None,
+) -> DataFrame:
     """Target with the source rows newer than its watermark minus the lookback merged in by key.
 
-    The watermark is the target's newest time. Rows late by at most ``lookback`` (such as
-    ``"3 days"``) are added or corrected; older ones are left out. The bound is a literal, so it
-    reaches the source scan as a pushed-down filter.
+    The watermark is the one recorded for the table or, if none is given, the target's newest time.
+    Rows late by at most ``lookback`` (such as ``"3 days"``) are added or corrected; older ones are
+    left out.
     """
-    mark = target.agg(F.max(ts).alias("m")).first().m
-    if mark is not None:
-        since = time_literal(mark, target.schema[ts].dataType) - F.expr(f"INTERVAL {lookback}")
-        source = source.where(F.col(ts) > since)
-    return upsert(target, source, keys, order_by=[F.col(ts).desc()])
+    if watermark is None:
+        watermark = target.agg(F.max(ts).alias("m")).first().m
+    return upsert(target, newer_than(source, ts, watermark, lookback), keys, order_by=[F.col(ts).desc()])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from portloom import session
 from portloom.sources import control, jdbc, landing, loader, tables
 from portloom.sources.layers import materialize
+from portloom.sources.merge import merge_partitions
 from portloom.sources.spec import SourceSpec
 
 CONF = session.CHECKPOINT_CONF
@@ -235,3 +236,55 @@ def test_messages_are_written_by_the_configured_format(spark, folder):
 
     send_messages(spark.range(2).selectExpr("id", "'x' as v"), ["id", "v"], {"path": folder("bus")}, fmt="parquet")
     assert rows(spark.read.parquet(folder("bus"))) == [("0|x", '{"id":0,"v":"x"}'), ("1|x", '{"id":1,"v":"x"}')]
+
+
+def part_files(folder):
+    from pathlib import Path
+
+    return {p.parent.name: p.name for p in Path(folder).rglob("*.parquet")}
+
+
+def test_merge_rewrites_only_touched_partitions(spark, folder):
+    path = folder("m")
+    schema = "id int, v string, p string"
+    merge_partitions(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], schema).coalesce(1), path, ["id"], "p")
+    before = part_files(path)
+    delta = spark.createDataFrame([(2, "B", "y"), (2, "old", "y"), (3, "c", "y"), (4, "d", "z")], schema)
+    merge_partitions(delta, path, ["id"], "p", order_by=[F.col("v")])
+    assert rows(spark.read.parquet(path), "id", "v", "p") == [(1, "a", "x"), (2, "B", "y"), (3, "c", "y"), (4, "d", "z")]
+    after = part_files(path)
+    assert after["p=x"] == before["p=x"] and after["p=y"] != before["p=y"]
+    assert merge_partitions(delta.limit(0), path, ["id"], "p") == 0
+
+
+@pytest.fixture(params=["UTC", "America/New_York"])
+def zone(spark, request):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_load_incremental_end_to_end(spark, folder, zone):
+    root, src = folder("wh"), folder("src")
+    s = SourceSpec("log", src, ("id", "at", "v"), target="brz.log", mode="watermark")
+    day = lambda n: datetime(2024, 1, n)
+
+    def load(run, data):
+        spark.createDataFrame(data, "id int, at timestamp_ntz, v string").write.mode("overwrite").parquet(src)
+        return loader.load_incremental(spark, s, root, "at", ["id"], "3 DAYS", "d", day(run), f"r{run}")
+
+    first = [(1, day(1), "a"), (2, day(9), "b"), (3, day(10), "c")]
+    later = [(1, day(1), "ignored"), (2, day(9), "B"), (3, day(10), "c"), (4, day(8), "late"), (5, day(2), "too late"), (6, day(12), "new")]
+    load(10, first)
+    assert load(12, later).row_count == 4
+    want = [("1", "a"), ("2", "B"), ("3", "c"), ("4", "late"), ("6", "new")]
+    assert rows(spark.read.parquet(f"{root}/brz/log"), "id", "v") == want
+    load(12, later)
+    assert rows(spark.read.parquet(f"{root}/brz/log"), "id", "v") == want
+    marks = tables.read_table(spark, f"{root}/ctl/watermark")
+    assert rows(marks.select("source_name", "table_name", F.col("watermark_ts").cast("timestamp_ntz"))) == [
+        ("log", "brz.log", day(12))
+    ]
+    with pytest.raises(ValueError):
+        loader.load_snapshot(spark, s, root, "d", day(1), "r")
