@@ -107,8 +107,11 @@ def chambers(ports: DataFrame, org: DataFrame) -> DataFrame:
 def scrubber_owners(ports: DataFrame, org: DataFrame) -> DataFrame:
     """One row per scrubber code: the equipment using it in NOR position first, then by id."""
     rows = mapped(ports, org).where(is_scrubber() & F.col("seqp_ch").isNotNull())
-    rows = rows.groupBy(scrubber_code().alias("code"), "eqp_id", "seqp_maker").agg(
-        F.min(F.when(F.col("eqp_posn") == NOR, 0).otherwise(1)).alias("_rank")
+    rows = rows.select(
+        scrubber_code().alias("code"),
+        "eqp_id",
+        "seqp_maker",
+        F.when(F.col("eqp_posn") == NOR, 0).otherwise(1).alias("_rank"),
     )
     order = [F.col("_rank"), F.col("eqp_id").asc_nulls_last(), F.col("seqp_maker").asc_nulls_last()]
     return pick_first(rows, ["code"], order).drop("_rank")
@@ -149,25 +152,21 @@ def _node(kind: str, code: Column, group: Column, vendor: Column | None = None,
 def node_candidates(ports: DataFrame, org: DataFrame) -> DataFrame:
     """Nodes of all types before precedence, without organisation columns.
 
-    Port rows are folded to distinct chambers, units and owned scrubbers. A chamber unfolds to
-    MAIN and CHAMBER, a unit to a pump or valve, a scrubber to its SCRUBBER, MERGE and DUCT. A duct
-    then exists only where a scrubber is owned, and the vendor order of the later dedup picks its
-    first maker.
+    A chamber unfolds to MAIN and CHAMBER, a port row to its pump or valve, an owned scrubber to
+    SCRUBBER, MERGE and DUCT. A duct then exists only where a scrubber is owned, and the vendor
+    order of the later dedup picks its first maker. Copies are left to that dedup, which keeps one
+    row per code and task before its shuffle.
     """
     maker, group = F.col("seqp_maker"), F.col("_scrubber")
     usable = is_scrubber() & F.col("seqp_ch").isNotNull()
     role = F.when(usable & F.col("eqp_posn").isin(NOR, BYP), F.col("eqp_posn"))
-    units = (
-        mapped(ports, org)
-        .select(
-            "eqp_id",
-            "seqp_maker",
-            F.when(is_pump(), F.col("seqp_id")).alias("_pump"),
-            F.when(role.isNotNull(), scrubber_code()).alias("_scrubber"),
-            role.alias("_role"),
-            F.when(role.isNotNull(), valve_code(scrubber_code(), role)).alias("_valve"),
-        )
-        .distinct()
+    units = mapped(ports, org).select(
+        "eqp_id",
+        "seqp_maker",
+        F.when(is_pump(), F.col("seqp_id")).alias("_pump"),
+        F.when(role.isNotNull(), scrubber_code()).alias("_scrubber"),
+        role.alias("_role"),
+        F.when(role.isNotNull(), valve_code(scrubber_code(), role)).alias("_valve"),
     )
     unit_nodes = F.array(
         F.when(F.col("_pump").isNotNull(), _node("PUMP", F.col("_pump"), F.col("_pump"), maker)),
