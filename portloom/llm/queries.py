@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portloom.llm import bpe, packing, tokenfiles
+from portloom.llm import bpe, packing, simhash, tokenfiles
 from portloom.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_LEVEL))
 
 
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query("op7_token_files")
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = workspace(spark, "token-files")
