@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portloom.llm import bpe, packing, simhash, tokenfiles
+from portloom.llm import bpe, packing, pii, quality, simhash, tokenfiles
 from portloom.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,28 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A deployment passes its own secret; this one only makes the query's result reproducible.
+PSEUDONYM_KEY = "corpus-pseudonyms"
+
+
+@query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PSEUDONYM_KEY, count="n_found")
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that people marked as good."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.judged(docs, trusted_ids(spark, sf_dir))
+    return found.select("doc_id", *quality.BASE_COLUMNS, "base_failed", "kept", "score")
+
+
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_LEVEL))
