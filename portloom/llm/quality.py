@@ -2,8 +2,8 @@
 
 Words and pairs of neighbouring words are hashed into ``buckets`` classes. Two multinomials are
 counted over them, one from the trusted documents and one from all documents, with one added to
-each class. A document's score is the mean over its words and pairs of log(trusted / raw); it is
-kept if its base counts pass and the score reaches the threshold. Everything is made of Spark
+each class. A document's score is the mean over its words and pairs, and ``ADDED_GRAMS`` neutral
+ones, of log(trusted / raw); it is kept if its base counts pass and the score reaches the threshold. Everything is made of Spark
 functions. Only the table of classes, whose size is fixed, passes through the driver.
 
 Words are runs of characters other than space and U+0009 to U+000D. Windows of five words are
@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 10_000
-THRESHOLD = -0.12
+THRESHOLD = -0.05
+#: Words and pairs of ratio zero that are added to each text, so that a few odd words do not decide
+#: about a short one.
+ADDED_GRAMS = 30
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -139,9 +142,9 @@ def judged(
         F.lit(0.0),
         lambda s, h: s + F.when(h.isNull(), F.lit(0.0)).otherwise(ratio(h)),
     )
-    grams = 2 * F.col("n_words") - 1
+    grams = 2 * F.col("n_words") - 1 + ADDED_GRAMS
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    df = df.withColumn("score", F.when(grams > 0, (single + paired) / grams).otherwise(F.lit(0.0)))
+    df = df.withColumn("score", (single + paired) / grams)
     # the row number is always at hand; as it is not deterministic, Spark does not copy the word
     # arrays into a filter on ``kept``
     verdict = ~F.col("base_failed") & (F.col("score") >= threshold) & (F.monotonically_increasing_id() >= 0)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portloom.llm import bpe, packing, pii, quality, simhash, tokenfiles
+from portloom.llm import bpe, linededup, packing, pii, quality, simhash, tokenfiles
 from portloom.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,12 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PSEUDONYM_KEY, count="n_found")
 
 
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that people marked as good."""
     return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
