@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portloom.llm import bpe, linededup, packing, pii, quality, simhash, tokenfiles
+from portloom.llm import bpe, linededup, packing, pii, quality, simhash, tokenfiles, warc
 from portloom.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenfiles.write_token_files(docs, public_tokenizers.path(BYTE_LEVEL), folder, end_id=2)
     found = tokenfiles.read_token_files(spark, folder)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op9_warc")
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = workspace(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return warc.read_archives(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

@@ -15,6 +15,9 @@ import numpy as np
 
 from portloom.llm.chunks import ChunkEncoder, spaced_chunks, words
 
+#: Chunks kept per generation, about 100 MB in each worker process.
+REMEMBERED = 600_000
+
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
@@ -52,5 +55,5 @@ def library_encoder(vocabulary: str) -> ChunkEncoder:
             return [np.array(c.ids, dtype="<u4").tobytes() for c in coded]
 
         split = words if spec["normalizer"] else spaced_chunks
-        _ENCODERS[key] = ChunkEncoder(encode_new, split, special_ids(spec))
+        _ENCODERS[key] = ChunkEncoder(encode_new, split, special_ids(spec), REMEMBERED)
     return _ENCODERS[key]
