@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portloom.llm import bpe, linededup, packing, pii, quality, simhash, tokenfiles, warc
+from portloom.llm import bpe, linededup, packing, pii, quality, simhash, tokenfiles, topk, warc
 from portloom.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,13 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op10_topk")
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda v: F.floor(64 * v.cast("double")).cast("double")).alias("x")
+    )
+    asked = vectors.where(F.col("vec_id") % 20 == 0).select("vec_id")
+    found = topk.top_k(vectors, asked, k=20, id_col="vec_id")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("score").cast("long").alias("score"))
