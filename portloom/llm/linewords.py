@@ -8,7 +8,10 @@ import numpy as np
 
 BLOCK_BYTES = 1 << 20
 #: Space and U+0009 to U+000D part words; a line ends at U+000A.
-_BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+_BYTES = np.arange(256)
+_VISIBLE = (~np.isin(_BYTES, [32, *range(9, 14)])).astype(np.uint8)
+_LETTERS = (_BYTES >= 128) | np.isin(_BYTES | 32, range(97, 123))
+_KIND = np.where(_LETTERS, 1, np.where(np.isin(_BYTES, range(48, 58)), 2, 3)).astype(np.uint8) * _VISIBLE
 _LETTER = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * 2 + 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, dtype=np.uint64)
@@ -30,12 +33,14 @@ def mixed(h: np.ndarray, by: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def line_words(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Line number and hash of every word of a block of lines."""
+def line_words(block: bytes, by_kind: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Line number and hash of every word of a block of lines; ``by_kind`` also parts letters,
+    digits and other signs."""
     chars = np.frombuffer(block, np.uint8)
-    visible = ~_BLANK[chars]
+    kind = (_KIND if by_kind else _VISIBLE)[chars]
+    visible = kind > 0
     begins = visible.copy()
-    begins[1:] &= ~visible[:-1]
+    begins[1:] &= kind[1:] != kind[:-1]
     at = np.flatnonzero(visible)
     if not len(at):
         return np.empty(0, np.int64), np.empty(0, np.uint64)

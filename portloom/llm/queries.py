@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portloom.llm import bpe, linededup, packing, pii, quality, simhash, tokenfiles, topk, warc
+from portloom.llm import bpe, classifier, linededup, packing, pii, quality, simhash, tokenfiles, topk, warc
 from portloom.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = classifier.in_fold(F.col("doc_id"), 4, 2)
+    known = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "quality")
+    found = classifier.scored(table(spark, sf_dir, "documents"), known)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
+
+
 @query("op9_warc")
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = workspace(spark, "archives")
