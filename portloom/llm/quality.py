@@ -153,3 +153,16 @@ def judged(
 
 def _pair_hash(a: Column, b: Column) -> Column:
     return F.when(b.isNotNull(), F.xxhash64(a, b))
+
+
+def keep_good(
+    docs: DataFrame,
+    trusted_ids: DataFrame,
+    threshold: float = THRESHOLD,
+    buckets: int = BUCKETS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The documents that are kept, with the columns they came with."""
+    rows = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return judged(rows, trusted_ids, threshold, buckets).where("kept").select("_row.*")
