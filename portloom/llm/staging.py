@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from portloom.session import workspace
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Writes the frame as Parquet in the shared folder and returns the table."""
     folder = workspace(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

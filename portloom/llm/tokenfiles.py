@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portloom.llm.frames import map_arrow, small_batches, with_column
+from portloom.llm.staging import staged
 from portloom.llm.vocabulary import library_encoder, read_vocabulary, vocabulary_size
 
 #: Bytes of each of the four ids that a control byte stands for.
@@ -46,22 +47,46 @@ def decode_bytes(control: bytes, data: bytes, n: int) -> np.ndarray:
     return raw.view("<u4").ravel()
 
 
-def id_counts(docs: DataFrame, vocabulary: str, end_id: int, text: str = "text") -> DataFrame:
+def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, width: str, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, tie, raw): every document's ids with the end id, as numbers of the given width."""
+    end = np.array([end_id], dtype=width).tobytes()
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", docs.schema[doc_id].dataType),
+            T.StructField("tie", T.LongType()),
+            T.StructField("raw", T.BinaryType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = library_encoder(vocabulary)
+        for whole in batches:
+            for batch in small_batches(whole, "text"):
+                ids = encoder.encode(batch.column("text").to_pylist())
+                raw = [np.frombuffer(i, dtype="<u4").astype(width).tobytes() + end for i in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("tie"), pa.array(raw, pa.binary())], names=schema.names
+                )
+
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text")
+    )
+    return rows.mapInArrow(run, schema)
+
+
+def id_counts(tokenised: DataFrame, size: int, width: str) -> DataFrame:
     """Occurrences of each id over all documents; at most one row per id of the vocabulary."""
-    size = max(vocabulary_size(vocabulary), end_id + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = library_encoder(vocabulary), np.zeros(size, dtype=np.int64)
+        total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            for part in small_batches(batch, text):
-                total[end_id] += part.num_rows
-                for group in encoder.groups(part.column(text).to_pylist()):
-                    ids = np.frombuffer(b"".join(encoder.ids_of(c) for _, c in group), dtype="<u4")
-                    total += np.bincount(ids, minlength=size)
+            for part in small_batches(batch, "raw"):
+                ids = np.frombuffer(b"".join(part.column("raw").to_pylist()), dtype=width)
+                total += np.bincount(ids, minlength=size)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["id", "n"])
 
-    return docs.select(text).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokenised.select("raw").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(
@@ -75,7 +100,9 @@ def write_token_files(
     """Encodes all documents and writes ``folder/blocks`` and ``folder/ranks``."""
     vocabulary = read_vocabulary(vocabulary_path)
     size = max(vocabulary_size(vocabulary), end_id + 1)
-    found = {r["id"]: r["n"] for r in id_counts(docs, vocabulary, end_id, text).collect()}
+    width = "<u2" if size <= 1 << 16 else "<u4"
+    tokenised = staged(_tokenised(docs, vocabulary, end_id, width, doc_id, text), "tokenised", compression="zstd")
+    found = {r["id"]: r["n"] for r in id_counts(tokenised, size, width).collect()}
     by_count = sorted(range(size), key=lambda i: (-found.get(i, 0), i))
     rank_of = np.empty(size, dtype=np.uint32)
     rank_of[by_count] = np.arange(size)
@@ -95,12 +122,12 @@ def write_token_files(
     )
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, before = library_encoder(vocabulary), TaskContext.get().partitionId(), 0
+        shard, before = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for batch in small_batches(whole, "text"):
+            for batch in small_batches(whole, "raw"):
                 starts, sizes, controls, data = [], [], [], []
-                for raw in encoder.encode(batch.column("text").to_pylist()):
-                    ids = np.append(np.frombuffer(raw, dtype="<u4"), np.uint32(end_id))
+                for raw in batch.column("raw").to_pylist():
+                    ids = np.frombuffer(raw, dtype=width)
                     control, own = encode_bytes(rank_of[ids])
                     starts.append(before)
                     sizes.append(len(ids))
@@ -118,13 +145,12 @@ def write_token_files(
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     (
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-        .withColumn("_tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "_tie")
-        .sortWithinPartitions("doc_id", "_tie")
-        .drop("_tie")
+        tokenised.repartitionByRange("doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie")
+        .drop("tie")
         .mapInArrow(code, schema)
-        .write.parquet(f"{folder}/blocks")
+        .write.option("compression", "zstd")
+        .parquet(f"{folder}/blocks")
     )
 
 
@@ -143,7 +169,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     shards = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("_n"))
     shards = shards.select("shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    decoded = map_arrow(blocks, decode, {"ids": T.BinaryType()}, sized_by="data")
-    return decoded.drop("control", "data").join(shards, "shard").select(
+    placed = blocks.join(staged(shards, "shards"), "shard")
+    decoded = map_arrow(placed, decode, {"ids": T.BinaryType()}, sized_by="data")
+    return decoded.select(
         "doc_id", "shard", (F.col("_base") + F.col("before")).alias("start"), "n_tokens", "ids"
     )
