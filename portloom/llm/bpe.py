@@ -15,39 +15,24 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from portloom.llm.chunks import WHITE, ChunkEncoder, spaced_chunks
+from portloom.llm.bytelevel import ASCII_WORD, WORD, byte_letters
+from portloom.llm.chunks import BlockEncoder, TextParts, spaced_chunks
 from portloom.llm.frames import map_arrow, with_column
 from portloom.llm.vocabulary import read_vocabulary, special_ids
 
-#: Fixed value: the word pattern of byte-level vocabularies, for any text and for ASCII alone.
-WORD = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^§\p{L}\p{N}]+|[§]+(?![^§])|[§]+".replace("§", WHITE)
-)
-ASCII_WORD = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
-)
-
 START = -2  # "last token" of the empty prefix
 NONE = -1
 LONG_WORD = 64  # longer words go one by one
 WORDS_AT_ONCE = 1 << 15
-
-
-def byte_letters() -> dict[int, str]:
-    """The visible character that stands for each byte in a byte-level vocabulary file: bytes with
-    a visible Latin-1 character stand for themselves, the others for the code points from 256 on."""
-    visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = [b for b in range(256) if b not in set(visible)]
-    return {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(rest)}
+#: Chunks kept per generation; encoding and decoding tasks share an executor's memory.
+REMEMBERED = 200_000
 
 
 class PairTable:
@@ -247,23 +232,24 @@ class PrefixEncoder:
             yield flat[i * width + first * 4 : (i + 1) * width]
 
 
-_ENCODERS: dict[str, tuple[PrefixEncoder, ChunkEncoder]] = {}
+_ENCODERS: dict[str, tuple[PrefixEncoder, BlockEncoder]] = {}
 
 
-def prefix_encoder(vocabulary: str) -> tuple[PrefixEncoder, ChunkEncoder]:
+def prefix_encoder(vocabulary: str) -> tuple[PrefixEncoder, BlockEncoder]:
     """Tables and chunk memory of a vocabulary, once per worker process."""
     key = hashlib.sha256(vocabulary.encode()).hexdigest()
     if key not in _ENCODERS:
         spec = json.loads(vocabulary)
         tables = PrefixEncoder(spec)
 
-        def encode_new(chunks: list[str]) -> list[bytes]:
+        def encode_many(chunks: list[str]) -> list[bytes]:
             split = [(ASCII_WORD if c.isascii() else WORD).findall(c) for c in chunks]
             distinct = list({w for ws in split for w in ws})
             ids = dict(zip(distinct, tables.encode_words([w.encode() for w in distinct]), strict=True))
             return [b"".join(map(ids.__getitem__, ws)) for ws in split]
 
-        _ENCODERS[key] = tables, ChunkEncoder(encode_new, spaced_chunks, special_ids(spec))
+        parts = TextParts(spaced_chunks, special_ids(spec))
+        _ENCODERS[key] = tables, BlockEncoder(encode_many, parts, REMEMBERED)
     return _ENCODERS[key]
 
 

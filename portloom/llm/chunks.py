@@ -19,7 +19,7 @@ _CUT = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
 _ONLY_PYTHON_WHITE = "\x1c\x1d\x1e\x1f"  # white space for str.split, visible for the tokenizers
 
 SEGMENT_CHARS = 1 << 20
-GROUP_CHARS = 1 << 22
+GROUP_CHUNKS = 600_000
 
 
 def spaced_chunks(text: str) -> list[str]:
@@ -47,53 +47,71 @@ def segments(text: str, size: int = SEGMENT_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-class ChunkEncoder:
-    """Text to little-endian unsigned 32-bit ids, with a bounded memory of chunks.
-
-    ``encode_new`` turns a list of unknown chunks into one bytes object of ids each.
-    ``special`` maps texts that are one id wherever they stand to that id's bytes. Chunks are kept in
-    two generations of ``remembered`` each (a group of texts may exceed it); those still in use move on.
-    """
-
-    def __init__(
-        self,
-        encode_new: Callable[[list[str]], Iterable[bytes]],
-        split: Callable[[str], list[str]],
-        special: dict[str, bytes],
-        remembered: int = 200_000,
-    ):
-        self._encode_new, self._split, self._special = encode_new, split, special
-        self._limit, self._ids, self._older = remembered, {}, {}
-        self._special_cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+class TextParts:
+    """Chunk lists of texts, and the ids of texts that are one id wherever they stand."""
 
-    def _learn(self, unknown: set[str]) -> None:
-        fresh = list(unknown)
-        self._ids.update(zip(fresh, self._encode_new(fresh), strict=True))
+    def __init__(self, split: Callable[[str], list[str]], special: dict[str, bytes]):
+        self._split, self._special = split, special
+        self._special_cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
-    def _parts(self, text: str) -> Iterator[tuple[str, bool]]:
+    def __call__(self, text: str | None) -> Iterator[list[str] | bytes]:
+        """The text's chunks in lists of bounded size, and special ids as bytes; a null is empty."""
+        text = text or ""
         if self._special_cut is None or not any(s in text for s in self._special):
-            yield from ((s, False) for s in segments(text))
+            yield from map(self._split, segments(text))
             return
         for part in self._special_cut.split(text):
             if part in self._special:
-                yield part, True
+                yield self._special[part]
             elif part:
-                yield from ((s, False) for s in segments(part))
+                yield from map(self._split, segments(part))
 
-    def groups(self, texts: Iterable[str | None]) -> Iterator[list[tuple[int, list[str] | bytes]]]:
-        """(text number, known chunks or special ids) in lists of bounded size; a null is empty."""
-        group, chars = [], 0
-        for number, text in enumerate(texts):
-            for part, is_special in self._parts(text or ""):
-                group.append((number, self._special[part] if is_special else self._split(part)))
-                chars += len(part)
-                if chars >= GROUP_CHARS:
-                    yield self._known(group)
-                    group, chars = [], 0
-        if group:
-            yield self._known(group)
 
-    def _known(self, group: list) -> list:
+class ChunkMemory(dict):
+    """Ids by chunk; unknown chunks are encoded when they are asked for. Chunks are kept in two
+    generations of ``most`` each; those still in use move on."""
+
+    def __init__(self, encode_one: Callable[[str], bytes], most: int):
+        super().__init__()
+        self._encode_one, self._most, self._older = encode_one, most, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self._older.get(chunk)
+        if ids is None:
+            ids = self._encode_one(chunk)
+        if len(self) >= self._most:
+            self._older = dict(self)
+            self.clear()
+        self[chunk] = ids
+        return ids
+
+
+class ChunkEncoder:
+    """Texts to little-endian unsigned 32-bit ids, chunk by chunk."""
+
+    def __init__(self, encode_one: Callable[[str], bytes], parts: TextParts, remembered: int):
+        self._parts, self.memory = parts, ChunkMemory(encode_one, remembered)
+
+    def _ids(self, part: list[str] | bytes) -> bytes:
+        return part if isinstance(part, bytes) else b"".join(map(self.memory.__getitem__, part))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts, four bytes each."""
+        return [b"".join(map(self._ids, self._parts(t))) for t in texts]
+
+
+class BlockEncoder:
+    """The same for an encoder that is fast on many chunks at once.
+
+    ``encode_many`` turns a list of chunks into one bytes object of ids each. Texts are taken in
+    groups, whose unknown chunks are encoded together; a group may exceed ``remembered``."""
+
+    def __init__(self, encode_many: Callable[[list[str]], Iterable[bytes]], parts: TextParts, remembered: int):
+        self._encode_many, self._parts, self._limit = encode_many, parts, remembered
+        self._ids: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+
+    def _learn(self, group: list[tuple[int, list[str] | bytes]]) -> None:
         seen: set[str] = set()
         for _, chunks in group:
             if not isinstance(chunks, bytes):
@@ -103,17 +121,26 @@ class ChunkEncoder:
             self._older, self._ids, unknown = self._ids, {}, seen
         recalled = {c: self._older[c] for c in unknown if c in self._older}
         self._ids.update(recalled)
-        if len(recalled) < len(unknown):
-            self._learn(unknown - recalled.keys())
-        return group
+        fresh = list(unknown - recalled.keys())
+        self._ids.update(zip(fresh, self._encode_many(fresh), strict=True))
 
-    def ids_of(self, chunks: list[str] | bytes) -> bytes:
-        return chunks if isinstance(chunks, bytes) else b"".join(map(self._ids.__getitem__, chunks))
+    def _groups(self, texts: list[str | None]) -> Iterator[list[tuple[int, list[str] | bytes]]]:
+        group, size = [], 0
+        for number, text in enumerate(texts):
+            for part in self._parts(text):
+                group.append((number, part))
+                size += len(part)
+                if size >= GROUP_CHUNKS:
+                    yield group
+                    group, size = [], 0
+        if group:
+            yield group
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts, four bytes each."""
-        parts: list[list[bytes]] = [[] for _ in texts]
-        for group in self.groups(texts):
-            for number, chunks in group:
-                parts[number].append(self.ids_of(chunks))
-        return [p[0] if len(p) == 1 else b"".join(p) for p in parts]
+        out: list[list[bytes]] = [[] for _ in texts]
+        for group in self._groups(texts):
+            self._learn(group)
+            for number, part in group:
+                out[number].append(part if isinstance(part, bytes) else b"".join(map(self._ids.__getitem__, part)))
+        return [b"".join(parts) for parts in out]

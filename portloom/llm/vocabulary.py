@@ -9,14 +9,17 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+import struct
+from functools import lru_cache
 from pathlib import Path
 
-import numpy as np
-
-from portloom.llm.chunks import ChunkEncoder, spaced_chunks, words
+from portloom.llm.bytelevel import WORD, byte_letters
+from portloom.llm.chunks import WHITE, ChunkEncoder, TextParts, spaced_chunks, words
 
 #: Chunks kept per generation, about 100 MB in each worker process.
 REMEMBERED = 600_000
+WORDS_KEPT = 50_000
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
@@ -37,9 +40,39 @@ def special_ids(spec: dict) -> dict[str, bytes]:
     return {t["content"]: int(t["id"]).to_bytes(4, "little") for t in spec["added_tokens"]}
 
 
+#: Letters and numbers below U+0180. There a normal form changes nothing, and every
+#: character but U+0130 has one lower-case character.
+_LATIN = re.compile("[\x00-\u012f\u0131-\u017f]*")
+_LATIN_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+_LATIN_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+
+
+def _latin_cut(spec: dict) -> tuple[re.Pattern, bool] | None:
+    """The vocabulary's word pattern for Latin texts and whether it lowers them, if that is known."""
+    before, words_of = spec["normalizer"], spec["pre_tokenizer"]
+    if before is None and words_of["type"] == "ByteLevel" and words_of["use_regex"] and not words_of["add_prefix_space"]:
+        pattern, lower = WORD.pattern, False
+    elif before and words_of["type"] == "Sequence":
+        steps, parts = {n["type"] for n in before.get("normalizers", [])}, words_of["pretokenizers"]
+        if steps != {"NFC", "Replace", "Lowercase"} or [p["type"] for p in parts] != ["Split", "ByteLevel"]:
+            return None
+        pattern, lower = parts[0]["pattern"]["Regex"].replace(r"\s", WHITE), True
+    else:
+        return None
+    for kind, chars in ((r"[\p{L}]", f"[{_LATIN_LETTERS}]"), (r"[\p{N}]", f"[{_LATIN_NUMBERS}]")):
+        pattern = pattern.replace(kind, chars)
+    # outside of brackets of their own the classes stand alone or in a negated class
+    pattern = re.sub(r"(\[\^[^\]]*)\\p\{L\}\\p\{N\}", rf"\g<1>{_LATIN_LETTERS}{_LATIN_NUMBERS}", pattern)
+    pattern = pattern.replace(r"\p{L}", f"[{_LATIN_LETTERS}]").replace(r"\p{N}", f"[{_LATIN_NUMBERS}]")
+    return re.compile(pattern), lower
+
+
 def library_encoder(vocabulary: str) -> ChunkEncoder:
     """Ids of the tokenizers library. White space stays in the chunks if the vocabulary is
-    byte-level without a normalizer; otherwise the vocabulary must drop white space."""
+    byte-level without a normalizer; otherwise the vocabulary must drop white space.
+
+    Latin chunks are cut here and only their words go to the library's model; others pass through
+    the library as a whole."""
     key = hashlib.sha256(vocabulary.encode()).hexdigest()
     if key not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -49,11 +82,21 @@ def library_encoder(vocabulary: str) -> ChunkEncoder:
         tokenizer = Tokenizer.from_str(vocabulary)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-
-        def encode_new(chunks: list[str]) -> list[bytes]:
-            coded = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-            return [np.array(c.ids, dtype="<u4").tobytes() for c in coded]
-
-        split = words if spec["normalizer"] else spaced_chunks
-        _ENCODERS[key] = ChunkEncoder(encode_new, split, special_ids(spec), REMEMBERED)
+        model, cut_of = tokenizer.model, _latin_cut(spec)
+        letters = byte_letters()
+
+        @lru_cache(maxsize=WORDS_KEPT)
+        def word_ids(word: str) -> bytes:
+            ids = [t.id for t in model.tokenize("".join(map(letters.__getitem__, word.encode())))]
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        def encode_one(chunk: str) -> bytes:
+            if cut_of is None or not _LATIN.fullmatch(chunk):
+                ids = tokenizer.encode(chunk, add_special_tokens=False).ids
+                return struct.pack(f"<{len(ids)}I", *ids)
+            cut, lower = cut_of
+            return b"".join(map(word_ids, cut.findall(chunk.lower() if lower else chunk)))
+
+        parts = TextParts(words if spec["normalizer"] else spaced_chunks, special_ids(spec))
+        _ENCODERS[key] = ChunkEncoder(encode_one, parts, REMEMBERED)
     return _ENCODERS[key]
