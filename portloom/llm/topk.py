@@ -93,12 +93,13 @@ class Elimination:
         look = min(FIRST_LOOK, bound.shape[1])
         first = np.argpartition(-bound, look - 1, axis=1)[:, :look]
         seen = np.einsum("qd,qmd->qm", q, candidates[first])
-        eligible = np.take_along_axis(bound, first, axis=1) >= floor[:, None]
+        near = np.take_along_axis(bound, first, axis=1)
+        eligible = (near >= floor[:, None]) & (near > -np.inf)
         np.put_along_axis(score, first, np.where(eligible, seen, -np.inf), axis=1)
         if look >= self.k:
             floor = np.maximum(floor, np.partition(score, -self.k, axis=1)[:, -self.k])
         # whoever has a bound left that reaches its floor goes on, with those candidates only
-        left = bound >= floor[:, None]
+        left = (bound >= floor[:, None]) & (bound > -np.inf)
         np.put_along_axis(left, first, False, axis=1)
         rows, columns = np.flatnonzero(left.any(axis=1)), np.flatnonzero(left.any(axis=0))
         if len(rows) and len(columns):
