@@ -200,19 +200,27 @@ def incremental_lookback(spark, sf):
 
 @query(
     "incremental_bronze",
-    """WITH first_seen AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00' AND event_id % 10 <> 0),
-    mark AS (SELECT max(ts) - INTERVAL 2 DAY AS since FROM first_seen)
-    SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, event_type, ts::DATE::VARCHAR AS part_date
-    FROM events, mark WHERE ts > since OR event_id IN (SELECT event_id FROM first_seen)""",
+    """WITH a AS (SELECT event_id, user_id, event_type, CASE WHEN event_id % 101 = 0 THEN NULL ELSE ts END AS t
+      FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00' AND event_id % 10 <> 0),
+    mark AS (SELECT max(t) - INTERVAL 2 DAY AS since FROM a),
+    b AS (SELECT event_id, user_id, event_type,
+        CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 7 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS t FROM events),
+    d AS (SELECT b.* FROM b, mark WHERE t > since),
+    held AS (SELECT * FROM d UNION ALL SELECT * FROM a WHERE event_id NOT IN (SELECT event_id FROM d))
+    SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, event_type, t::DATE::VARCHAR AS part_date FROM held""",
 )
 def incremental_bronze(spark, sf):
-    """An accumulating source loaded twice: late rows of the lookback come in, older ones do not."""
+    """An accumulating source loaded twice: late rows of the lookback come in, older ones do not, a
+    key whose time moves to another day stays one row, rows without a time stay as first loaded."""
     root, src = workspace(spark, "accumulating"), workspace(spark, "source")
     columns = ("event_id", "user_id", "event_type", "ts")
+    key = F.col("event_id")
+    timed = F.when(key % 101 != 0, F.col("ts"))
+    moved = F.when(key % 101 != 0, F.when(key % 7 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts")))
     events = table(spark, sf, "events").select(*columns)
-    cut = F.col("ts") < ntz("2024-01-20 00:00:00")
-    for day, seen in ((20, cut & (F.col("event_id") % 10 != 0)), (31, F.lit(True))):
-        events.where(seen).write.mode("overwrite").parquet(src)
+    first = events.where((F.col("ts") < ntz("2024-01-20 00:00:00")) & (key % 10 != 0)).withColumn("ts", timed)
+    for day, seen in ((20, first), (31, events.withColumn("ts", moved))):
+        seen.write.mode("overwrite").parquet(src)
         spec = SourceSpec("event_log", src, columns, target="brz.event_log", mode="watermark")
         loader.load_incremental(
             spark, spec, root, "ts", ["event_id"], "2 DAYS", "extract_event_log", datetime(2024, 1, day), f"run_{day}"
@@ -276,17 +284,19 @@ def daily_snapshot_partition(spark, sf):
 @query(
     "publish_window_replace",
     """SELECT o_orderkey, year(o_orderdate)::INTEGER AS order_year,
-      CASE WHEN year(o_orderdate) BETWEEN 1997 AND 1998 THEN 'R' ELSE o_orderstatus END AS o_orderstatus
-    FROM orders""",
+      CASE WHEN year(o_orderdate) = 1997 THEN 'R' ELSE o_orderstatus END AS o_orderstatus
+    FROM orders WHERE year(o_orderdate) <> 1998""",
 )
 def publish_window_replace(spark, sf):
+    """1997 is replaced; 1998 lies in the window too and has no rows any more."""
     rows = table(spark, sf, "orders").select(
         "o_orderkey", F.year("o_orderdate").alias("order_year"), "o_orderstatus"
     )
     path = workspace(spark, "window")
     window = F.col("order_year").between(1997, 1998)
     tables.publish(rows, path, "order_year")
-    tables.publish(rows.where(window).withColumn("o_orderstatus", F.lit("R")), path, "order_year", window)
+    newer = rows.where(F.col("order_year") == 1997).withColumn("o_orderstatus", F.lit("R"))
+    tables.publish(newer, path, "order_year", window)
     return spark.read.schema("o_orderkey long, o_orderstatus string, order_year int").parquet(path)
 
 

@@ -11,8 +11,10 @@ from portloom.catalog.topology import (
 from portloom.operators import quality as K
 from portloom.plans.gated import PIPE_ENDS, build_gated, pipe_marts
 from portloom.plans.ports import PORT_COLUMNS, clean_ports
+from portloom.plans.topology import NODE_TYPES
 from portloom.session import workspace
 
+NODE_LIST = ", ".join(f"'{kind}'" for kind in NODE_TYPES)
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
 
 
@@ -139,17 +141,18 @@ def freshness_status(spark, sf):
               CASE WHEN o_orderkey % 11 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey
             FROM orders WHERE o_orderkey % 59 <> 0),
     twice AS (SELECT * FROM renewed UNION ALL SELECT * FROM renewed WHERE o_orderkey % 101 = 0),
-    k AS (SELECT o_orderkey, count(*) AS n FROM twice GROUP BY 1)
-    SELECT o_orderkey, 'missing' AS difference, NULL AS column_name, NULL AS old_value, NULL AS new_value
-      FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM k)
-    UNION ALL SELECT o_orderkey, CASE WHEN n > 1 THEN 'duplicate' ELSE 'extra' END, NULL, NULL, NULL
-      FROM k WHERE n > 1 OR o_orderkey NOT IN (SELECT o_orderkey FROM old)
-    UNION ALL SELECT o_orderkey, 'changed', 'o_orderstatus', o.o_orderstatus, w.o_orderstatus
-      FROM old o JOIN renewed w USING (o_orderkey) JOIN k USING (o_orderkey)
-      WHERE n = 1 AND o.o_orderstatus IS DISTINCT FROM w.o_orderstatus
-    UNION ALL SELECT o_orderkey, 'changed', 'o_custkey', o.o_custkey::VARCHAR, w.o_custkey::VARCHAR
-      FROM old o JOIN renewed w USING (o_orderkey) JOIN k USING (o_orderkey)
-      WHERE n = 1 AND o.o_custkey <> w.o_custkey""",
+    c AS (SELECT coalesce(o.o_orderkey, k.o_orderkey) AS o_orderkey, coalesce(n_old, 0) AS n_old, coalesce(n_new, 0) AS n_new
+      FROM (SELECT o_orderkey, count(*) AS n_old FROM old GROUP BY 1) o
+      FULL JOIN (SELECT o_orderkey, count(*) AS n_new FROM twice GROUP BY 1) k USING (o_orderkey))
+    SELECT c.*, 'missing' AS difference, NULL AS column_name, NULL AS old_value, NULL AS new_value FROM c WHERE n_new = 0
+    UNION ALL SELECT c.*, 'extra', NULL, NULL, NULL FROM c WHERE n_old = 0
+    UNION ALL SELECT c.*, 'duplicate', NULL, NULL, NULL FROM c WHERE n_old > 1 OR n_new > 1
+    UNION ALL SELECT c.*, 'changed', 'o_orderstatus', o.o_orderstatus, w.o_orderstatus
+      FROM old o JOIN renewed w USING (o_orderkey) JOIN c USING (o_orderkey)
+      WHERE o.o_orderstatus IS DISTINCT FROM w.o_orderstatus
+    UNION ALL SELECT c.*, 'changed', 'o_custkey', o.o_custkey::VARCHAR, w.o_custkey::VARCHAR
+      FROM old o JOIN renewed w USING (o_orderkey) JOIN c USING (o_orderkey)
+      WHERE o.o_custkey <> w.o_custkey""",
 )
 def reconcile_diff(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
@@ -166,15 +169,19 @@ def reconcile_diff(spark, sf):
 @query(
     "gated_build",
     f"""{NODES}, nor AS (SELECT DISTINCT seqp_id || seqp_ch AS code, eqp_id FROM pm WHERE eqp_posn = 'NOR'),
+    dim_vendor AS (SELECT DISTINCT seqp_maker AS code FROM pm WHERE seqp_maker IS NOT NULL),
     n AS (
-      SELECT 'unique' AS check_name, 'dim_vendor' AS table_name, 'code' AS column_name, 0 AS n_violations
-      UNION ALL SELECT 'not_null', 'dim_vendor', 'code,name,type_code', 0
+      SELECT 'unique' AS check_name, 'dim_vendor' AS table_name, 'code' AS column_name,
+        (SELECT count(*) - count(DISTINCT code) FROM dim_vendor) AS n_violations
+      UNION ALL SELECT 'not_null', 'dim_vendor', 'code,name,type_code',
+        (SELECT count(*) FROM dim_vendor WHERE code IS NULL)
       UNION ALL SELECT 'unique', 'dim_equipment', 'code',
         (SELECT count(*) - count(DISTINCT code) FROM dim_equipment)
       UNION ALL SELECT 'not_null', 'dim_equipment',
         'code,type_code,team_code,division_code,site_code,line_code,area_code,group_code,layer_order',
         (SELECT count(*) FROM dim_equipment WHERE team_code IS NULL OR group_code IS NULL)
-      UNION ALL SELECT 'accepted_values', 'dim_equipment', 'type_code', 0
+      UNION ALL SELECT 'accepted_values', 'dim_equipment', 'type_code',
+        (SELECT count(*) FROM dim_equipment WHERE type_code NOT IN ({NODE_LIST}))
       UNION ALL SELECT 'relationships', 'dim_equipment', 'main_equipment_code',
         (SELECT count(*) FROM dim_equipment WHERE main_equipment_code NOT IN (SELECT code FROM dim_equipment))
       UNION ALL SELECT 'relationships', 'dim_equipment', 'vendor_code',

@@ -39,8 +39,8 @@ def change_flags(
     return out.withColumns(added).drop("_prev", "_slice")
 
 
-def _changed_rows(sliced: Sliced, cols: Sequence[str]) -> DataFrame:
-    out = with_previous(sliced, sliced.rows, cols)
+def _changed_rows(sliced: Sliced, rows: DataFrame, cols: Sequence[str]) -> DataFrame:
+    out = with_previous(sliced, rows, cols)
     return out.where(F.col("_prev").isNull() | _differs(cols))
 
 
@@ -56,7 +56,8 @@ def transitions(
 
     Only real changes become rows; ``keep_first`` also keeps the first appearance of an entity.
     """
-    out = _changed_rows(Sliced(snapshots, keys, order, rows_per_slice), cols)
+    sliced = Sliced(snapshots, keys, order, rows_per_slice)
+    out = _changed_rows(sliced, sliced.rows, cols)
     if not keep_first:
         out = out.where(F.col("_prev").isNotNull())
     moves = []
@@ -74,11 +75,13 @@ def scd2(
 ) -> DataFrame:
     """Validity intervals [valid_from, valid_to) of ``cols``; equal neighbours become one.
 
-    The first column of ``order`` is the time. The open interval has a null ``valid_to``.
+    The first column of ``order`` is the time. The open interval has a null ``valid_to``. Of several
+    rows of one time the last in ``order`` holds; the others were never valid and do not appear.
     """
     at = order[0]
     sliced = Sliced(df, keys, order, rows_per_slice)
-    starts = _changed_rows(sliced, cols).select(*keys, *order, *cols, "_slice")
+    last = with_next(sliced, sliced.rows, at, "_next").where(F.col("_next").isNull() | (F.col(at) < F.col("_next")))
+    starts = _changed_rows(sliced, last.drop("_next"), cols).select(*keys, *order, *cols, "_slice")
     out = with_next(sliced, starts, at, "valid_to")
     return out.select(
         *keys,
@@ -104,10 +107,11 @@ def point_in_time_join(
 
     Both sides are merged in time order and the last interval start is carried forward, so the
     work is linear in the rows of a key; no fact is paired with every interval. The intervals of
-    one key must not overlap, as those built by :func:`scd2`.
+    one key must not overlap, as those built by :func:`scd2`; empty ones are ignored.
     """
     keys, fact_cols = list(keys), [c for c in fact.columns if c not in keys]
-    starts = hist.select(
+    real = F.col(valid_to).isNull() | (F.col(valid_from) < F.col(valid_to))
+    starts = hist.where(real).select(
         *keys,
         F.col(valid_from).alias("_at"),
         F.lit(0).alias("_side"),

@@ -99,11 +99,12 @@ def freshness(
 
 
 def reconcile(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Differences between two outputs by key: ``missing``, ``extra``, ``duplicate`` or ``changed``
-    with one row per changed column.
+    """Differences between two outputs by key, with the key's rows on either side.
 
-    Both sides go through one grouped pass instead of an outer join, so a key that is repeated on
-    either side stays linear and is reported as a duplicate.
+    ``difference`` is ``missing`` or ``extra`` for a key of one side only, ``duplicate`` for one held
+    by several rows of a side (besides the former, if it is also on one side only), and ``changed``
+    with one row per changed column. Of a repeated key the largest row of each side is compared.
+    Both sides go through one grouped pass instead of an outer join, so a repeated key stays linear.
     """
     packed = F.struct(*cols)
     both = old.select(*keys, packed.alias("_row"), F.lit(True).alias("_old")).unionAll(
@@ -111,8 +112,8 @@ def reconcile(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequenc
     )
     old_row, new_row = F.when(F.col("_old"), F.col("_row")), F.when(~F.col("_old"), F.col("_row"))
     paired = both.groupBy(*keys).agg(
-        F.count(F.when(F.col("_old"), 1)).alias("_n_old"),
-        F.count(F.when(~F.col("_old"), 1)).alias("_n_new"),
+        F.count(F.when(F.col("_old"), 1)).alias("n_old"),
+        F.count(F.when(~F.col("_old"), 1)).alias("n_new"),
         F.max(old_row).alias("_o"),
         F.max(new_row).alias("_n"),
     )
@@ -126,24 +127,16 @@ def reconcile(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequenc
             b.cast("string").alias("new_value"),
         )
 
-    changes = F.array_compact(
-        F.array(
-            *(
-                F.when(
-                    ~F.col(f"_o.{c}").eqNullSafe(F.col(f"_n.{c}")),
-                    finding("changed", F.lit(c), F.col(f"_o.{c}"), F.col(f"_n.{c}")),
-                )
-                for c in cols
-            )
-        )
-    )
-    found = (
-        F.when((F.col("_n_old") > 1) | (F.col("_n_new") > 1), F.array(finding("duplicate")))
-        .when(F.col("_n_new") == 0, F.array(finding("missing")))
-        .when(F.col("_n_old") == 0, F.array(finding("extra")))
-        .otherwise(changes)
-    )
-    return paired.select(*keys, F.inline(found))
+    on_both = (F.col("n_old") > 0) & (F.col("n_new") > 0)
+    found = [
+        F.when((F.col("n_old") > 1) | (F.col("n_new") > 1), finding("duplicate")),
+        F.when(F.col("n_new") == 0, finding("missing")),
+        F.when(F.col("n_old") == 0, finding("extra")),
+    ]
+    for c in cols:
+        differs = on_both & ~F.col(f"_o.{c}").eqNullSafe(F.col(f"_n.{c}"))
+        found.append(F.when(differs, finding("changed", F.lit(c), F.col(f"_o.{c}"), F.col(f"_n.{c}"))))
+    return paired.select(*keys, "n_old", "n_new", F.inline(F.array_compact(F.array(*found))))
 
 
 @dataclass(frozen=True)

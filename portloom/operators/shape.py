@@ -98,12 +98,11 @@ def canonical_merge(
     ranks = {name: i for i, name in enumerate(sources)}
     tagged = union_sources(sources, provenance).withColumn("_rank", encode(provenance, ranks))
     order = [F.col("_rank"), *(F.col(c).asc_nulls_last() for c in tiebreak)]
-    winner = pick_first(tagged, keys, order)
     if not fill:
-        return winner.drop("_rank")
-    place = F.struct("_rank", *tiebreak)
-    filled = tagged.groupBy(*keys).agg(
-        *(F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in fill)
-    )
-    joined = winner.drop("_rank", *fill).join(filled, list(keys))
-    return joined.select(*[c for c in tagged.columns if c != "_rank"])
+        return pick_first(tagged, keys, order).drop("_rank")
+    place = F.struct("_rank", *(x for c in tiebreak for x in (F.col(c).isNull(), F.col(c))))
+    rest = [c for c in tagged.columns if c not in (*keys, *fill, "_rank")]
+    firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in fill]
+    # winner and filled values come from one aggregate, so every source is read once
+    one = tagged.groupBy(*keys).agg(F.min_by(F.struct(*rest), place).alias("_winner"), *firsts)
+    return one.select(*(F.col(f"_winner.{c}").alias(c) if c in rest else F.col(c) for c in tagged.columns if c != "_rank"))

@@ -1,30 +1,48 @@
 """Joins and ordered look-backs that stay balanced when one key holds a large share of the rows.
 
 Hot keys are found by an exact, map-side combined count. A key is hot when it has more than
-``rows_per_slice`` rows, so at most ``rows / rows_per_slice`` keys can be hot; the list is further
-cut to the ``MAX_HOT_KEYS`` largest, which bounds the broadcast. A key left out of the list is only
-not split, its rows are never dropped.
+``rows_per_slice`` rows, so at most ``rows / rows_per_slice`` keys are hot; all of them are split.
+The list is written once, before the plan that uses it is built: without hot keys the plan is the
+plain one, with them Spark sees the list's size and chooses between broadcast and shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from portloom.session import workspace
 
 ROWS_PER_SLICE = 1_000_000
-MAX_HOT_KEYS = 20_000
 NULL_KEY_SLICES = 1024
+SAMPLES_PER_SLICE = 64
+_SEARCH_STEPS = 32  # halvings that find a place among up to 2**32 cuts
+
+
+def _written(df: DataFrame, name: str) -> DataFrame | None:
+    """The frame as a table in the shared folder, None if it has no rows."""
+    folder = workspace(df.sparkSession, name)
+    df.write.parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    return None if out.isEmpty() else out
 
 
 def _slices(rows: Column, rows_per_slice: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(rows / F.lit(rows_per_slice))).cast("int")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi join in which null keys match; the result has the left keys."""
+    named = {c: f"_right_{c}" for c in on}
+    other = right.withColumnsRenamed(named)
+    out = left.join(other, reduce(and_, (F.col(c).eqNullSafe(F.col(r)) for c, r in named.items())), how)
+    return out.drop(*named.values())
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -52,14 +70,16 @@ def skew_join(
         counted.groupBy(*on)
         .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
         .where((F.col("_l") > rows_per_slice) | (F.col("_r") > rows_per_slice))
-        .orderBy(F.greatest("_l", "_r").desc(), *on)
-        .limit(MAX_HOT_KEYS)
+        .dropna(subset=on)
         .select(
             *on,
             _slices(F.col("_l"), rows_per_slice).alias("_a"),
             (_slices(F.col("_r"), rows_per_slice) if both_sides else F.lit(1)).alias("_b"),
         )
     )
+    hot = _written(hot, "hot-join-keys")
+    if hot is None:
+        return left.join(right, on, how)
 
     def own_slice(df: DataFrame, n: str) -> Column:
         row = F.xxhash64(*df.columns)
@@ -73,7 +93,7 @@ def skew_join(
         return F.sequence(F.lit(0), F.coalesce(F.col(n), F.lit(1)) - 1)
 
     def sliced(df: DataFrame, own: str, other: str, own_col: str, other_col: str, copy: bool) -> DataFrame:
-        out = df.join(F.broadcast(hot), on, "left")
+        out = df.join(hot, on, "left")
         cols = [F.col(c) for c in df.columns]
         out = out.select(*cols, own_slice(df, own).alias(own_col), F.col(other).alias("_n"))
         if not copy:
@@ -89,27 +109,15 @@ def skew_join(
     return lhs.join(rhs, [*on, "_sa"], how).drop("_sa")
 
 
-def _position(df: DataFrame, name: str) -> Column | None:
-    """Ordering column as a number that grows with it, to the second; None when it has none."""
-    kind, c = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.TimestampType):
-        return c.cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        day = F.unix_date(F.to_date(c)).cast("double") * 86400
-        return day + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    return None
-
-
 class Sliced:
     """Rows with a ``_slice`` column: hot keys are cut along their order, others stay whole.
 
-    Slices of one key are ordered like its rows, so a window over (key, slice) gives the right
-    neighbours inside a slice, and only the rows at slice edges need a value carried over from
-    the slice next to theirs. Rows equal in the first ordering column to the second share a slice.
+    A hot key is cut by count: a sample of its rows, taken by their hash, is put in order and every
+    ``SAMPLES_PER_SLICE``-th of it is a cut. All columns of ``order`` count, of any type that has an
+    order, nulls first as in a window; rows without a key are a key too. Slices of one key are
+    ordered like its rows, so a window over (key, slice) gives the right neighbours inside a slice,
+    and only the rows at slice edges need a value carried over from the slice next to theirs. Rows
+    equal in all of ``order`` share a slice.
     """
 
     def __init__(
@@ -120,37 +128,40 @@ class Sliced:
         rows_per_slice: int = ROWS_PER_SLICE,
     ):
         self.keys, self.order = list(keys), list(order)
-        pos = _position(df, self.order[0])
-        if pos is None:
-            self.hot, self.rows = None, df.withColumn("_slice", F.lit(0).cast("long"))
+        counted = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_slice)
+        self.hot = _written(counted.select(*self.keys), "hot-keys")
+        if self.hot is None:
+            self.rows = df.withColumn("_slice", F.lit(0).cast("long"))
+            return
+        one_in = max(1, rows_per_slice // SAMPLES_PER_SLICE)
+        per_cut = max(1, rows_per_slice // one_in)
+        place = F.struct(*self.order)
+        sample = self.of_hot_keys(df).where(F.pmod(F.xxhash64(*df.columns), F.lit(one_in)) == 0)
+        nth = F.row_number().over(Window.partitionBy(*self.keys).orderBy(*self.order))
+        cuts = sample.select(*self.keys, place.alias("_cut"), nth.alias("_nth")).where(F.col("_nth") % per_cut == 0)
+        cuts = cuts.groupBy(*self.keys).agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
+        cuts = _written(cuts, "cuts")
+        if cuts is None:
+            self.rows = df.withColumn("_slice", F.lit(0).cast("long"))
             return
-        self.hot = (
-            df.groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
-            .where(F.col("_n") > rows_per_slice)
-            .orderBy(F.col("_n").desc(), *self.keys)
-            .limit(MAX_HOT_KEYS)
-            .select(
-                *self.keys,
-                "_lo",
-                ((F.col("_hi") - F.col("_lo") + 1) / _slices(F.col("_n"), rows_per_slice)).alias("_step"),
+
+        def halve(found: Column, _: Column) -> Column:
+            low, high = found["low"], found["high"]
+            middle = F.floor((low + high) / 2).cast("int")
+            before = F.get("_cuts", middle) < place
+            narrowed = F.struct(
+                F.when(before, middle + 1).otherwise(low).alias("low"), F.when(before, high).otherwise(middle).alias("high")
             )
-        )
-        self._at = F.floor((pos - F.col("_lo")) / F.col("_step"))
-        self.rows = self._with_slice(df, "left")
-
-    def _with_slice(self, df: DataFrame, how: str) -> DataFrame:
-        return (
-            df.join(F.broadcast(self.hot), self.keys, how)
-            .withColumn("_slice", F.coalesce(self._at, F.lit(0)))
-            .select(*df.columns, "_slice")
-        )
+            return F.when(low < high, narrowed).otherwise(found)
+
+        whole = F.struct(F.lit(0).alias("low"), F.size("_cuts").alias("high"))
+        found = F.aggregate(F.sequence(F.lit(1), F.lit(_SEARCH_STEPS)), whole, halve)["low"]
+        at = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(found).cast("long")
+        self.rows = join_null_safe(df, cuts, self.keys).withColumn("_slice", at).select(*df.columns, "_slice")
 
     def of_hot_keys(self, df: DataFrame) -> DataFrame | None:
-        """Only the rows of hot keys of a frame that already has ``_slice``."""
-        if self.hot is None:
-            return None
-        return df.join(F.broadcast(self.hot.select(*self.keys)), self.keys, "left_semi")
+        """Only the rows of hot keys, None if there are none."""
+        return None if self.hot is None else join_null_safe(df, self.hot, self.keys, "left_semi")
 
     def window(self) -> Window:
         return Window.partitionBy(*self.keys, "_slice").orderBy(*self.order)
@@ -166,8 +177,8 @@ class Sliced:
         return per_slice.select(*self.keys, "_slice", near.alias("_carry"))
 
     def attach(self, df: DataFrame, carry: DataFrame) -> DataFrame:
-        """Left join of the carried values; the window's partitioning of ``df`` is reused."""
-        return df.join(carry, [*self.keys, "_slice"], "left")
+        """Left join of the carried values."""
+        return join_null_safe(df, carry, [*self.keys, "_slice"])
 
 
 def with_previous(sliced: Sliced, df: DataFrame, cols: Sequence[str], into: str = "_prev") -> DataFrame:

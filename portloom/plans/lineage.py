@@ -18,7 +18,7 @@ def stale_partitions(up: DataFrame, down: DataFrame, part: str, ts: str) -> Data
     return joined.where(behind).withColumn("reason", reason)
 
 
-def upstream_status(edges: DataFrame, status: DataFrame, max_depth: int = 32) -> DataFrame:
+def upstream_status(edges: DataFrame, status: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(consumer, waiting_for, depth, status): which direct or indirect inputs have not arrived.
 
     ``edges`` is (upstream, downstream); ``status`` holds (relation, status) as given by the

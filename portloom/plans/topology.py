@@ -331,7 +331,7 @@ def pipe_links(node_table: DataFrame, edge_table: DataFrame) -> DataFrame:
     return pipes.unionAll(bridge)
 
 
-def pipe_reachability(node_table: DataFrame, edge_table: DataFrame, max_depth: int = 16) -> DataFrame:
+def pipe_reachability(node_table: DataFrame, edge_table: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(root, node, depth): everything downstream of each chamber. Give written marts, the node
     table is read for the seeds and for the links."""
     seeds = node_table.where(F.col("type_code") == "CHAMBER").select(F.col("code").alias("node"))

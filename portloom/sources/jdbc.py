@@ -37,9 +37,23 @@ def extract_options(
     }
 
 
+def reader_options(spec: SourceSpec) -> dict[str, str]:
+    """Options for the whole table; Spark pushes columns and filters down into every range query."""
+    options = {"fetchsize": str(FETCH_SIZE), "dbtable": spec.location, **spec.options}
+    if spec.split is None:
+        return options
+    s = spec.split
+    return options | {
+        "partitionColumn": s.column,
+        "lowerBound": str(s.lower),
+        "upperBound": str(s.upper),
+        "numPartitions": str(s.partitions),
+    }
+
+
 def jdbc_reader(spark: SparkSession, spec: SourceSpec) -> DataFrameReader:
-    """Whole-table reader used for contract checks and scans; filters and columns are pushed down."""
-    return spark.read.format("jdbc").options(**{"fetchsize": str(FETCH_SIZE), "dbtable": spec.location, **spec.options})
+    """Reader used by contract checks, scans and loaders; with ``spec.split`` it reads in parallel."""
+    return spark.read.format("jdbc").options(**reader_options(spec))
 
 
 def jdbc_extract(

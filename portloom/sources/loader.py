@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from portloom.session import cut_lineage
 from portloom.sources import control
 from portloom.sources.control import newer_than
 from portloom.sources.landing import snapshot_scan, to_bronze
@@ -22,6 +23,10 @@ def control_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_table(spark, path) if table_exists(spark, path) else spark.createDataFrame([], schema)
 
 
+def target_path(root: str, spec: SourceSpec) -> str:
+    return f"{root}/{spec.target.replace('.', '/')}"
+
+
 class _Run:
     """Audit and watermark records of one run under ``root/ctl``."""
 
@@ -69,7 +74,7 @@ def load_snapshot(
     run = _Run(spark, root, dag_id, logical_date)
 
     def load() -> Load:
-        done = replace_table(to_bronze(snapshot_scan(spark, spec)), f"{root}/{spec.target.replace('.', '/')}")
+        done = replace_table(to_bronze(snapshot_scan(spark, spec)), target_path(root, spec))
         run.advance(spec.name, spec.target)
         return done
 
@@ -89,9 +94,10 @@ def load_incremental(
 ) -> Load:
     """Source rows newer than the recorded watermark minus the lookback, merged into bronze.
 
-    Bronze is partitioned by the day of ``ts`` (``part_date``) and only the days of the delta are
-    rewritten, so a run costs what arrived, not what has piled up. ``ts`` is part of the identity
-    of a row together with ``keys``. The result counts the rows of the rewritten days.
+    Bronze is partitioned by the day of ``ts`` (``part_date``) and only the days of the delta, and
+    those its keys were in before, are rewritten. A key has one row; a row without ``ts`` comes in
+    with a first load only, as nothing tells whether it is new. The delta is read once; the result
+    counts its rows.
     """
     if spec.mode != "watermark" or not spec.target:
         raise ValueError(f"{spec.name}: an incremental load needs mode 'watermark' and a target")
@@ -100,16 +106,16 @@ def load_incremental(
     def load() -> Load:
         source = snapshot_scan(spark, spec)
         mark = run.watermark(spec.name, spec.target, source.schema[ts].dataType)
-        delta = newer_than(source, ts, mark, lookback)
-        newest = delta.agg(F.max(F.col(ts).cast("timestamp")).alias("m")).first().m
-        if newest is None:
-            return Load(0, 0)
+        delta = cut_lineage(newer_than(source, ts, mark, lookback))
+        newest = delta.agg(F.max(ts).alias("own"), F.max(F.col(ts).cast("timestamp")).alias("m")).first()
         day = F.to_date(F.col(ts)).alias("part_date")
         landed = to_bronze(delta.select("*", day), spec.columns + ("part_date",))
         landed = landed.withColumn("part_date", F.col("part_date").cast("date"))
-        order = [F.col(ts).desc(), *(F.col(c).desc_nulls_last() for c in spec.columns)]
-        rows = merge_partitions(landed, f"{root}/{spec.target.replace('.', '/')}", keys, "part_date", order)
-        run.advance(spec.name, spec.target, newest)
+        order = [F.col(ts).desc_nulls_last(), *(F.col(c).desc_nulls_last() for c in spec.columns)]
+        rows = merge_partitions(landed, target_path(root, spec), keys, "part_date", order, moving=True)
+        if rows:  # late rows alone do not move the watermark back
+            moves = newest.own is not None and (mark is None or newest.own > mark)
+            run.advance(spec.name, spec.target, newest.m if moves else None)
         return Load(0, rows)
 
     return run.audited(run_id, load)

@@ -7,28 +7,53 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portloom.operators.pick import pick_first
+from portloom.operators.skew import join_null_safe
 from portloom.session import cut_lineage
 from portloom.sources.control import upsert
-from portloom.sources.tables import counted_write, path_exists
+from portloom.sources.tables import path_exists, replace_partitions
+
+
+class RepeatedKeys(ValueError):
+    """Several delta rows have one key and no order says which counts."""
 
 
 def merge_partitions(
-    delta: DataFrame, path: str, keys: Sequence[str], part_col: str, order_by: Sequence[Column] = ()
+    delta: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    part_col: str,
+    order_by: Sequence[Column] = (),
+    moving: bool = False,
 ) -> int:
     """Merges delta rows by key into a parquet table partitioned by ``part_col`` and returns the
-    rows of the partitions written.
+    number of rows merged in.
 
-    Only partitions named by the delta are read and replaced; the list of their values is all that
-    reaches the driver. The rows of a key must stay in one partition, so give a column the key
-    decides, such as the day of an event.
+    The delta is landed once and everything is derived from that copy. Only partitions that it
+    names, a null one included, are read and replaced; with ``moving`` a key may change its
+    partition, and those that hold an earlier row of a delta key are replaced too. A key counts
+    once: by ``order_by`` its first row, otherwise repeated keys are refused.
     """
-    spark = delta.sparkSession
-    keys = list(dict.fromkeys([*keys, part_col]))
-    parts = [r[0] for r in delta.select(part_col).distinct().collect()]
-    if not parts:
+    spark, keys = delta.sparkSession, list(keys)
+    own = keys if moving else list(dict.fromkeys([*keys, part_col]))
+    landed = cut_lineage(pick_first(delta, own, order_by) if order_by else delta)
+    if not order_by and not landed.dropna(subset=keys).groupBy(*own).count().where("count > 1").isEmpty():
+        raise RepeatedKeys(f"several rows of the delta for {path} have the same {own}")
+    rows = landed.count()
+    if not rows:
         return 0
     known = path_exists(spark, path)
-    base = spark.read.schema(delta.schema).parquet(path) if known else delta.limit(0)
-    merged = upsert(base.where(F.col(part_col).isin(parts)), delta, keys, order_by=order_by)
-    # the partitions are replaced while nothing reads them any more
-    return counted_write(cut_lineage(merged), path, (part_col,), mode="overwrite")
+    base = spark.read.schema(delta.schema).parquet(path) if known else landed.limit(0)
+    parts = landed.select(part_col).distinct()
+    if moving:
+        parts = parts.unionAll(base.join(landed.select(*keys), keys, "left_semi").select(part_col)).distinct()
+    parts = cut_lineage(parts)
+    touched = join_null_safe(base, parts, [part_col], "left_semi")
+    if moving:
+        merged = touched.join(landed.select(*keys), keys, "left_anti").select(*delta.columns).unionAll(landed)
+    else:
+        merged = upsert(touched, landed, own)
+    merged = cut_lineage(merged)
+    # the partitions are replaced while nothing reads them any more; with ``moving`` one may end empty
+    replace_partitions(merged, path, part_col, lambda old: join_null_safe(old, parts, [part_col], "left_semi"))
+    return rows

@@ -8,11 +8,14 @@ previous version in place. Partitioned tables replace only the partitions that a
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from portloom.session import cut_lineage
+
 LOG_SCHEMA = "version long, folder string, row_count long, published_at timestamp"
 
 
@@ -40,7 +43,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _newest(spark: SparkSession, path: str):
-    return _log(spark, path).orderBy(F.col("version").desc()).first()
+    """The last published entry; of two writers that took one number, the later one."""
+    return _log(spark, path).orderBy(F.desc("version"), F.desc("published_at"), F.desc("folder")).first()
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -91,21 +95,49 @@ def write_partition(df: DataFrame, path: str, part_date: str, part_col: str = "p
     return counted_write(dated, path, (part_col,), mode="overwrite")
 
 
+def replace_partitions(
+    df: DataFrame,
+    path: str,
+    part_col: str,
+    inside: Callable[[DataFrame], DataFrame],
+    allow_empty: bool = False,
+) -> int:
+    """Writes the partitions of ``df`` and removes the other old rows that ``inside`` selects, which
+    must be whole partitions. An empty ``df`` is refused and changes nothing unless it is allowed."""
+    spark, old = df.sparkSession, None
+
+    def files(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("_metadata.file_path").alias("file")).distinct()
+
+    if path_exists(spark, path):
+        old = cut_lineage(files(inside(spark.read.schema(df.schema).parquet(path))))
+    rows = counted_write(df, path, (part_col,), mode="overwrite")
+    if rows == 0 and not allow_empty:
+        raise EmptySnapshot(f"nothing to publish to {path}; its partitions stay")
+    if old is not None:
+        # the write took away the files of the partitions it replaced; what is left is stale
+        stale = files(spark.read.schema(df.schema).parquet(path)).join(old, "file").collect()
+        for row in stale:
+            file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.file))
+            file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)
+    return rows
+
+
 def publish(
     df: DataFrame, path: str, partition_by: str | None = None, window: Column | None = None, allow_empty: bool = False
 ) -> int:
-    """Stage and swap a whole table, or replace only the partitions of a window.
+    """Stage and swap a whole table, or replace a partitioned one, whole or within a window.
 
     With ``window`` (a condition on the partition column) rows outside it are refused, so a
-    publish cannot touch partitions it was not meant for; a partition of the window for which
-    ``df`` has no rows keeps its content.
+    publish cannot touch partitions it was not meant for. Partitions in the window, or of the whole
+    table without one, for which ``df`` has no rows are removed.
     """
     if partition_by is None:
         return replace_table(df, path, allow_empty).row_count
     if window is None:
-        return counted_write(df, path, (partition_by,), mode="overwrite")
+        return replace_partitions(df, path, partition_by, lambda old: old, allow_empty)
     inside = F.coalesce(window, F.lit(False))
     guarded = df.where(
         F.when(inside, F.lit(True)).otherwise(F.raise_error(F.lit("row outside the publish window")).cast("boolean"))
     )
-    return counted_write(guarded, path, (partition_by,), mode="overwrite")
+    return replace_partitions(guarded, path, partition_by, lambda old: old.where(inside), allow_empty)

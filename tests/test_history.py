@@ -2,11 +2,12 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from portloom.operators import history as H
 from portloom.operators.pick import latest_version, precedence_dedup, representative
-from portloom.operators.skew import skew_join
+from portloom.operators.skew import Sliced, skew_join
 
 START = datetime(2024, 1, 1)
 
@@ -120,3 +121,43 @@ def test_hot_key_with_timestamps_of_a_zone(log):
     zoned = log.withColumn("ts", F.col("ts").cast("timestamp"))
     cut = H.scd2(zoned, ["u"], ["ts"], ["kind"], 10)
     assert rows(cut) == rows(H.scd2(zoned, ["u"], ["ts"], ["kind"]))
+
+
+def test_slices_are_cut_by_count(spark):
+    """Outlier dates, one-second bursts, text order and a null key: no slice above twice its size."""
+    per = 100
+    minute = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, {})"
+    even = spark.range(3000).selectExpr("cast(id % 2 as string) AS k", f"{minute.format('id')} AS at", "id")
+    ends = spark.sql("SELECT '0' AS k, timestamp_ntz'1900-01-01 00:00:00' AS at, -1L AS id UNION ALL SELECT '0', timestamp_ntz'9999-01-01 00:00:00', -2L")
+    burst = spark.range(1000).selectExpr("'b' AS k", f"{minute.format('7')} AS at", "id")
+    lost = spark.range(1000).selectExpr("CAST(NULL AS string) AS k", f"{minute.format('id')} AS at", "id")
+    df = even.unionAll(ends).unionAll(burst).unionAll(lost)
+    for order in (["at", "id"], ["text", "id"]):
+        cut = Sliced(df.withColumn("text", F.concat(F.lit("x"), F.col("at").cast("string"))), ["k"], order, per)
+        sizes = cut.rows.groupBy("k", "_slice").count()
+        assert sizes.agg(F.max("count")).first()[0] <= 2 * per
+        assert sizes.where("k IS NULL").count() >= 5 and sizes.where("k = 'b'").count() >= 5
+        apart = cut.rows.withColumn("before", F.lag("_slice").over(Window.partitionBy("k").orderBy(*order)))
+        assert apart.where("_slice < before").count() == 0
+
+
+def test_null_keys_carry_over_cuts(spark):
+    df = spark.range(50).selectExpr("CAST(NULL AS string) AS k", "id AS t", "id div 20 AS v")
+    want = [(None, 0, 0, 20, False), (None, 1, 20, 40, False), (None, 2, 40, None, True)]
+    assert rows(H.scd2(df, ["k"], ["t"], ["v"], 4)) == rows(H.scd2(df, ["k"], ["t"], ["v"])) == want
+
+
+def test_point_in_time_does_not_depend_on_input_order(spark):
+    log = [(1, 10, 1, "a"), (1, 20, 2, "b"), (1, 20, 3, "c"), (1, 20, 4, "a"), (1, 30, 5, "d"), (1, 30, 6, "e")]
+    facts = spark.createDataFrame([(1, t) for t in (5, 10, 15, 20, 25, 30, 35)], "u int, at int")
+    want = [(1, 10, "a"), (1, 15, "a"), (1, 20, "a"), (1, 25, "a"), (1, 30, "e"), (1, 35, "e"), (1, 5, None)]
+    for given in (log, log[::-1]):
+        for size in (2, 1_000_000):
+            hist = H.scd2(spark.createDataFrame(given, "u int, ts int, n int, v string"), ["u"], ["ts", "n"], ["v"], size)
+            assert rows(hist, "v", "valid_from", "valid_to") == [("a", 10, 30), ("e", 30, None)]
+            assert rows(H.point_in_time_join(facts, hist, ["u"], "at", ["v"], rows_per_slice=size)) == want
+    # intervals of no length that came from elsewhere are ignored in any order
+    spans = [(1, "a", 0, 9), (1, "b", 9, 9), (1, "c", 9, None)]
+    for given in (spans, spans[::-1]):
+        hist = spark.createDataFrame(given, "u int, v string, valid_from int, valid_to int")
+        assert rows(H.point_in_time_join(facts.where("at = 10"), hist, ["u"], "at", ["v"])) == [(1, 10, "c")]

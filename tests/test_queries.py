@@ -10,10 +10,11 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parents[1]))
 import __spark_entry__ as driver
+from portloom import catalog
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -46,4 +47,5 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
     assert driver.entry(spark).count() > 0

@@ -116,19 +116,24 @@ def test_freshness(spark):
 
 
 def test_reconcile(spark):
-    old = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, None, 3), (5, "e", 5)], "k int, x string, y int")
-    new = spark.createDataFrame([(1, "a", 1), (2, "B", 9), (3, None, 3), (4, "d", 4), (5, "e", 5), (5, "e", 5)], "k int, x string, y int")
-    assert rows(K.reconcile(old, new, ["k"], ["x", "y"])) == [
-        (2, "changed", "x", "b", "B"), (2, "changed", "y", "2", "9"), (4, "extra", None, None, None), (5, "duplicate", None, None, None),
-    ]
+    schema = "k int, x string, y int"
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, None, 3), (5, "e", 5), (6, "f", 6), (6, "f", 6)], schema)
+    new = spark.createDataFrame([(1, "a", 1), (2, "B", 9), (3, None, 3), (4, "d", 4), (5, "e", 7), (5, "e", 6)], schema)
+    assert rows(K.reconcile(old, new, ["k"], ["x", "y"])) == sorted(
+        [
+            (2, 1, 1, "changed", "x", "b", "B"), (2, 1, 1, "changed", "y", "2", "9"), (4, 0, 1, "extra", None, None, None),
+            (5, 1, 2, "changed", "y", "5", "7"), (5, 1, 2, "duplicate", None, None, None),
+            (6, 2, 0, "duplicate", None, None, None), (6, 2, 0, "missing", None, None, None),
+        ],
+        key=lambda r: [(v is not None, str(v)) for v in r],
+    )
 
 
 def test_reachability_stops_on_cycles_and_keeps_shortest(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("a", "c"), ("x", "y")], "src string, dst string")
     seeds = spark.createDataFrame([("a",), ("q",)], "node string")
     assert rows(reachability(edges, seeds)) == [("a", "a", 0), ("a", "b", 1), ("a", "c", 1), ("q", "q", 0)]
-    with pytest.raises(RuntimeError):
-        reachability(edges, seeds, max_depth=1)
+    assert rows(reachability(edges, seeds, max_depth=0)) == [("a", "a", 0), ("q", "q", 0)]
     hub = spark.createDataFrame([("h", f"n{i}") for i in range(50)] + [(f"n{i}", "t") for i in range(50)], "src string, dst string")
     got = reachability(hub, spark.createDataFrame([("h",)], "node string"))
     assert got.count() == 52
@@ -137,7 +142,17 @@ def test_reachability_stops_on_cycles_and_keeps_shortest(spark):
 def test_hierarchy_levels(spark):
     df = spark.createDataFrame([(1, None), (2, 1), (3, 2), (9, 8), (5, 6), (6, 5)], "id int, up int")
     got = rows(hierarchy(df, "id", "up"), "node", "root", "level", "all_parent_list")
-    assert got == [(1, 1, 1, []), (2, 1, 2, [1]), (3, 1, 3, [1, 2]), (9, 9, 1, [])]
+    on_cycle = [(5, None, None, None), (6, None, None, None)]
+    assert got == [(1, 1, 1, []), (2, 1, 2, [1]), (3, 1, 3, [1, 2]), *on_cycle, (9, 9, 1, [])]
+
+
+def test_deep_chains_end(spark):
+    n = 70
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "src long, dst long")
+    got = reachability(edges, spark.createDataFrame([(0,)], "node long"))
+    assert got.count() == n + 1 and got.agg({"depth": "max"}).first()[0] == n
+    tree = hierarchy(edges.selectExpr("dst AS id", "src AS up"), "id", "up")
+    assert tree.agg({"level": "max"}).first()[0] == n
 
 
 def test_stale_partitions_and_upstream(spark):

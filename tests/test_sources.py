@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from portloom import session
 from portloom.sources import control, jdbc, landing, loader, tables
 from portloom.sources.layers import materialize
-from portloom.sources.merge import merge_partitions
-from portloom.sources.spec import SourceSpec
+from portloom.sources.merge import RepeatedKeys, merge_partitions
+from portloom.sources.spec import SourceSpec, Split
 
 CONF = session.CHECKPOINT_CONF
 NOW = datetime(2024, 5, 1, 1, 0)
@@ -87,6 +87,24 @@ def test_partition_and_window_publish(spark, folder):
     assert rows(spark.read.parquet(path), "id", "y") == [(1, 2020), (3, 2022), (9, 2021)]
 
 
+def test_publish_leaves_no_stale_partition(spark, folder):
+    path = folder("p")
+    df = spark.createDataFrame([(1, 2020), (2, 2021), (3, 2022), (4, None)], "id int, y int")
+    window = F.col("y").between(2021, 2022)
+    tables.publish(df, path, "y")
+    tables.publish(df.where("y = 2021"), path, "y", window)
+    schema = "id int, y int"
+    assert rows(spark.read.schema(schema).parquet(path)) == [(1, 2020), (2, 2021), (4, None)]
+    for part in (None, window):
+        with pytest.raises(tables.EmptySnapshot):
+            tables.publish(df.limit(0), path, "y", part)
+    assert spark.read.schema(schema).parquet(path).count() == 3
+    assert tables.publish(df.limit(0), path, "y", window, allow_empty=True) == 0
+    assert rows(spark.read.schema(schema).parquet(path)) == [(1, 2020), (4, None)]
+    tables.publish(df.where("id = 3"), path, "y")
+    assert rows(spark.read.schema(schema).parquet(path)) == [(3, 2022)]
+
+
 def test_seed_types_are_declared(spark, folder):
     spark.createDataFrame([("007", "x")], "code string, name string").write.csv(folder("s"), header=True)
     assert rows(landing.load_seed(spark, folder("s"), "code string, name string")) == [("007", "x")]
@@ -184,6 +202,35 @@ def test_jdbc_options():
             jdbc.extract_options(s, *bad)
 
 
+def test_loader_reads_a_database_in_ranges(monkeypatch):
+    s = spec(format="jdbc", location="src.ports", split=Split("a", 0, 1000, 16), options={"url": "jdbc:x"})
+    seen = {}
+
+    class Reader:
+        def format(self, kind):
+            seen["format"] = kind
+            return self
+
+        def options(self, **given):
+            seen.update(given)
+            return self
+
+        def load(self):
+            return "frame"
+
+    class Session:
+        read = Reader()
+
+    assert landing.read_source(Session(), s) == "frame"
+    assert seen == {
+        "format": "jdbc", "fetchsize": "10000", "dbtable": "src.ports", "url": "jdbc:x",
+        "partitionColumn": "a", "lowerBound": "0", "upperBound": "1000", "numPartitions": "16",
+    }
+    for bad in ({"split": Split("a", 0, 1, 2)}, {"format": "jdbc", "split": Split("zz", 0, 1, 2)}, {"target": "../x"}):
+        with pytest.raises(ValueError):
+            spec(**bad)
+
+
 class FakeSession:
     def __init__(self, named, master):
         self.conf, self.sparkContext, self.master, self.dir = {CONF: named} if named else {}, self, master, None
@@ -257,6 +304,20 @@ def test_merge_rewrites_only_touched_partitions(spark, folder):
     assert merge_partitions(delta.limit(0), path, ["id"], "p") == 0
 
 
+def test_merge_keeps_null_partitions_and_refuses_repeated_keys(spark, folder):
+    path, schema = folder("m"), "id int, v string, p string"
+    merge_partitions(spark.createDataFrame([(1, "a", None), (2, "b", "y")], schema), path, ["id"], "p")
+    assert merge_partitions(spark.createDataFrame([(3, "c", None)], schema), path, ["id"], "p") == 1
+    assert rows(spark.read.schema(schema).parquet(path)) == [(1, "a", None), (2, "b", "y"), (3, "c", None)]
+    with pytest.raises(RepeatedKeys):
+        merge_partitions(spark.createDataFrame([(2, "x", "y"), (2, "z", "y")], schema), path, ["id"], "p")
+    moved = spark.createDataFrame([(2, "B", "x"), (1, "A", "y")], schema)
+    assert merge_partitions(moved, path, ["id"], "p", moving=True) == 2
+    assert rows(spark.read.schema(schema).parquet(path)) == [(1, "A", "y"), (2, "B", "x"), (3, "c", None)]
+    merge_partitions(spark.createDataFrame([(2, "again", "w")], schema), path, ["id"], "p", moving=True)
+    assert rows(spark.read.schema(schema).parquet(path)) == [(1, "A", "y"), (2, "again", "w"), (3, "c", None)]
+
+
 @pytest.fixture(params=["UTC", "America/New_York"])
 def zone(spark, request):
     before = spark.conf.get("spark.sql.session.timeZone")
@@ -282,6 +343,9 @@ def test_load_incremental_end_to_end(spark, folder, zone):
     assert rows(spark.read.parquet(f"{root}/brz/log"), "id", "v") == want
     load(12, later)
     assert rows(spark.read.parquet(f"{root}/brz/log"), "id", "v") == want
+    assert load(12, [(2, day(11), "moved"), (7, None, "no time")]).row_count == 1
+    moved = [("1", "a"), ("2", "moved"), ("3", "c"), ("4", "late"), ("6", "new")]
+    assert rows(spark.read.parquet(f"{root}/brz/log"), "id", "v") == moved
     marks = tables.read_table(spark, f"{root}/ctl/watermark")
     assert rows(marks.select("source_name", "table_name", F.col("watermark_ts").cast("timestamp_ntz"))) == [
         ("log", "brz.log", day(12))
