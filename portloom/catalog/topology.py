@@ -79,7 +79,7 @@ path_byp AS (SELECT DISTINCT cell, unit, valve FROM units WHERE seqp_type = 'SCR
 trios AS (
   SELECT DISTINCT p.eqp_id, p.cell AS chamber_code, p.pump AS pump_code, n.unit AS nor_scrubber_code,
          n.seqp_maker AS nor_scrubber_maker, n.valve AS nor_valve_code, n.unit || '_MERGE' AS nor_merge_code,
-         b.valve AS byp_valve_code, b.unit || '_MERGE' AS byp_merge_code
+         b.unit AS byp_scrubber_code, b.valve AS byp_valve_code, b.unit || '_MERGE' AS byp_merge_code
   FROM path_pump p JOIN path_nor n USING (cell) LEFT JOIN path_byp b USING (cell))"""
 EDGES = f"""{TRIOS},
 links AS (
@@ -188,7 +188,16 @@ def tmll_pumps_without_scrubber(spark, sf):
     return G.tmll_pumps(ports(spark, sf), org(spark, sf))
 
 
-@query("path_pairing", f"{BASE}, {UNITS}, {TRIOS} SELECT * FROM trios")
+@query(
+    "path_pairing",
+    f"""{BASE}, {UNITS}, {TRIOS}
+    SELECT DISTINCT eqp_id, chamber_code, nor_scrubber_code, nor_scrubber_maker, nor_valve_code, nor_merge_code,
+      'PUMP' AS partner_type, pump_code AS partner_code, NULL::VARCHAR AS partner_valve_code,
+      NULL::VARCHAR AS partner_merge_code FROM trios
+    UNION ALL
+    SELECT DISTINCT eqp_id, chamber_code, nor_scrubber_code, nor_scrubber_maker, nor_valve_code, nor_merge_code,
+      'BYP', byp_scrubber_code, byp_valve_code, byp_merge_code FROM trios WHERE byp_scrubber_code IS NOT NULL""",
+)
 def path_pairing(spark, sf):
     return G.pair_paths(ports(spark, sf), org(spark, sf))
 
@@ -241,7 +250,7 @@ def dim_pipe(spark, sf):
 @query(
     "dim_vendor",
     f"""WITH {PM} SELECT DISTINCT seqp_maker AS code, seqp_maker AS name, 'EQUIPMENT' AS type_code,
-    'port_master seqp_maker 기준 자동 생성' AS description FROM pm WHERE seqp_type IN ('PUMP', 'SCRUBBER')""",
+    '{G.VENDOR_NOTE}' AS description FROM pm WHERE seqp_type IN ('PUMP', 'SCRUBBER')""",
 )
 def dim_vendor(spark, sf):
     return G.vendors(ports(spark, sf))

@@ -17,6 +17,7 @@ from portloom.operators.closure import reachability
 from portloom.operators.pick import pick_first
 from portloom.operators.skew import ROWS_PER_SLICE, skew_join
 from portloom.plans.ports import BYP, NOR, ORG_COLUMNS, PUMP, PUMP_POSN, SCRUBBER
+from portloom.session import cut_lineage
 
 # fixed values: type -> (precedence, layer)
 NODE_TYPES = {
@@ -40,7 +41,7 @@ EDGE_TYPES = {
 }
 MTBF_DAYS = 150
 VENDOR_TYPE = "EQUIPMENT"
-VENDOR_NOTE = "seqp_maker 기준 자동 생성"
+VENDOR_NOTE = "PortMaster2 seqp_maker 기준 자동 생성"
 
 PATH = ["eqp_id", "eqp_chamber_id", "eqp_chamber_posn"]
 CHAMBER = ["eqp_id", "eqp_chamber_id"]
@@ -201,16 +202,6 @@ def nodes(ports: DataFrame, org: DataFrame) -> DataFrame:
     return org_enrich(pick_first(node_candidates(ports, org), ["code"], order), org).select(*NODE_COLUMNS)
 
 
-def _path_pumps(ports: DataFrame, org: DataFrame) -> DataFrame:
-    pumps = ports.where(is_pump() & (F.col("eqp_posn") == PUMP_POSN))
-    return mapped(pumps, org).select(*PATH, F.col("seqp_id").alias("pump_code")).distinct()
-
-
-def _path_scrubbers(ports: DataFrame, role: str, *extra: str) -> DataFrame:
-    rows = ports.where(is_scrubber() & (F.col("eqp_posn") == role) & F.col("seqp_ch").isNotNull())
-    return rows.select(*PATH, scrubber_code().alias("scrubber"), *extra).distinct()
-
-
 def tmll_pumps(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Pumps of chambers that hold no scrubber."""
     pumps = ports.where(is_pump() & (F.col("eqp_posn") == PUMP_POSN))
@@ -219,29 +210,47 @@ def tmll_pumps(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_
     return free.select("eqp_id", chamber_code().alias("chamber_code"), "pump_code")
 
 
-def pair_paths(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Every pump with every NOR scrubber of its path and, where there are any, every BYP scrubber.
+def path_units(ports: DataFrame, org: DataFrame) -> DataFrame:
+    """(path columns, role, unit, makers): the pumps and scrubbers of paths that have both a pump and
+    a NOR scrubber, once each, written so that all edges start from one pass over the ports."""
+    pump, usable = is_pump() & (F.col("eqp_posn") == PUMP_POSN), is_scrubber() & F.col("seqp_ch").isNotNull()
+    role = F.when(pump, "PUMP").when(usable & F.col("eqp_posn").isin(NOR, BYP), F.col("eqp_posn"))
+    rows = mapped(ports, org).select(
+        *PATH,
+        role.alias("role"),
+        F.when(is_pump(), F.col("seqp_id")).otherwise(scrubber_code()).alias("unit"),
+        F.when(role == NOR, F.col("seqp_maker")).alias("maker"),
+    )
+    rows = rows.where(F.col("role").isNotNull()).distinct()
+    units = rows.groupBy(*PATH, "role", "unit").agg(F.sort_array(F.collect_list(F.struct("maker"))).alias("makers"))
+    units = cut_lineage(units)
+    complete = units.groupBy(*PATH).agg(F.max(F.col("role") == "PUMP").alias("_p"), F.max(F.col("role") == NOR).alias("_n"))
+    return units.join(complete.where("_p AND _n").select(*PATH), PATH, "left_semi")
 
-    Paths without BYP get a null partner beforehand, so both joins are inner ones and can be cut
-    on either side. The pipe edges do not need these triples, see :func:`edges`.
-    """
-    pumps = _path_pumps(ports, org)
-    nors = _path_scrubbers(ports, NOR, "seqp_maker").withColumnRenamed("scrubber", "nor_scrubber_code")
-    byps = _path_scrubbers(ports, BYP).withColumnRenamed("scrubber", "byp_scrubber_code")
-    without = nors.select(*PATH).distinct().join(byps.select(*PATH).distinct(), PATH, "left_anti")
-    byps = byps.unionAll(without.withColumn("byp_scrubber_code", F.lit(None).cast("string")))
-    joined = skew_join(skew_join(pumps, nors, PATH, "inner", rows_per_slice), byps, PATH, "inner", rows_per_slice)
-    nor, byp = F.col("nor_scrubber_code"), F.col("byp_scrubber_code")
-    return joined.select(
+
+def _path_pairs(units: DataFrame, rows_per_slice: int) -> DataFrame:
+    """Every NOR scrubber with every pump and every BYP scrubber of its path; never all three."""
+    nors = units.where(F.col("role") == NOR).select(*PATH, F.col("unit").alias("nor"), "makers")
+    others = units.where(F.col("role") != NOR).select(*PATH, "role", F.col("unit").alias("other"))
+    return skew_join(nors, others, PATH, "inner", rows_per_slice)
+
+
+def pair_paths(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """NOR scrubbers of each path with its pumps (``partner_type`` PUMP) and, where there are any, with
+    its BYP scrubbers (BYP); a scrubber of several makers comes once for each."""
+    pairs = _path_pairs(path_units(ports, org), rows_per_slice)
+    nor, other, byp = F.col("nor"), F.col("other"), F.col("role") == BYP
+    return pairs.select("*", F.explode("makers").alias("_m")).select(
         "eqp_id",
         path_code().alias("chamber_code"),
-        "pump_code",
-        "nor_scrubber_code",
-        F.col("seqp_maker").alias("nor_scrubber_maker"),
+        nor.alias("nor_scrubber_code"),
+        F.col("_m.maker").alias("nor_scrubber_maker"),
         valve_code(nor, NOR).alias("nor_valve_code"),
         code_of(nor, "_MERGE").alias("nor_merge_code"),
-        valve_code(byp, BYP).alias("byp_valve_code"),
-        code_of(byp, "_MERGE").alias("byp_merge_code"),
+        F.col("role").alias("partner_type"),
+        other.alias("partner_code"),
+        F.when(byp, valve_code(other, BYP)).alias("partner_valve_code"),
+        F.when(byp, code_of(other, "_MERGE")).alias("partner_merge_code"),
     )
 
 
@@ -259,67 +268,43 @@ def _edge(kind: str, chamber: Column, start: Column, end: Column, vendor: Column
     )
 
 
-def _path_partners(ports: DataFrame, org: DataFrame) -> DataFrame:
-    """Pumps and BYP scrubbers of each path, in one pass over the ports."""
-    pump = is_pump() & (F.col("eqp_posn") == PUMP_POSN)
-    byp = is_scrubber() & (F.col("eqp_posn") == BYP) & F.col("seqp_ch").isNotNull()
-    rows = mapped(ports.where(pump | byp), org)
-    other = F.when(is_pump(), F.col("seqp_id")).otherwise(scrubber_code())
-    return rows.select(*PATH, other.alias("other"), is_pump().alias("is_pump")).distinct()
-
-
 def edges(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Pipe edges of six types between equipment nodes.
 
-    An edge links at most a NOR scrubber with one pump or one BYP scrubber of its path, so NOR rows
-    of paths with a pump meet both kinds in one join of pairs and the pump x NOR x BYP product is
-    never made. What a pair stands for is reduced to distinct short keys (``x``, ``y``) before the
-    long edge codes are written.
+    Four types belong to one unit of a complete path and come straight from its row; only PS and SS
+    link two units, a NOR scrubber with a pump or a BYP scrubber of its path. SS differs by maker.
     """
-    others = _path_partners(ports, org)
-    pumped = others.groupBy(*PATH).agg(F.max("is_pump").alias("_pumped")).where("_pumped").drop("_pumped")
-    nors = skew_join(_path_scrubbers(ports, NOR, "seqp_maker"), pumped, PATH, "left_semi", rows_per_slice)
-    pairs = skew_join(nors, others, PATH, "inner", rows_per_slice)
-
-    def key(kind: str, x: str, y: str | None = None, vendor: str | None = None) -> Column:
-        none = F.lit(None).cast("string")
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            F.col(x).alias("x"),
-            (F.col(y) if y else none).alias("y"),
-            (F.col(vendor) if vendor else none).alias("vendor"),
+    units = path_units(ports, org)
+    cell, unit = path_code(), F.col("unit")
+    merge = code_of(unit, "_MERGE")
+    of_unit = (
+        F.when(F.col("role") == "PUMP", F.array(_edge("FORELINE", cell, cell, unit)))
+        .when(F.col("role") == BYP, F.array(_edge("ALLBYPASS", cell, valve_code(unit, BYP), merge)))
+        .otherwise(
+            F.array(_edge("SD1", cell, unit, merge), _edge("SD2", cell, merge, code_of(F.col("eqp_id"), "_DUCT")))
         )
-
-    by_pump = F.array(key("FORELINE", "other"), key("PS", "other", "scrubber"), key("SD", "scrubber"))
-    by_byp = F.array(key("SS", "scrubber", "other", "seqp_maker"), key("ALLBYPASS", "other"))
-    keys = pairs.select(*PATH, F.inline(F.when(F.col("is_pump"), by_pump).otherwise(by_byp))).distinct()
-
-    cell, x, y = path_code(), F.col("x"), F.col("y")
-    merge = code_of(x, "_MERGE")
-    unfolded = {
-        "FORELINE": [_edge("FORELINE", cell, cell, x)],
-        "PS": [_edge("PS", cell, x, valve_code(y, NOR))],
-        "SD": [_edge("SD1", cell, x, merge), _edge("SD2", cell, merge, code_of(F.col("eqp_id"), "_DUCT"))],
-        "SS": [_edge("SS", cell, valve_code(x, NOR), valve_code(y, BYP), F.col("vendor"))],
-        "ALLBYPASS": [_edge("ALLBYPASS", cell, valve_code(x, BYP), merge)],
-    }
-    of_kind = F.lit(None)
-    for kind, made in unfolded.items():
-        of_kind = F.when(F.col("kind") == kind, F.array(*made)).otherwise(of_kind)
-    process = keys.select(F.inline(of_kind))
+    )
+    valve, other = valve_code(F.col("nor"), NOR), F.col("other")
+    by_maker = F.transform(
+        "makers", lambda m: _edge("SS", cell, valve, valve_code(other, BYP), m["maker"])
+    )
+    of_pair = F.when(F.col("role") == BYP, by_maker).otherwise(F.array(_edge("PS", cell, other, valve)))
     free = F.array(_edge("FORELINE", F.col("chamber_code"), F.col("chamber_code"), F.col("pump_code")))
-    transfer = tmll_pumps(ports, org, rows_per_slice).select(F.inline(free))
-    return process.unionAll(transfer)
+    return (
+        units.select(F.inline(of_unit))
+        .unionAll(_path_pairs(units, rows_per_slice).select(F.inline(of_pair)))
+        .unionAll(tmll_pumps(ports, org, rows_per_slice).select(F.inline(free)))
+    )
 
 
-def vendors(ports: DataFrame, source_label: str = "port_master") -> DataFrame:
-    """Makers seen on pumps and scrubbers; ``source_label`` opens the note on where they come from."""
+def vendors(ports: DataFrame, note: str = VENDOR_NOTE) -> DataFrame:
+    """Makers seen on pumps and scrubbers; ``note`` says where they come from."""
     makers = ports.where(F.col("seqp_type").isin(PUMP, SCRUBBER)).select("seqp_maker").distinct()
     return makers.select(
         F.col("seqp_maker").alias("code"),
         F.col("seqp_maker").alias("name"),
         F.lit(VENDOR_TYPE).alias("type_code"),
-        F.lit(f"{source_label} {VENDOR_NOTE}").alias("description"),
+        F.lit(note).alias("description"),
     )
 
 

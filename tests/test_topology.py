@@ -72,11 +72,19 @@ def test_pair_scrubbers_share_merge_and_layers(built):
     ]
 
 
-def test_pairing_triples_and_null_byp(built):
-    ports, orgs, _, _ = built
-    trios = G.pair_paths(ports, orgs).collect()
-    assert len(trios) == 16
-    assert {r.byp_valve_code is None for r in trios if r.eqp_id == "CX30"} == {True}
+def test_pairing_without_triples(built):
+    ports, orgs, _, edges = built
+    pairs = G.pair_paths(ports, orgs).collect()
+    kinds, made = [r.partner_type for r in pairs], by_type(edges)
+    assert kinds.count("PUMP") == made["PS"] and kinds.count("BYP") == made["SS"]
+    assert {r.partner_type for r in pairs if r.eqp_id == "CX30"} == {"PUMP"}
+    assert all((r.partner_valve_code is None) == (r.partner_type == "PUMP") for r in pairs)
+
+
+def test_vendor_note(built):
+    ports, _, _, _ = built
+    assert {r.description for r in G.vendors(ports).collect()} == {G.VENDOR_NOTE}
+    assert {r.description for r in G.vendors(ports, "by hand").collect()} == {"by hand"}
 
 
 def test_copies_do_not_matter(spark, built):
@@ -97,7 +105,7 @@ def test_hot_paths_are_cut_without_changing_edges(spark, slice_rows):
     assert rows(cut) == rows(whole)
     assert by_type(cut) == {"FORELINE": 11, "PS": 36, "SS": 12, "ALLBYPASS": 3, "SD1": 4, "SD2": 4}
     assert rows(G.pair_paths(ports, orgs, slice_rows)) == rows(G.pair_paths(ports, orgs))
-    assert G.pair_paths(ports, orgs).count() == 9 * 4 * 3
+    assert G.pair_paths(ports, orgs).count() == 9 * 4 + 4 * 3
 
 
 def test_invalid_rows_go(spark):
