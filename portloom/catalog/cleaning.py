@@ -40,11 +40,11 @@ def conform_dim_single(spark, sf):
     """WITH evidence AS (
       SELECT l_orderkey, count(*) AS evidence_count FROM lineitem WHERE l_returnflag NOT IN ('R') GROUP BY 1)
     SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS order_amount,
-      coalesce(c.c_name, s.s_name, n.n_name) AS merchant_name, evidence_count,
+      coalesce(CASE WHEN c_mktsegment <> 'MACHINERY' THEN c.c_name END, s.s_name, n.n_name) AS merchant_name, evidence_count,
       CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN o_orderdate END AS deleted_at,
       (o_orderstatus = 'F' AND o_orderpriority = '5-LOW') AS is_deleted
     FROM orders
-    LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) c ON c.c_custkey = o_custkey
+    LEFT JOIN customer c ON c.c_custkey = o_custkey
     LEFT JOIN supplier s ON s.s_suppkey = o_custkey
     LEFT JOIN nation n ON n.n_nationkey = o_custkey % 25
     LEFT JOIN evidence e ON e.l_orderkey = o_orderkey""",
@@ -60,12 +60,14 @@ def conform_event_multi(spark, sf):
     )
     evidence = table(spark, sf, "lineitem").where(~F.col("l_returnflag").isin("R"))
     evidence = evidence.groupBy(F.col("l_orderkey").alias("order_id")).agg(F.count(F.lit(1)).alias("evidence_count"))
-    customer = table(spark, sf, "customer").where(F.col("c_acctbal") > 5000)
+    # the source gives no names for one segment
+    name = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_name"))
+    customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id"), name.alias("c_name"))
     supplier = table(spark, sf, "supplier")
     out = join_details(
         base,
         [
-            (customer.select(F.col("c_custkey").alias("customer_id"), "c_name"), ["customer_id"]),
+            (customer, ["customer_id"]),
             (supplier.select(F.col("s_suppkey").alias("customer_id"), "s_name"), ["customer_id"]),
             (table(spark, sf, "nation").select("n_nationkey", "n_name"), ["n_nationkey"]),
             (evidence, ["order_id"]),

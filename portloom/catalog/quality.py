@@ -6,15 +6,14 @@ from pyspark.sql import functions as F
 
 from portloom.catalog.registry import query, table
 from portloom.catalog.topology import (
-    BASE, EDGES, NODES, PM, PM_RAW, UNITS, dim_equipment, dim_pipe, org, ports, raw_ports,
+    BASE, EDGES, NODES, ORG_GAPS, PM, PM_RAW, UNITS, dim_equipment, dim_pipe, org, ports, raw_ports,
 )
 from portloom.operators import quality as K
-from portloom.plans.gated import PIPE_ENDS, build_gated, pipe_marts
-from portloom.plans.ports import PORT_COLUMNS, clean_ports
-from portloom.plans.topology import NODE_TYPES
+from portloom.plans.gated import NODE_FILLED, PIPE_ENDS, PIPE_FILLED, PORT_FILLED, build_gated, pipe_marts
+from portloom.plans.ports import ORG_COLUMNS, PORT_COLUMNS, clean_ports
+from portloom.plans.topology import EDGE_TYPES, NODE_TYPES
 from portloom.session import workspace
 
-NODE_LIST = ", ".join(f"'{kind}'" for kind in NODE_TYPES)
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
 
 
@@ -77,12 +76,18 @@ def check_scrubber_owner(spark, sf):
 
 @query(
     "check_merge_owner",
-    f"""{NODES} SELECT m.code, m.main_equipment_code FROM dim_equipment m
-    JOIN (SELECT code, main_equipment_code AS owner FROM dim_equipment WHERE type_code = 'SCRUBBER') s
+    f"""{NODES}, seen AS (SELECT code, type_code, group_code, CASE WHEN type_code = 'SCRUBBER_MERGE' AND length(code) % 2 = 0
+        THEN 'X' || main_equipment_code ELSE main_equipment_code END AS main_equipment_code FROM dim_equipment)
+    SELECT m.code, m.main_equipment_code FROM seen m
+    JOIN (SELECT code, main_equipment_code AS owner FROM seen WHERE type_code = 'SCRUBBER') s
       ON s.code = m.group_code AND s.owner <> m.main_equipment_code WHERE m.type_code = 'SCRUBBER_MERGE'""",
 )
 def check_merge_owner(spark, sf):
-    return K.merge_owner(dim_equipment(spark, sf))
+    """On a node table in which part of the merges have lost their owner."""
+    lost = (F.col("type_code") == "SCRUBBER_MERGE") & (F.length("code") % 2 == 0)
+    owner = F.col("main_equipment_code")
+    nodes = dim_equipment(spark, sf)
+    return K.merge_owner(nodes.withColumn("main_equipment_code", F.when(lost, F.concat(F.lit("X"), owner)).otherwise(owner)))
 
 
 @query(
@@ -166,38 +171,67 @@ def reconcile_diff(spark, sf):
     return K.reconcile(orders.where(key % 53 != 0), twice, ["o_orderkey"], ["o_orderstatus", "o_custkey"])
 
 
-@query(
-    "gated_build",
-    f"""{NODES}, nor AS (SELECT DISTINCT seqp_id || seqp_ch AS code, eqp_id FROM pm WHERE eqp_posn = 'NOR'),
-    dim_vendor AS (SELECT DISTINCT seqp_maker AS code FROM pm WHERE seqp_maker IS NOT NULL),
-    n AS (
-      SELECT 'unique' AS check_name, 'dim_vendor' AS table_name, 'code' AS column_name,
-        (SELECT count(*) - count(DISTINCT code) FROM dim_vendor) AS n_violations
-      UNION ALL SELECT 'not_null', 'dim_vendor', 'code,name,type_code',
-        (SELECT count(*) FROM dim_vendor WHERE code IS NULL)
-      UNION ALL SELECT 'unique', 'dim_equipment', 'code',
-        (SELECT count(*) - count(DISTINCT code) FROM dim_equipment)
-      UNION ALL SELECT 'not_null', 'dim_equipment',
-        'code,type_code,team_code,division_code,site_code,line_code,area_code,group_code,layer_order',
-        (SELECT count(*) FROM dim_equipment WHERE team_code IS NULL OR group_code IS NULL)
-      UNION ALL SELECT 'accepted_values', 'dim_equipment', 'type_code',
-        (SELECT count(*) FROM dim_equipment WHERE type_code NOT IN ({NODE_LIST}))
-      UNION ALL SELECT 'relationships', 'dim_equipment', 'main_equipment_code',
-        (SELECT count(*) FROM dim_equipment WHERE main_equipment_code NOT IN (SELECT code FROM dim_equipment))
-      UNION ALL SELECT 'relationships', 'dim_equipment', 'vendor_code',
-        (SELECT count(*) FROM dim_equipment WHERE vendor_code NOT IN (SELECT seqp_maker FROM pm))
-      UNION ALL SELECT 'merge_owner', 'dim_equipment', 'main_equipment_code',
-        (SELECT count(*) FROM dim_equipment m JOIN dim_equipment s ON s.code = m.group_code
-           AND s.type_code = 'SCRUBBER' AND m.type_code = 'SCRUBBER_MERGE'
-           AND s.main_equipment_code <> m.main_equipment_code)
-      UNION ALL SELECT 'scrubber_owner', 'dim_equipment', 'main_equipment_code',
-        (SELECT count(*) FROM dim_equipment WHERE type_code = 'SCRUBBER' AND code IN (SELECT code FROM nor)
-           AND (code, main_equipment_code) NOT IN (SELECT (code, eqp_id) FROM nor)))
-    SELECT check_name, table_name, column_name, n_violations::BIGINT AS n_violations,
-      CASE WHEN n_violations > 0 THEN 'fail' ELSE 'pass' END AS status,
-      sum(n_violations) OVER (PARTITION BY table_name) = 0 AS published FROM n""",
-)
+def gated_sql(nodes: str, pipes: bool) -> str:
+    """Violations of every check of the gated build, counted table by table."""
+    nulls = lambda t, cols: f"(SELECT {' + '.join(f'count(*) - count({c})' for c in cols)} FROM {t})"
+    repeated = lambda t, c: f"(SELECT count(*) FROM (SELECT 1 FROM {t} GROUP BY {c} HAVING count(*) > 1))"
+    outside = lambda t, c, some: f"(SELECT count(*) FROM {t} WHERE {c} NOT IN ({some}))"
+    listed = lambda kinds: ", ".join(f"'{k}'" for k in kinds)
+    org_filled = ["eqp_id", *ORG_COLUMNS]
+    vendor_filled = ["code", "name", "type_code"]
+    checks = [
+        ("not_null", "slv_ports", ",".join(PORT_FILLED), nulls("used_ports", PORT_FILLED)),
+        ("accepted_values", "slv_ports", "seqp_type", outside("used_ports", "seqp_type", "'PUMP', 'SCRUBBER'")),
+        ("unique", "slv_org", "eqp_id", repeated("org", "eqp_id")),
+        ("not_null", "slv_org", ",".join(org_filled), nulls("org", org_filled)),
+        ("unique", "dim_vendor", "code", repeated("dim_vendor", "code")),
+        ("not_null", "dim_vendor", ",".join(vendor_filled), nulls("dim_vendor", vendor_filled)),
+        ("unique", "dim_equipment", "code", repeated("dim_equipment", "code")),
+        ("not_null", "dim_equipment", ",".join(NODE_FILLED), nulls("dim_equipment", NODE_FILLED)),
+        ("accepted_values", "dim_equipment", "type_code", outside("dim_equipment", "type_code", listed(NODE_TYPES))),
+        ("relationships", "dim_equipment", "main_equipment_code",
+         outside("dim_equipment", "main_equipment_code", "SELECT code FROM dim_equipment")),
+        ("relationships", "dim_equipment", "vendor_code", outside("dim_equipment", "vendor_code", "SELECT code FROM dim_vendor")),
+        ("merge_owner", "dim_equipment", "main_equipment_code",
+         """(SELECT count(*) FROM dim_equipment m JOIN dim_equipment s ON s.code = m.group_code
+             AND s.type_code = 'SCRUBBER' AND m.type_code = 'SCRUBBER_MERGE'
+             AND s.main_equipment_code <> m.main_equipment_code)"""),
+        ("scrubber_owner", "dim_equipment", "main_equipment_code",
+         """(SELECT count(*) FROM dim_equipment WHERE type_code = 'SCRUBBER' AND code IN (SELECT code FROM nor)
+             AND (code, main_equipment_code) NOT IN (SELECT (code, eqp_id) FROM nor))"""),
+    ]
+    if pipes:
+        checks += [
+            ("unique", "dim_pipe", "code", repeated("dim_pipe", "code")),
+            ("not_null", "dim_pipe", ",".join(PIPE_FILLED), nulls("dim_pipe", PIPE_FILLED)),
+            ("accepted_values", "dim_pipe", "type_code", outside("dim_pipe", "type_code", listed(EDGE_TYPES))),
+            ("relationships", "dim_pipe", ",".join(PIPE_ENDS), outside("held", "value", "SELECT code FROM dim_equipment")),
+        ]
+    counted = " UNION ALL ".join(
+        f"SELECT '{check}' AS check_name, '{t}' AS table_name, '{c}' AS column_name, {n}::BIGINT AS n_violations"
+        for check, t, c, n in checks
+    )
+    held = f"held AS (SELECT unnest([{', '.join(PIPE_ENDS)}]) AS value FROM dim_pipe)," if pipes else ""
+    return f"""{nodes}, {EDGES + "," if pipes else ""} {held}
+    nor AS (SELECT DISTINCT seqp_id || seqp_ch AS code, eqp_id FROM pm WHERE eqp_posn = 'NOR'),
+    used_ports AS (SELECT * FROM pm_raw
+      WHERE seqp_maker <> '' AND seqp_id <> '' AND NOT (seqp_type = 'SCRUBBER' AND seqp_ch IS NULL)),
+    dim_vendor AS (SELECT DISTINCT seqp_maker AS code, seqp_maker AS name, 'EQUIPMENT' AS type_code FROM pm),
+    n AS ({counted})
+    SELECT *, CASE WHEN n_violations > 0 THEN 'fail' ELSE 'pass' END AS status,
+      sum(n_violations) OVER (PARTITION BY table_name) = 0 AS published FROM n"""
+
+
+@query("gated_build", gated_sql(NODES, pipes=False))
 def gated_build(spark, sf):
     """Here a scrubber whose only NOR user has no organisation fails the node table, so pipes wait."""
     marts = pipe_marts(ports(spark, sf), org(spark, sf))
     return build_gated(marts, workspace(spark, "marts"), must_pass=False)
+
+
+@query("gated_pipes", gated_sql(NODES.replace(ORG_GAPS, ""), pipes=True))
+def gated_pipes(spark, sf):
+    """With every organisation known the node table passes; pipes then fail on ducts that no node is,
+    where an equipment uses scrubbers that all belong to others."""
+    marts = pipe_marts(ports(spark, sf), org(spark, sf, gaps=False))
+    return build_gated(marts, workspace(spark, "marts"), must_pass=False)

@@ -32,12 +32,13 @@ PM = PM_RAW + """,
 pm AS (
   SELECT DISTINCT * FROM pm_raw
   WHERE seqp_maker <> '' AND seqp_id <> '' AND NOT (seqp_type = 'SCRUBBER' AND seqp_ch IS NULL))"""
-ORG = """
+ORG_GAPS = " WHERE n % 20 <> 0"  # equipments without an organisation
+ORG = f"""
 org AS (
   SELECT 'E' || n::VARCHAR AS eqp_id, 'T' || (n % 7)::VARCHAR AS team_code, 'D' || (n % 3)::VARCHAR AS division_code,
          'P' || (n % 4)::VARCHAR AS site_code, 'L' || (n % 11)::VARCHAR AS line_code,
          'A' || (n % 5)::VARCHAR AS area_code
-  FROM (SELECT DISTINCT o_orderkey // 10 AS n FROM orders) WHERE n % 20 <> 0)"""
+  FROM (SELECT DISTINCT o_orderkey // 10 AS n FROM orders){ORG_GAPS})"""
 UNITS = """
 units AS (
   SELECT pm.*, eqp_id || '_' || eqp_chamber_id AS chamber,
@@ -107,8 +108,8 @@ def ports(spark, sf):
     return P.valid_ports(raw_ports(spark, sf))
 
 
-def org(spark, sf):
-    return P.org_interface(P.org_mapping(table(spark, sf, "orders")))
+def org(spark, sf, gaps=True):
+    return P.org_interface(P.org_mapping(table(spark, sf, "orders"), gaps))
 
 
 @query("slv_clean_rows", f"WITH {PM} SELECT * FROM pm")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from portloom.operators import quality as K
 from portloom.plans import topology as G
+from portloom.plans.ports import ORG_COLUMNS, PUMP, SCRUBBER
 from portloom.sources.layers import materialize
 
 Marts = dict[str, DataFrame]
@@ -17,6 +18,7 @@ Marts = dict[str, DataFrame]
 NODE_FILLED = [
     "code", "type_code", "team_code", "division_code", "site_code", "line_code", "area_code", "group_code", "layer_order",
 ]
+PORT_FILLED = ["eqp_id", "eqp_chamber_id", "eqp_chamber_posn", "eqp_posn", "seqp_type", "seqp_maker", "seqp_id"]
 PIPE_ENDS = ["main_equipment_code", "chamber_code", "from_equipment_code", "to_equipment_code"]
 PIPE_FILLED = ["code", "type_code", *PIPE_ENDS, "length_m", "mtbf_days"]
 
@@ -31,6 +33,23 @@ class Mart:
 
 
 def pipe_marts(ports: DataFrame, org: DataFrame) -> list[Mart]:
+    """The cleaned tables and the marts made from them, each with its checks; a broken cleaned table
+    stops everything, and the marts read the cleaned tables as written."""
+
+    def port_checks(m: Marts):
+        t, name = m["slv_ports"], "slv_ports"
+        return [
+            K.Check("not_null", name, ",".join(PORT_FILLED), K.not_null(t, PORT_FILLED), "n_violations"),
+            K.Check("accepted_values", name, "seqp_type", K.accepted_values(t, "seqp_type", [PUMP, SCRUBBER]), "n_rows"),
+        ]
+
+    def org_checks(m: Marts):
+        t, filled = m["slv_org"], ["eqp_id", *ORG_COLUMNS]
+        return [
+            K.Check("unique", "slv_org", "eqp_id", K.unique(t, ["eqp_id"])),
+            K.Check("not_null", "slv_org", ",".join(filled), K.not_null(t, filled), "n_violations"),
+        ]
+
     def vendor_checks(m: Marts):
         t = m["dim_vendor"]
         return [
@@ -47,7 +66,7 @@ def pipe_marts(ports: DataFrame, org: DataFrame) -> list[Mart]:
             K.Check("relationships", name, "main_equipment_code", K.relationships(t, "main_equipment_code", t, "code"), "n_rows"),
             K.Check("relationships", name, "vendor_code", K.relationships(t, "vendor_code", m["dim_vendor"], "code"), "n_rows"),
             K.Check("merge_owner", name, "main_equipment_code", K.merge_owner(t)),
-            K.Check("scrubber_owner", name, "main_equipment_code", K.scrubber_owner(t, ports)),
+            K.Check("scrubber_owner", name, "main_equipment_code", K.scrubber_owner(t, m["slv_ports"])),
         ]
 
     def pipe_checks(m: Marts):
@@ -61,9 +80,11 @@ def pipe_marts(ports: DataFrame, org: DataFrame) -> list[Mart]:
         ]
 
     return [
-        Mart("dim_vendor", lambda m: G.vendors(ports), vendor_checks),
-        Mart("dim_equipment", lambda m: G.nodes(ports, org), node_checks),
-        Mart("dim_pipe", lambda m: G.edges(ports, org), pipe_checks),
+        Mart("slv_ports", lambda m: ports, port_checks),
+        Mart("slv_org", lambda m: org, org_checks),
+        Mart("dim_vendor", lambda m: G.vendors(m["slv_ports"]), vendor_checks),
+        Mart("dim_equipment", lambda m: G.nodes(m["slv_ports"], m["slv_org"]), node_checks),
+        Mart("dim_pipe", lambda m: G.edges(m["slv_ports"], m["slv_org"]), pipe_checks),
     ]
 
 

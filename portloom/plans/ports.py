@@ -43,12 +43,12 @@ def port_master(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def org_mapping(orders: DataFrame) -> DataFrame:
-    """Equipment to organisation, one row per equipment; every twentieth one is unmapped."""
+def org_mapping(orders: DataFrame, gaps: bool = True) -> DataFrame:
+    """Equipment to organisation, one row per equipment; with ``gaps`` every twentieth is unmapped."""
     n = F.col("n")
     code = lambda letter, k: F.concat(F.lit(letter), (n % k).cast("string"))
     numbers = orders.select(F.floor(F.col("o_orderkey") / 10).alias("n")).distinct()
-    return numbers.where(n % 20 != 0).select(
+    return (numbers.where(n % 20 != 0) if gaps else numbers).select(
         F.concat(F.lit("E"), n.cast("string")).alias("eqp_id"),
         code("T", 7).alias("team_code"),
         code("D", 3).alias("division_code"),

@@ -206,7 +206,7 @@ def test_gate_publishes_good_marts_and_blocks_bad_ones(built, spark, folder):
     root = folder("wh")
     results = build_gated(pipe_marts(ports, orgs), root).collect()
     assert {(r.table_name, r.published, r.status) for r in results} == {
-        (t, True, "pass") for t in ("dim_vendor", "dim_equipment", "dim_pipe")
+        (t, True, "pass") for t in ("slv_ports", "slv_org", "dim_vendor", "dim_equipment", "dim_pipe")
     }
     assert rows(read_table(spark, f"{root}/gld/dim_pipe")) == rows(edges)
 
@@ -218,5 +218,8 @@ def test_gate_publishes_good_marts_and_blocks_bad_ones(built, spark, folder):
     assert rows(read_table(spark, f"{root}/gld/dim_pipe")) == rows(edges)
     other = folder("other")
     stopped = build_gated(pipe_marts(bad_ports, bad_org), other, must_pass=False).collect()
-    assert {(r.table_name, r.published) for r in stopped} == {("dim_vendor", True), ("dim_equipment", False)}
+    good = {(t, True) for t in ("slv_ports", "slv_org", "dim_vendor")}
+    assert {(r.table_name, r.published) for r in stopped} == {*good, ("dim_equipment", False)}
+    with pytest.raises(K.GateFailed, match="unique slv_org.eqp_id"):
+        build_gated(pipe_marts(bad_ports, bad_org.unionAll(bad_org)), folder("twice"))
     assert not table_exists(spark, f"{other}/gld/dim_equipment")
