@@ -31,8 +31,9 @@ from portloom.llm.frames import map_arrow, small_batches
 from portloom.llm.linewords import blocks, line_words
 from portloom.llm.staging import staged
 
-SLOT_BITS, WIDTH, NONZERO, REACH = 15, 64, 4, 2
+SLOT_BITS, WIDTH, NONZERO, REACH = 14, 32, 2, 2
 SLOTS = 1 << SLOT_BITS
+WORDS_AT_ONCE = 1 << 20  # words whose contexts are added together
 FEATURES = 2 * WIDTH + 1
 MAX_ROWS = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
@@ -78,11 +79,21 @@ def context_sums(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, index = np.zeros((SLOTS, WIDTH + 1), dtype=np.int64), _index_vectors()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add() -> None:
+            if held:
+                add_contexts(total, *map(np.concatenate, zip(*held, strict=True)), index)
+                held.clear()
+
         for batch in batches:
             for part in small_batches(batch, "text"):
                 for block, owner, _ in blocks(part.column("text").to_pylist()):
                     line, slots = _slots(block)
-                    add_contexts(total, slots, owner[line], index)
+                    held.append((slots, owner[line]))
+                    if sum(len(s) for s, _ in held) >= WORDS_AT_ONCE:
+                        add()
+                add()  # documents are numbered within a part
         yield pa.RecordBatch.from_arrays([pa.array([_packed(total)], pa.binary())], names=["sums"])
 
     parts = docs.select(F.col(text).alias("text")).mapInArrow(count, "sums binary").rdd
@@ -102,17 +113,17 @@ def word_vectors(sums: np.ndarray) -> np.ndarray:
 
 def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
     """One row of features per text."""
-    sums, counts = np.zeros((len(texts), 2 * WIDTH)), np.zeros(len(texts))
+    sums, counts = np.zeros((len(texts), 2 * WIDTH), dtype=np.float64), np.zeros(len(texts))
+    both = np.hstack([vectors, vectors * vectors])
     for block, owner, _ in blocks(texts):
         line, slots = _slots(block)
         if not len(slots):
             continue
         rows = owner[line]
-        first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        own = vectors[slots].astype(np.float64)
-        sums[rows[first], :WIDTH] += np.add.reduceat(own, first)
-        sums[rows[first], WIDTH:] += np.add.reduceat(own * own, first)
-        counts[rows[first]] += np.diff(np.append(first, len(rows)))
+        cuts = [0, *(np.flatnonzero(rows[1:] != rows[:-1]) + 1).tolist(), len(rows)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            sums[rows[a]] += both[slots[a:b]].sum(axis=0)
+            counts[rows[a]] += b - a
     mean = sums / np.maximum(1, counts)[:, None]
     return np.hstack([mean, np.linalg.norm(mean[:, :WIDTH], axis=1, keepdims=True)]).astype(np.float32)
 
