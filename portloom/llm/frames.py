@@ -58,3 +58,17 @@ def map_arrow(
                 yield fn(part)
 
     return df.mapInArrow(run, T.StructType(fields))
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column and where each row begins and the last one ends."""
+    ends = _offsets(column).astype(np.int64)
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return flat[ends[0] : ends[-1]], ends - ends[0]
+
+
+def binary_array(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The binary column of rows that begin and end there; under 2 GB."""
+    offsets = pa.py_buffer(ends.astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(flat).tobytes())])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portloom.llm.frames import map_arrow, small_batches, with_column
+from portloom.llm.frames import binary_array, bytes_of, map_arrow, small_batches, with_column
 from portloom.llm.staging import staged
 from portloom.llm.vocabulary import library_encoder, read_vocabulary, vocabulary_size
 
@@ -30,20 +30,31 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.ui
 _PLACES = np.arange(4)
 
 
-def encode_bytes(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit numbers."""
+def _padded(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each number stands if every row is filled up to fours, and the rows' new borders."""
+    sizes = np.diff(ends)
+    borders = np.append(0, np.cumsum(-(-sizes // 4) * 4))
+    return np.arange(ends[-1]) + np.repeat(borders[:-1] - ends[:-1], sizes), borders
+
+
+def encode_rows(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes and their borders, data bytes and theirs, of rows of unsigned 32-bit numbers."""
     extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    padded = np.zeros(-(-len(values) // 4) * 4, dtype=np.uint8)
-    padded[: len(values)] = extra
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
+    at, borders = _padded(ends)
+    filled = np.zeros(borders[-1], dtype=np.uint8)
+    filled[at] = extra
+    control = (filled.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
     raw = values.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), raw[_PLACES <= extra[:, None]].tobytes()
+    data_ends = np.append(0, np.cumsum(extra.astype(np.int64) + 1))[ends]
+    return control, borders // 4, raw[_PLACES <= extra[:, None]], data_ends
 
 
-def decode_bytes(control: bytes, data: bytes, n: int) -> np.ndarray:
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    raw = np.zeros((n, 4), dtype=np.uint8)
-    raw[lengths[:, None] > _PLACES] = np.frombuffer(data, np.uint8)
+def decode_rows(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all rows, one after the other."""
+    at, _ = _padded(np.append(0, np.cumsum(sizes)))
+    lengths = LENGTHS[control].ravel()[at]
+    raw = np.zeros((len(at), 4), dtype=np.uint8)
+    raw[lengths[:, None] > _PLACES] = data
     return raw.view("<u4").ravel()
 
 
@@ -81,7 +92,7 @@ def id_counts(tokenised: DataFrame, size: int, width: str) -> DataFrame:
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
             for part in small_batches(batch, "raw"):
-                ids = np.frombuffer(b"".join(part.column("raw").to_pylist()), dtype=width)
+                ids = bytes_of(part.column("raw"))[0].view(width)
                 total += np.bincount(ids, minlength=size)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["id", "n"])
@@ -125,23 +136,18 @@ def write_token_files(
         shard, before = TaskContext.get().partitionId(), 0
         for whole in batches:
             for batch in small_batches(whole, "raw"):
-                starts, sizes, controls, data = [], [], [], []
-                for raw in batch.column("raw").to_pylist():
-                    ids = np.frombuffer(raw, dtype=width)
-                    control, own = encode_bytes(rank_of[ids])
-                    starts.append(before)
-                    sizes.append(len(ids))
-                    controls.append(control)
-                    data.append(own)
-                    before += len(ids)
+                flat, ends = bytes_of(batch.column("raw"))
+                ends //= int(width[-1])
+                control, control_ends, data, data_ends = encode_rows(rank_of[flat.view(width)], ends)
                 columns = [
                     batch.column("doc_id"),
-                    pa.array([shard] * len(sizes), pa.int32()),
-                    pa.array(starts, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(controls, pa.binary()),
-                    pa.array(data, pa.binary()),
+                    pa.array(np.full(len(ends) - 1, shard), pa.int32()),
+                    pa.array(before + ends[:-1], pa.int64()),
+                    pa.array(np.diff(ends), pa.int64()),
+                    binary_array(control, control_ends),
+                    binary_array(data, data_ends),
                 ]
+                before += int(ends[-1])
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     (
@@ -162,9 +168,10 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     blocks = spark.read.parquet(f"{folder}/blocks")
 
     def decode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = (batch.column(c).to_pylist() for c in ("control", "data", "n_tokens"))
-        ids = [id_of[decode_bytes(*row)].tobytes() for row in zip(*columns, strict=True)]
-        return with_column(batch, "ids", pa.array(ids, pa.binary()))
+        sizes = batch.column("n_tokens").to_numpy()
+        ranks = decode_rows(bytes_of(batch.column("control"))[0], bytes_of(batch.column("data"))[0], sizes)
+        ends = 4 * np.append(0, np.cumsum(sizes))
+        return with_column(batch, "ids", binary_array(id_of[ranks].view(np.uint8), ends))
 
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     shards = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("_n"))

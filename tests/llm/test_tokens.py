@@ -73,11 +73,17 @@ def test_decode_of_odd_ids(spark):
     assert [r.text for r in bpe.decode(df, BYTE).collect()] == ["!", "", ""]
 
 
-@pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 1000])
-def test_byte_coding_round_trip(n):
-    values = np.random.default_rng(n).choice([0, 1, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1], n).astype(np.uint32)
-    control, data = tokenfiles.encode_bytes(values)
-    assert len(control) == -(-n // 4) and np.array_equal(tokenfiles.decode_bytes(control, data, n), values)
+@pytest.mark.parametrize("sizes", [[], [0], [1], [4, 0, 3, 5, 1], [1000, 7, 0]])
+def test_byte_coding_round_trip(sizes):
+    draw, n = np.random.default_rng(len(sizes)), sum(sizes)
+    values = draw.choice([0, 1, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1], n).astype(np.uint32)
+    ends = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    control, control_ends, data, data_ends = tokenfiles.encode_rows(values, ends)
+    assert np.diff(control_ends).tolist() == [-(-s // 4) for s in sizes] and len(data) == data_ends[-1]
+    assert np.array_equal(tokenfiles.decode_rows(control, data, np.diff(ends)), values)
+    for i in range(len(sizes)):  # every row stands for itself
+        own = tokenfiles.decode_rows(control[control_ends[i] : control_ends[i + 1]], data[data_ends[i] : data_ends[i + 1]], np.array(sizes[i : i + 1]))
+        assert np.array_equal(own, values[ends[i] : ends[i + 1]])
 
 
 def test_token_files_edges(spark, edge, folder):
