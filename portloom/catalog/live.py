@@ -10,7 +10,7 @@ from portloom.plans import lineage
 from portloom.session import workspace
 from portloom.sources.tables import read_table
 from portloom.streaming.arrivals import Arrivals
-from portloom.streaming.tumbling import current_windows, drain, tumbling
+from portloom.streaming.tumbling import current_rows, drain, tumbling
 
 
 def ntz(text):
@@ -35,8 +35,28 @@ def tumbling_5min(spark, sf):
     for part in (events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut)):
         part.write.mode("append").parquet(landing)
         stream = spark.readStream.schema(events.schema).parquet(landing)
-        drain(tumbling(stream, "ts", ["event_type"], measures, watermark="1 hour"), out, progress)
-    return current_windows(spark, out, ["event_type"])
+        windows = tumbling(stream, "ts", ["event_type"], measures, watermark="1 hour")
+        drain(windows, out, progress, ["window_start", "event_type"])
+    return current_rows(spark, out, windows.schema)
+
+
+@query(
+    "late_rows_upsert",
+    """SELECT event_id, user_id, CASE WHEN event_id % 13 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts,
+      CASE WHEN event_id % 13 = 0 THEN value + 1 ELSE value END AS value FROM events""",
+)
+def late_rows_upsert(spark, sf):
+    """A stream of rows into a keyed table: rows of old days come late, some rows come again corrected
+    and on another day; the table ends as one batch over everything would leave it."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    landing, out, progress = (workspace(spark, n) for n in ("arriving", "keyed", "progress"))
+    late, corrected = F.col("event_id") % 5 == 0, F.col("event_id") % 13 == 0
+    again = events.where(corrected).withColumns({"ts": F.col("ts") + F.expr("INTERVAL 1 DAY"), "value": F.col("value") + 1})
+    for part in (events.where(~late), events.where(late & ~corrected).unionAll(again)):
+        part.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(events.schema).parquet(landing)
+        drain(stream, out, progress, ["event_id"], "ts", moving=True)
+    return current_rows(spark, out, events.schema)
 
 
 @query(

@@ -1,4 +1,4 @@
-"""Tumbling aggregates over an event stream, drained in batches and kept as an update log."""
+"""Tumbling aggregates and plain rows of a stream, drained in batches into day-partitioned tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portloom.operators.pick import pick_first
+from portloom.sources.merge import merge_partitions
+
+DAY = "_day"
 
 
 def tumbling(
@@ -28,21 +30,30 @@ def tumbling(
     return out.select(start.alias("window_start"), *keys, *measures)
 
 
-def drain(agg: DataFrame, out: str, checkpoint: str) -> None:
+def drain(
+    rows: DataFrame,
+    out: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    ts: str = "window_start",
+    moving: bool = False,
+    order_by: Sequence[Column] = (),
+) -> None:
     """Processes everything that has arrived, then stops; the next drain goes on from there.
 
-    Every micro-batch writes the windows it changed to its own folder, so repeating a batch after
-    a failure overwrites the same rows, and unchanged windows are never rewritten.
+    Every micro-batch, changed windows or plain rows, is merged by key into a table partitioned by
+    the day of ``ts``; only the days it touches are read and rewritten, however long the stream has
+    run, and repeating a batch after a failure merges the same rows. ``moving`` and ``order_by`` as
+    in :func:`merge_partitions`; late rows need no watermark here, their day is simply rewritten.
     """
 
-    def land(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    def land(batch: DataFrame, _: int) -> None:
+        merge_partitions(batch.withColumn(DAY, F.to_date(ts)), out, keys, DAY, order_by, moving)
 
-    writer = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).foreachBatch(land).start().awaitTermination()
 
 
-def current_windows(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
-    """Newest state of every window in the update log."""
-    log = spark.read.parquet(out)
-    return pick_first(log, ["window_start", *keys], [F.col("batch_id").desc()]).drop("batch_id")
+def current_rows(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """The table that drains have filled."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])).parquet(out).drop(DAY)

@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from portloom.streaming.arrivals import Arrivals
-from portloom.streaming.tumbling import current_windows, drain, tumbling
+from portloom.streaming.tumbling import current_rows, drain, tumbling
 
 START = datetime(2024, 1, 1)
 SCHEMA = "ts timestamp_ntz, k string, v int"
@@ -23,7 +23,7 @@ def test_drained_stream_equals_batch_and_corrects_late_rows(spark, folder):
 
     def run():
         stream = spark.readStream.schema(SCHEMA).parquet(landing)
-        drain(tumbling(stream, "ts", ["k"], measures(), watermark="20 minutes"), out, progress)
+        drain(tumbling(stream, "ts", ["k"], measures(), watermark="20 minutes"), out, progress, ["window_start", "k"])
 
     samples(spark, 0, 100).where("v <> 60").write.mode("append").parquet(landing)
     run()
@@ -32,7 +32,7 @@ def test_drained_stream_equals_batch_and_corrects_late_rows(spark, folder):
     run()
     run()
     batch = tumbling(samples(spark, 0, 200), "ts", ["k"], measures())
-    assert rows(current_windows(spark, out, ["k"])) == rows(batch)
+    assert rows(current_rows(spark, out, batch.schema)) == rows(batch)
 
 
 def test_rows_later_than_the_lookback_are_dropped(spark, folder):
@@ -40,8 +40,9 @@ def test_rows_later_than_the_lookback_are_dropped(spark, folder):
     for part in (samples(spark, 0, 200), samples(spark, 500, 600), samples(spark, 0, 1)):
         part.write.mode("append").parquet(landing)
         stream = spark.readStream.schema(SCHEMA).parquet(landing)
-        drain(tumbling(stream, "ts", ["k"], measures(), watermark="5 minutes"), out, progress)
-    first = current_windows(spark, out, ["k"]).where(F.col("window_start") == F.lit(START).cast("timestamp_ntz"))
+        windows = tumbling(stream, "ts", ["k"], measures(), watermark="5 minutes")
+        drain(windows, out, progress, ["window_start", "k"])
+    first = current_rows(spark, out, windows.schema).where(F.col("window_start") == F.lit(START).cast("timestamp_ntz"))
     assert rows(first.where("k = 'a'"), "n") == [(9,)]
 
 
