@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from portloom.catalog.registry import query, table
 from portloom.operators import history as H
+from portloom.operators.marts import entity_dimension
 from portloom.operators.pick import latest_version
 
 STAGES = ["view", "signup", "click", "purchase", "error"]
@@ -93,3 +94,56 @@ def point_in_time_join(spark, sf):
 )
 def accumulating_snapshot(spark, sf):
     return H.accumulating_snapshot(table(spark, sf, "events"), ["user_id"], "event_type", "ts", STAGES)
+
+
+@query(
+    "relation_snapshot",
+    """WITH seen AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00'),
+    kind AS (SELECT user_id, event_type FROM seen QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+    band AS (SELECT user_id, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS value_band FROM seen
+             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+    SELECT user_id, event_type, value_band, value_band || '>' || event_type AS relation_path FROM kind JOIN band USING (user_id)""",
+)
+def relation_snapshot(spark, sf):
+    """Two historised dimensions of a user, both as they held at the start of one day."""
+    events = table(spark, sf, "events").withColumn("value_band", F.when(F.col("value") > 50, "high").otherwise("low"))
+    order = ["ts", "event_id"]
+    kinds, bands = (H.scd2(events, ["user_id"], order, [c]) for c in ("event_type", "value_band"))
+    day = F.to_timestamp_ntz(F.lit("2024-01-15 23:59:59.999999"))
+    found = H.relation_snapshot(kinds, bands, ["user_id"], day, {"path": ["value_band", "event_type"]})
+    return found.withColumn("relation_path", F.array_join("path", ">")).drop("path")
+
+
+@query(
+    "dim_latest_conformed",
+    """SELECT DISTINCT o_custkey::VARCHAR AS customer_id, o_orderpriority AS priority_name,
+      CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS state_type FROM (
+      SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1)""",
+)
+def dim_latest_conformed(spark, sf):
+    return entity_dimension(
+        table(spark, sf, "orders"),
+        ["o_custkey"],
+        "o_orderdate",
+        {"o_custkey": "customer_id", "o_orderpriority": "priority_name", "o_orderstatus": "state_type"},
+        tiebreak=["o_orderkey"],
+        casts={"customer_id": "string"},
+        enums={"state_type": {"F": 1, "O": 2}},
+    )
+
+
+@query(
+    "point_in_time_ties",
+    """WITH coarse AS (SELECT user_id, date_trunc('hour', ts) AS h, event_id, event_type FROM events),
+    last AS (SELECT * FROM coarse QUALIFY row_number() OVER (PARTITION BY user_id, h ORDER BY event_id DESC) = 1),
+    held AS (SELECT user_id, h, event_type, lead(h) OVER (PARTITION BY user_id ORDER BY h) AS until FROM last)
+    SELECT e.event_id, e.user_id, e.ts, held.event_type AS type_then FROM events e
+    LEFT JOIN held ON held.user_id = e.user_id AND held.h <= e.ts AND (held.until IS NULL OR e.ts < held.until)""",
+)
+def point_in_time_ties(spark, sf):
+    """History at hour grain, where several changes of a user share one time and the last one holds."""
+    events = table(spark, sf, "events")
+    coarse = events.select("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("h"), "event_id", "event_type")
+    hist = H.scd2(coarse, ["user_id"], ["h", "event_id"], ["event_type"])
+    hist = hist.withColumnRenamed("event_type", "type_then")
+    return H.point_in_time_join(events.select("event_id", "user_id", "ts"), hist, ["user_id"], "ts", ["type_then"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -141,6 +141,21 @@ def point_in_time_join(
     )
 
 
+def valid_on(hist: DataFrame, day: Column, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """Intervals that hold on a day: valid_from <= day < valid_to, an open end holds for ever."""
+    return hist.where((F.col(valid_from) <= day) & (F.col(valid_to).isNull() | (day < F.col(valid_to))))
+
+
+def relation_snapshot(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], day: Column, path: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """The relation of two historised dimensions on one day: both sides' rows valid then, joined by
+    key, with an array of columns (top first) for each entry of ``path``, nulls left out."""
+    sides = [valid_on(h, day).drop("valid_from", "valid_to", "is_current") for h in (left, right)]
+    arrays = {name: F.array_compact(F.array(*cols)) for name, cols in path.items()}
+    return sides[0].join(sides[1], list(keys)).withColumns(arrays)
+
+
 def accumulating_snapshot(
     df: DataFrame, entity: Sequence[str], stage: str, ts: str, stages: Sequence[str]
 ) -> DataFrame:

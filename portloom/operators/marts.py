@@ -8,6 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portloom.operators.pick import latest_version
+from portloom.operators.shape import conform
+
 
 def join_details(
     base: DataFrame, details: Sequence[tuple[DataFrame, Sequence[str]]], coalesced: Mapping[str, Sequence[str]]
@@ -84,3 +87,15 @@ def metric_rows(sources: Mapping[str, DataFrame], specs: Sequence[MetricSpec]) -
     return first
 
 
+def entity_dimension(
+    df: DataFrame,
+    keys: Sequence[str],
+    modified: str,
+    renames: Mapping[str, str],
+    tiebreak: Sequence[str] = (),
+    casts: Mapping[str, str] | None = None,
+    enums: Mapping[str, Mapping[str, object]] | None = None,
+) -> DataFrame:
+    """A dimension of the latest version of each entity, its attributes conformed, without copies."""
+    latest = latest_version(df, keys, modified, tiebreak=tiebreak)
+    return conform(latest, renames, casts, enums).distinct()
