@@ -13,13 +13,15 @@ later lines go. Different sets are joined:
   in a 64-bit parity map of their words, whose differing bits never exceed the differing words.
 - What is left is verified on the words of the lines themselves.
 
+A set is verified with its earliest partner first and with the others only if that fails.
+
 Words with more than ``common`` occurrences may have large groups. There every set is first compared
 with the group's earliest, one row each, and only sets that this does not decide look for further
-partners; so a group of near copies is not paired with itself.
+partners; so a group of near copies is not paired with itself. The groups of rarer words are bounded.
 
 Defined results: a null text has no lines and stays null; documents without an id come last; repeated
 rows of a document are one document and get equal results; a text keeps its other lines in order, an
-emptied one is "". Words are compared by 64-bit hashes until the last step.
+emptied one is "". Words are compared by hashes of ``WORD_BITS`` until the last step.
 """
 
 from __future__ import annotations
@@ -35,38 +37,45 @@ from pyspark.sql import types as T
 
 from portloom.llm.frames import small_batches
 from portloom.llm.linewords import blocks, line_words, mixed
-from portloom.llm.slots import SLOT_BITS, slot_column, slot_counts, slot_of, slot_table
+from portloom.llm.slots import SLOT_BITS, slot_of, slot_table
 from portloom.llm.staging import staged
+from portloom.llm.vocabulary import forget
 
 THRESHOLD = 0.8
 MIN_WORDS = 5
-COMMON = 64
+COMMON = 512
+WORD_BITS = 43  # of a word's hash, beside 13 for the line in its block and 8 for the rarity
 _SLACK = 1e-9  # against rounding in products with the threshold
+#: Up to so many documents and line numbers to remove, about 100 MB, are sent to every executor; beyond
+#: it Spark joins the texts by key.
+BROADCAST_NUMBERS = 4_000_000
 _ONCE = 1  # level of a slot with one occurrence
 
 
 def word_levels(docs: DataFrame, text: str = "text") -> bytes:
     """Rarity of words over all lines: 1 + 8 * log2(occurrences), rounded down, of their slot."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        forget()
         total = np.zeros(1 << SLOT_BITS, dtype=np.int32)
         for batch in batches:
             for part in small_batches(batch, "text"):
                 for block, _, _ in blocks(part.column("text").to_pylist()):
                     slots, n = np.unique(slot_of(line_words(block)[1]), return_counts=True)
                     total[slots] += n.astype(np.int32)
-        yield from slot_counts(total)
+        return total
+
+    def level(n: np.ndarray) -> np.ndarray:
+        return np.minimum(255, 1 + np.floor(8 * np.log2(n))).astype(np.uint8)
 
-    found = docs.select(F.col(text).alias("text")).mapInArrow(count, "slot int, n long")
-    level = F.least(F.lit(255), 1 + F.floor(8 * F.log2("n")))
-    return slot_table(found.groupBy("slot").agg(F.sum("n").alias("n")).select("slot", level.alias("value")))
+    return slot_table(docs.select(F.col(text).alias("text")), count, level)
 
 
 def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int, common: int) -> DataFrame:
     """One row per line with enough words: the set's hash, size, parity map and prefix."""
     schema = T.StructType(
         [
-            T.StructField("doc_id", docs.schema["doc_id"].dataType),
+            T.StructField("doc", T.LongType()),
             T.StructField("tie", T.LongType()),
             T.StructField("line", T.IntegerType()),
             T.StructField("set", T.LongType()),
@@ -85,19 +94,22 @@ def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int,
         rarity = np.frombuffer(sent.value, np.uint8)
         for block, owner, place in blocks(batch.column("text").to_pylist()):
             line, h = line_words(block)
-            level = rarity[slot_of(h)]
-            order = np.lexsort((h, level, line))
-            line, h, level = line[order], h[order], level[order]
-            new = np.ones(len(h), dtype=bool)
-            new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
-            line, h, level = line[new], h[new], level[new]
+            # line, rarity and word in one number: sorting puts each line's set in the words' order
+            packed = (line.astype(np.uint64) << np.uint64(WORD_BITS + 8)) | (h >> np.uint64(64 - WORD_BITS))
+            packed |= rarity[slot_of(h)].astype(np.uint64) << np.uint64(WORD_BITS)
+            packed.sort()
+            if len(packed):
+                packed = packed[np.append(True, packed[1:] != packed[:-1])]
+            line = (packed >> np.uint64(WORD_BITS + 8)).astype(np.int64)
+            level = (packed >> np.uint64(WORD_BITS)) & np.uint64(255)
+            word = packed & np.uint64((1 << WORD_BITS) - 1)
             first = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else np.empty(0, np.int64)
             size = np.diff(np.append(first, len(line)))
             inside = np.arange(len(line)) - np.repeat(first, size)
             if not len(first):
                 continue
-            whole = np.add.reduceat(mixed(h, 0xD6E8FEB86659FD93), first)
-            parity = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
+            whole = np.add.reduceat(mixed(word, 0xD6E8FEB86659FD93), first)
+            parity = np.bitwise_xor.reduceat(np.uint64(1) << (word & np.uint64(63)), first)
             prefix = size - np.ceil(threshold * size - _SLACK).astype(np.int64) + 1
             enough = size >= min_words
             use = np.repeat(enough, size) & (inside < np.repeat(prefix, size)) & (level > _ONCE)
@@ -108,20 +120,21 @@ def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int,
             keys = np.array([xxhash.xxh64_intdigest(raw[i]) for i in at_line.tolist()], dtype=np.uint64)
             own = pa.array(owner[at_line])
             columns = [
-                batch.column("doc_id").take(own),
+                batch.column("doc").take(own),
                 batch.column("tie").take(own),
                 pa.array(place[at_line], pa.int32()),
                 pa.array(whole[enough].view(np.int64)),
                 pa.array(size[enough], pa.int32()),
                 pa.array(parity[enough].view(np.int64)),
                 pa.array(keys.view(np.int64)),
-                pa.ListArray.from_arrays(ends, pa.array((h[use] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))),
+                pa.ListArray.from_arrays(ends, pa.array((word[use] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))),
                 pa.ListArray.from_arrays(ends, pa.array(inside[use], pa.int32())),
                 pa.ListArray.from_arrays(ends, pa.array(level[use] > common_level)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in small_batches(batch, "text"):
                 yield from sets(part)
@@ -130,16 +143,25 @@ def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int,
 
 
 def _order(prefix: str = "") -> Column:
-    doc = F.col(f"{prefix}doc_id")
-    return F.struct(doc.isNull(), doc, F.col(f"{prefix}line"), F.col(f"{prefix}set"))
+    return F.struct(f"{prefix}doc", f"{prefix}line", f"{prefix}key")
+
+
+def _place(doc_id: str) -> Column:
+    """Whole numbers in document order; rows without an id come last."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
 
 
-def _may_match(threshold: float, a: str = "a_", b: str = "b_") -> Column:
-    """Length, positional and parity filters for a shared prefix word."""
-    na, nb = F.col(f"{a}n"), F.col(f"{b}n")
-    needed = F.ceil((na + nb) * F.lit(threshold / (1 + threshold)) - _SLACK)
-    left = F.least(na - F.col(f"{a}at"), nb - F.col(f"{b}at"))
-    differing = F.bit_count(F.col(f"{a}map").bitwiseXOR(F.col(f"{b}map")))
+def _needed(na, nb, threshold: float, ceil):
+    """Shared words that two sets of these sizes need."""
+    return ceil((na + nb) * (threshold / (1 + threshold)) - _SLACK)
+
+
+def _may_match(threshold: float) -> Column:
+    """Length, positional and parity filters for a shared prefix word of a wide group."""
+    na, nb = F.col("a_n"), F.col("b_n")
+    needed = _needed(na, nb, threshold, F.ceil)
+    left = F.least(na - F.col("a_at"), nb - F.col("b_at"))
+    differing = F.bit_count(F.col("a_map").bitwiseXOR(F.col("b_map")))
     return (
         (F.least(na, nb) >= F.greatest(na, nb) * F.lit(threshold) - _SLACK)
         & (differing <= na + nb - 2 * needed)
@@ -151,93 +173,176 @@ def _named(df: DataFrame, prefix: str) -> DataFrame:
     return df.select("word", *(F.col(c).alias(prefix + c) for c in df.columns if c != "word"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Of the pairs (a, b) of sets, those whose first lines reach the threshold word by word."""
-    keys = sets.select("set", "key")
-    pairs = staged(
-        pairs.distinct()
-        .join(keys.select(F.col("set").alias("a"), F.col("key").alias("key_a")), "a")
-        .join(keys.select(F.col("set").alias("b"), F.col("key").alias("key_b")), "b"),
-        "candidates",
+def _narrow_pairs(rows: DataFrame, threshold: float, first_only: bool) -> DataFrame:
+    """Pairs (a, b), the earlier set last, within the groups of words of at most ``common`` occurrences;
+    with ``first_only`` the earliest partner that a batch of groups has for each set.
+
+    Rows come sorted by word and size; each is compared with the following ones of its group up to
+    the largest size that may match, for all groups of a batch at once. A group that a batch cuts
+    goes on with the next one."""
+
+    def compare(word, key, n, at, parity, doc, line) -> pa.RecordBatch | None:
+        largest = np.floor(n / threshold + _SLACK)
+        found = []
+        step, near = 1, np.arange(len(word) - 1)
+        while len(near):
+            near = near[(word[near] == word[near + step]) & (n[near + step] <= largest[near])]
+            i, j = near, near + step
+            needed = _needed(n[i], n[j], threshold, np.ceil)
+            ok = np.minimum(n[i] - at[i], n[j] - at[j]) >= needed
+            ok &= np.bitwise_count((parity[i] ^ parity[j]).view(np.uint64)) <= n[i] + n[j] - 2 * needed
+            found.append((i[ok], j[ok]))
+            step += 1
+            near = near[near + step < len(word)]
+        if not found:
+            return None
+        i, j = (np.concatenate(side) for side in zip(*found, strict=True))
+        same = doc[i] == doc[j]
+        after = (doc[i] > doc[j]) | (same & ((line[i] > line[j]) | ((line[i] == line[j]) & (key[i] > key[j]))))
+        late, early = np.where(after, i, j), np.where(after, j, i)
+        if first_only:
+            order = np.lexsort((key[early], line[early], doc[early], key[late]))
+            late, early = late[order], early[order]
+            if len(late):
+                new = np.append(True, key[late][1:] != key[late][:-1])
+                late, early = late[new], early[new]
+        columns = [pa.array(key[late]), pa.array(key[early]), pa.array(doc[early]), pa.array(line[early])]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "doc", "line"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            own = [c.to_numpy() for c in batch.columns]
+            if kept is not None:
+                own = [np.concatenate(pair) for pair in zip(kept, own, strict=True)]
+            if not len(own[0]):
+                continue
+            cut = int(np.searchsorted(own[0], own[0][-1]))  # the last word may go on
+            kept = [c[cut:] for c in own]
+            if cut and (out := compare(*(c[:cut] for c in own))) is not None:
+                yield out
+        if kept is not None and (out := compare(*kept)) is not None:
+            yield out
+
+    dealt = rows.select("word", "key", "n", "at", "map", "doc", "line").repartition("word")
+    return dealt.sortWithinPartitions("word", "n").mapInArrow(run, "a long, b long, doc long, line int")
+
+
+def _wide_pairs(late: DataFrame, wide: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of sets of ``late`` with earlier ones in the groups of common words."""
+    found = _named(late, "a_").join(_named(wide, "b_"), "word").where((_order("b_") < _order("a_")) & _may_match(threshold))
+    return found.select(
+        F.col("a_key").alias("a"), F.col("b_key").alias("b"), F.col("b_doc").alias("doc"), F.col("b_line").alias("line")
     )
-    wanted = pairs.select(F.explode(F.array("key_a", "key_b")).alias("key"))
-    flags = slot_table(wanted.select(slot_column("key").alias("slot"), F.lit(1).alias("value")).distinct())
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Keys of sets whose first line, the later one of a pair (a, b), reaches the threshold with the
+    other's word by word. A key stands for its line; the lines are read from the documents again."""
+    pairs = staged(pairs.distinct(), "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
+        for batch in batches:
+            total[slot_of(batch.column("key").to_numpy().view(np.uint64))] = 1
+        return total
+
+    flags = slot_table(wanted, count, lambda n: np.ones(len(n), dtype=np.uint8))
     sent = docs.sparkSession.sparkContext.broadcast(flags)
+    schema = T.StructType(
+        [
+            T.StructField("doc", T.LongType()),
+            T.StructField("line", T.IntegerType()),
+            T.StructField("key", T.LongType()),
+            T.StructField("text", T.StringType()),
+        ]
+    )
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = np.frombuffer(sent.value, np.uint8)
         for batch in batches:
             for part in small_batches(batch, "text"):
-                for block, _, _ in blocks(part.column("text").to_pylist()):
+                for block, owner, place in blocks(part.column("text").to_pylist()):
                     raw = block.split(b"\n")
                     key = np.array([xxhash.xxh64_intdigest(line) for line in raw], dtype=np.uint64)
                     hit = np.flatnonzero(asked[slot_of(key)])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[hit].view(np.int64)), pa.array([raw[i].decode() for i in hit.tolist()], pa.string())],
-                        names=["key", "line"],
-                    )
-
-    found = docs.select("text").mapInArrow(lines, "key long, line string")
-    texts = staged(found.join(wanted.distinct(), "key", "left_semi").groupBy("key").agg(F.first("line").alias("line")), "lines")
-    words = F.array_distinct(F.array_remove(F.split("line", r"[\x20\x09-\x0D]+"), ""))
-    a = texts.select(F.col("key").alias("key_a"), words.alias("words_a"))
-    b = texts.select(F.col("key").alias("key_b"), words.alias("words_b"))
+                    columns = [
+                        part.column("doc").take(pa.array(owner[hit])),
+                        pa.array(place[hit], pa.int32()),
+                        pa.array(key[hit].view(np.int64)),
+                        pa.array([raw[i].decode() for i in hit.tolist()], pa.string()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    found = docs.select("doc", "text").mapInArrow(lines, schema)
+    texts = staged(
+        found.join(wanted, "key", "left_semi")
+        .groupBy("key")
+        .agg(F.min(_order()).alias("place"), F.first("text").alias("text")),
+        "lines",
+    )
+    words = F.array_distinct(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
+    a = texts.select(F.col("key").alias("a"), words.alias("words_a"), F.col("place").alias("place_a"))
+    b = texts.select(F.col("key").alias("b"), words.alias("words_b"), F.col("place").alias("place_b"))
     shared = F.size(F.array_intersect("words_a", "words_b"))
     union = F.size("words_a") + F.size("words_b") - F.col("shared")
     return (
-        pairs.join(a, "key_a")
-        .join(b, "key_b")
-        .select("a", "b", "words_a", "words_b", shared.alias("shared"))
+        pairs.join(a, "a")
+        .join(b, "b")
+        .withColumn("shared", shared)
         .where(F.col("shared") >= union * F.lit(threshold) - _SLACK)
-        .select("a", "b")
+        .select(F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("key"))
+        .distinct()
     )
 
 
 def repeated_sets(sets: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Sets whose first line has a similar line before it."""
-    words = F.explode(F.arrays_zip("words", "at", "wide")).alias("w")
-    rows = sets.select("doc_id", "line", "set", "n", "map", words).select(
-        "doc_id", "line", "set", "n", "map", F.col("w.words").alias("word"), F.col("w.at").alias("at"), F.col("w.wide").alias("wide")
-    )
-    wide = staged(rows.where("wide").drop("wide"), "wide")
-    earliest = wide.groupBy("word").agg(F.min_by(F.struct("doc_id", "line", "set", "n", "map", "at"), _order()).alias("e"))
-    earliest = earliest.select("word", "e.*")
-    tried = _named(wide, "a_").join(_named(earliest, "b_"), "word").where((_order("b_") < _order("a_")) & _may_match(threshold))
-    decided = staged(
-        _verified(tried.select(F.col("a_set").alias("a"), F.col("b_set").alias("b")), sets, docs, threshold)
-        .select(F.col("a").alias("set"))
-        .distinct(),
-        "decided",
-    )
-    open_ = wide.join(decided, "set", "left_anti").select(wide.columns)
-    others = _named(open_, "a_").join(_named(wide, "b_"), "word").where((_order("b_") < _order("a_")) & _may_match(threshold))
-    narrow = rows.where("not wide").select("word", "set", "n", "map", "at")
-    near = _named(narrow, "a_").join(_named(narrow, "b_"), "word").where((F.col("a_set") < F.col("b_set")) & _may_match(threshold))
-    pairs = [p.select(F.col("a_set").alias("a"), F.col("b_set").alias("b")) for p in (others, near)]
-    similar = _verified(pairs[0].unionAll(pairs[1]), sets, docs, threshold)
-    place = sets.select("set", _order().alias("place"))
-    later = (
-        similar.join(place.select(F.col("set").alias("a"), F.col("place").alias("place_a")), "a")
-        .join(place.select(F.col("set").alias("b"), F.col("place").alias("place_b")), "b")
-        .select(F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("set"))
+    """Keys of the sets whose first line has a similar line before it."""
+    each = F.explode(F.arrays_zip("words", "at", "wide")).alias("w")
+    columns = ["doc", "line", "key", "n", "map"]
+    rows = sets.select(*columns, each).select(
+        *columns, F.col("w.words").alias("word"), F.col("w.at").alias("at"), F.col("w.wide").alias("wide")
     )
-    return decided.unionAll(later).distinct()
+    wide, narrow = staged(rows.where("wide").drop("wide"), "wide", "zstd"), rows.where("not wide").drop("wide")
+    earliest = wide.groupBy("word").agg(F.min_by(F.struct(*columns, "at"), _order()).alias("e")).select("word", "e.*")
+    decided = staged(_verified(_wide_pairs(wide, earliest, threshold).select("a", "b"), docs, threshold), "decided")
+
+    # each set that may have earlier partners is verified with the first of them
+    open_ = wide.join(decided, "key", "left_anti").select(wide.columns)
+    tried = _wide_pairs(open_, wide, threshold).unionAll(_narrow_pairs(narrow, threshold, first_only=True))
+    tried = staged(tried.groupBy("a").agg(F.min_by("b", F.struct("doc", "line", "b")).alias("b")), "first-partners")
+    found = staged(decided.unionAll(_verified(tried.select("a", "b"), docs, threshold)).distinct(), "found")
+
+    # the few that this did not decide, with all of their partners
+    rest = staged(tried.select(F.col("a").alias("key")).join(found, "key", "left_anti"), "rest")
+    if rest.isEmpty():
+        return found
+    shared = narrow.join(rest, "key", "left_semi").select("word").distinct()
+    near = _narrow_pairs(narrow.join(shared, "word", "left_semi"), threshold, first_only=False)
+    pairs = _wide_pairs(wide.join(rest, "key", "left_semi").select(wide.columns), wide, threshold).unionAll(near)
+    pairs = pairs.join(rest.select(F.col("key").alias("a")), "a", "left_semi").select("a", "b")
+    return found.unionAll(_verified(pairs, docs, threshold)).distinct()
 
 
 def removed_lines(
     docs: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, common: int = COMMON
 ) -> DataFrame:
-    """(doc_id, tie, removed): the line numbers to remove from each text; ``docs`` has doc_id, tie, text."""
-    lines = staged(_line_sets(docs, word_levels(docs), threshold, min_words, common), "line-sets")
-    first = F.min_by(F.struct("doc_id", "line", "n", "map", "key", "words", "at", "wide"), _order()).alias("f")
-    sets = staged(lines.groupBy("set").agg(first).select("set", "f.*"), "sets")
-    repeated = staged(repeated_sets(sets, docs, threshold), "repeated")
-    marks = sets.select("set", F.col("doc_id").alias("f_doc"), F.col("line").alias("f_line")).join(
-        repeated.withColumn("gone", F.lit(True)), "set", "left"
+    """(doc, tie, removed): the line numbers to remove from each text; ``docs`` has doc, tie, text."""
+    lines = staged(_line_sets(docs, word_levels(docs), threshold, min_words, common), "line-sets", "zstd")
+    first = F.min_by(F.struct("doc", "line", "n", "map", "key", "words", "at", "wide"), _order()).alias("f")
+    sets = staged(lines.groupBy("set").agg(first, F.count(F.lit(1)).alias("lines")).select("set", "f.*", "lines"), "sets", "zstd")
+    repeated = repeated_sets(sets, docs, threshold).withColumn("gone", F.lit(True))
+    marks = (
+        sets.select("set", "key", "lines", F.col("doc").alias("f_doc"), F.col("line").alias("f_line"))
+        .join(repeated, "key", "left")
+        .where("gone or lines > 1")
+        .select("set", "f_doc", "f_line", "gone")
     )
-    is_first = F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("line") == F.col("f_line"))
-    gone = lines.select("doc_id", "tie", "line", "set").join(marks, "set").where(~is_first | F.col("gone"))
-    return gone.groupBy("doc_id", "tie").agg(F.collect_set("line").alias("removed"))
+    is_first = (F.col("doc") == F.col("f_doc")) & (F.col("line") == F.col("f_line"))
+    gone = lines.select("doc", "tie", "line", "set").join(staged(marks, "marks"), "set")
+    gone = gone.where(~is_first | F.col("gone"))
+    return gone.groupBy("doc", "tie").agg(F.collect_set("line").alias("removed"))
 
 
 def dedup_lines(
@@ -250,11 +355,16 @@ def dedup_lines(
 ) -> DataFrame:
     """The documents without their repeated lines, with ``n_lines`` and ``n_removed``."""
     tie = F.xxhash64(text)
-    docs = df.select(F.col(doc_id).alias("doc_id"), tie.alias("tie"), F.col(text).alias("text"))
-    gone = removed_lines(docs, threshold, min_words, common)
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie2"), F.col("removed").alias("_removed"))
-    both = df.withColumn("_tie1", tie)
-    out = both.join(gone, both[doc_id].eqNullSafe(gone["_doc"]) & (F.col("_tie1") == F.col("_tie2")), "left")
+    if not isinstance(df.schema[doc_id].dataType, T.IntegralType):
+        raise TypeError("document ids are whole numbers; their order says which line is the earlier one")
+    docs = df.select(_place(doc_id).alias("doc"), tie.alias("tie"), F.col(text).alias("text"))
+    gone = staged(removed_lines(docs, threshold, min_words, common), "removed")
+    size = gone.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()[0]
+    if size <= BROADCAST_NUMBERS:
+        gone = F.broadcast(gone)
+    gone = gone.select(F.col("doc").alias("_doc"), F.col("tie").alias("_tie2"), F.col("removed").alias("_removed"))
+    both = df.withColumn("_tie1", tie).withColumn("_doc1", _place(doc_id))
+    out = both.join(gone, (F.col("_doc1") == F.col("_doc")) & (F.col("_tie1") == F.col("_tie2")), "left")
     lines = F.split(text, "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_removed")
     rebuilt = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
