@@ -10,7 +10,7 @@ later lines go. Different sets are joined:
 - Two similar sets share a word among the first ``n - ceil(threshold * n) + 1`` of each (prefix);
   a word that occurs once in the corpus cannot be shared and is left out.
 - Pairs that share such a word must agree in length, in the overlap their positions still allow, and
-  in a 64-bit parity map of their words, whose differing bits never exceed the differing words.
+  in two 64-bit parity maps of their words, whose differing bits never exceed the differing words.
 - What is left is verified on the words of the lines themselves.
 
 A set is verified with its earliest partner first and with the others only if that fails.
@@ -81,6 +81,7 @@ def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int,
             T.StructField("set", T.LongType()),
             T.StructField("n", T.IntegerType()),
             T.StructField("map", T.LongType()),
+            T.StructField("map2", T.LongType()),
             T.StructField("key", T.LongType()),
             T.StructField("words", T.ArrayType(T.IntegerType())),
             T.StructField("at", T.ArrayType(T.IntegerType())),
@@ -109,7 +110,10 @@ def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int,
             if not len(first):
                 continue
             whole = np.add.reduceat(mixed(word, 0xD6E8FEB86659FD93), first)
-            parity = np.bitwise_xor.reduceat(np.uint64(1) << (word & np.uint64(63)), first)
+            maps = [
+                np.bitwise_xor.reduceat(np.uint64(1) << ((word >> np.uint64(shift)) & np.uint64(63)), first)
+                for shift in (0, 6)
+            ]
             prefix = size - np.ceil(threshold * size - _SLACK).astype(np.int64) + 1
             enough = size >= min_words
             use = np.repeat(enough, size) & (inside < np.repeat(prefix, size)) & (level > _ONCE)
@@ -125,7 +129,7 @@ def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int,
                 pa.array(place[at_line], pa.int32()),
                 pa.array(whole[enough].view(np.int64)),
                 pa.array(size[enough], pa.int32()),
-                pa.array(parity[enough].view(np.int64)),
+                *(pa.array(m[enough].view(np.int64)) for m in maps),
                 pa.array(keys.view(np.int64)),
                 pa.ListArray.from_arrays(ends, pa.array((word[use] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))),
                 pa.ListArray.from_arrays(ends, pa.array(inside[use], pa.int32())),
@@ -161,7 +165,7 @@ def _may_match(threshold: float) -> Column:
     na, nb = F.col("a_n"), F.col("b_n")
     needed = _needed(na, nb, threshold, F.ceil)
     left = F.least(na - F.col("a_at"), nb - F.col("b_at"))
-    differing = F.bit_count(F.col("a_map").bitwiseXOR(F.col("b_map")))
+    differing = F.greatest(*(F.bit_count(F.col(f"a_{m}").bitwiseXOR(F.col(f"b_{m}"))) for m in ("map", "map2")))
     return (
         (F.least(na, nb) >= F.greatest(na, nb) * F.lit(threshold) - _SLACK)
         & (differing <= na + nb - 2 * needed)
@@ -181,7 +185,7 @@ def _narrow_pairs(rows: DataFrame, threshold: float, first_only: bool) -> DataFr
     the largest size that may match, for all groups of a batch at once. A group that a batch cuts
     goes on with the next one."""
 
-    def compare(word, key, n, at, parity, doc, line) -> pa.RecordBatch | None:
+    def compare(word, key, n, at, parity, parity2, doc, line) -> pa.RecordBatch | None:
         largest = np.floor(n / threshold + _SLACK)
         found = []
         step, near = 1, np.arange(len(word) - 1)
@@ -190,7 +194,8 @@ def _narrow_pairs(rows: DataFrame, threshold: float, first_only: bool) -> DataFr
             i, j = near, near + step
             needed = _needed(n[i], n[j], threshold, np.ceil)
             ok = np.minimum(n[i] - at[i], n[j] - at[j]) >= needed
-            ok &= np.bitwise_count((parity[i] ^ parity[j]).view(np.uint64)) <= n[i] + n[j] - 2 * needed
+            for p in (parity, parity2):
+                ok &= np.bitwise_count((p[i] ^ p[j]).view(np.uint64)) <= n[i] + n[j] - 2 * needed
             found.append((i[ok], j[ok]))
             step += 1
             near = near[near + step < len(word)]
@@ -224,7 +229,7 @@ def _narrow_pairs(rows: DataFrame, threshold: float, first_only: bool) -> DataFr
         if kept is not None and (out := compare(*kept)) is not None:
             yield out
 
-    dealt = rows.select("word", "key", "n", "at", "map", "doc", "line").repartition("word")
+    dealt = rows.select("word", "key", "n", "at", "map", "map2", "doc", "line").repartition("word")
     return dealt.sortWithinPartitions("word", "n").mapInArrow(run, "a long, b long, doc long, line int")
 
 
@@ -277,10 +282,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
 
     found = docs.select("doc", "text").mapInArrow(lines, schema)
     texts = staged(
-        found.join(wanted, "key", "left_semi")
-        .groupBy("key")
-        .agg(F.min(_order()).alias("place"), F.first("text").alias("text")),
+        found.groupBy("key")
+        .agg(F.min(_order()).alias("place"), F.first("text").alias("text"))
+        .join(wanted, "key", "left_semi"),
         "lines",
+        "zstd",
     )
     words = F.array_distinct(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
     a = texts.select(F.col("key").alias("a"), words.alias("words_a"), F.col("place").alias("place_a"))
@@ -300,12 +306,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
 def repeated_sets(sets: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """Keys of the sets whose first line has a similar line before it."""
     each = F.explode(F.arrays_zip("words", "at", "wide")).alias("w")
-    columns = ["doc", "line", "key", "n", "map"]
+    columns = ["doc", "line", "key", "n", "map", "map2"]
     rows = sets.select(*columns, each).select(
         *columns, F.col("w.words").alias("word"), F.col("w.at").alias("at"), F.col("w.wide").alias("wide")
     )
     wide, narrow = staged(rows.where("wide").drop("wide"), "wide", "zstd"), rows.where("not wide").drop("wide")
     earliest = wide.groupBy("word").agg(F.min_by(F.struct(*columns, "at"), _order()).alias("e")).select("word", "e.*")
+    earliest = staged(earliest, "earliest")
     decided = staged(_verified(_wide_pairs(wide, earliest, threshold).select("a", "b"), docs, threshold), "decided")
 
     # each set that may have earlier partners is verified with the first of them
@@ -330,7 +337,7 @@ def removed_lines(
 ) -> DataFrame:
     """(doc, tie, removed): the line numbers to remove from each text; ``docs`` has doc, tie, text."""
     lines = staged(_line_sets(docs, word_levels(docs), threshold, min_words, common), "line-sets", "zstd")
-    first = F.min_by(F.struct("doc", "line", "n", "map", "key", "words", "at", "wide"), _order()).alias("f")
+    first = F.min_by(F.struct("doc", "line", "n", "map", "map2", "key", "words", "at", "wide"), _order()).alias("f")
     sets = staged(lines.groupBy("set").agg(first, F.count(F.lit(1)).alias("lines")).select("set", "f.*", "lines"), "sets", "zstd")
     repeated = repeated_sets(sets, docs, threshold).withColumn("gone", F.lit(True))
     marks = (
