@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES, BLOCK_LINES = 1 << 20, 1 << 13
 #: Space and U+0009 to U+000D part words; a line ends at U+000A.
 _BYTES = np.arange(256)
 _VISIBLE = (~np.isin(_BYTES, [32, *range(9, 14)])).astype(np.uint8)
@@ -54,7 +54,7 @@ def line_words(block: bytes, by_kind: bool = False) -> tuple[np.ndarray, np.ndar
 
 
 def blocks(texts: Iterable[str | None]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-    """Lines of all texts in blocks of about ``BLOCK_BYTES`` (a longer line is a block of its own),
+    """Lines of all texts in blocks of at most ``BLOCK_LINES`` and about ``BLOCK_BYTES`` (a longer line is a block of its own),
     with the text's number and the line's number in its text for each line of the block."""
     lines: list[bytes] = []
     owner: list[int] = []
@@ -62,7 +62,7 @@ def blocks(texts: Iterable[str | None]) -> Iterator[tuple[bytes, np.ndarray, np.
     size = 0
     for number, text in enumerate(texts):
         for n, line in enumerate((text or "").encode().split(b"\n")):
-            if size and size + len(line) > BLOCK_BYTES:
+            if lines and (size + len(line) > BLOCK_BYTES or len(lines) == BLOCK_LINES):
                 yield b"\n".join(lines), np.array(owner), np.array(place)
                 lines, owner, place, size = [], [], [], 0
             lines.append(line)

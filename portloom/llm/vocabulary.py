@@ -24,6 +24,11 @@ WORDS_KEPT = 50_000
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
+def forget() -> None:
+    """Frees the remembered chunks; worker processes go on to tasks that need the memory."""
+    _ENCODERS.clear()
+
+
 def read_vocabulary(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
