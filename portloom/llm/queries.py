@@ -117,9 +117,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_topk")
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.transform("embedding", lambda v: F.floor(64 * v.cast("double")).cast("double")).alias("x")
-    )
+    # the whole numbers of floor() hide what is not finite, so that is looked for before
+    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    scaled = F.transform("embedding", lambda v: F.floor(64 * v.cast("double")).cast("double"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.when(finite, scaled).alias("x"))
     asked = vectors.where(F.col("vec_id") % 20 == 0).select("vec_id")
     found = topk.top_k(vectors, asked, k=20, id_col="vec_id")
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("score").cast("long").alias("score"))

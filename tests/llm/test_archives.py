@@ -130,6 +130,20 @@ def test_vectors_that_take_no_part(spark):
     assert topk.top_k(df.where("false"), df.select("id"), 5).collect() == []
 
 
+def test_search_query_leaves_out_what_is_not_finite(spark, folder):
+    draw = np.random.default_rng(5)
+    vectors = [(i, row.tolist()) for i, row in enumerate(draw.normal(size=(60, 4)))]
+    for i, value in ((20, float("nan")), (40, float("inf")), (7, float("nan")), (8, float("inf")), (9, float("-inf"))):
+        vectors[i][1][i % 4] = value
+    vectors[10][1][0] = None
+    vectors.append((61, None))
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    df.write.parquet(folder("vectors") + "/embeddings.parquet")
+    whole = [(i, [np.floor(64 * float(np.float32(v))) for v in x]) for i, x in vectors if x and None not in x and np.isfinite(x).all()]
+    got = QUERIES["op10_topk"](spark, folder("vectors")).collect()
+    assert sorted(tuple(r) for r in got) == naive_top(whole, [0], 20)
+
+
 def test_queries_give_their_columns(spark):
     """Every query runs over its table and gives a row per document, page or piece at least."""
     n = {t: spark.read.parquet(f"{DATA}/{t}.parquet").count() for t in ("documents", "pages")}
