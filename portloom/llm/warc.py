@@ -158,41 +158,73 @@ def parse(content: bytes) -> tuple | None:
     )
 
 
-def starts_record(piece: bytes) -> bool:
-    """Whether the member that the piece begins holds a WARC header."""
+def starts_record(pieces: list[bytes]) -> bool | None:
+    """Whether the member that the pieces begin holds a WARC header; None if more of it is needed to tell."""
+    unpacker, head, want = zlib.decompressobj(31), b"", b"WARC/"
     try:
-        return zlib.decompressobj(31).decompress(MAGIC + piece[:256], 5) == b"WARC/"
+        for piece in pieces:
+            for part in (MAGIC, *(piece[at : at + 256] for at in range(0, len(piece), 256))):
+                head += unpacker.decompress(part, len(want) - len(head))
+                if unpacker.eof or not want.startswith(head) or head == want:
+                    return head == want
     except zlib.error:
         return False
+    return None
 
 
 class _Assembly:
     """Puts the pieces of one byte range together, in order."""
 
     def __init__(self, at_file_start: bool):
-        self.lead: list[bytes] = []  # pieces before the first record, which end one of an earlier range
+        self._lead: list[bytes] = []  # pieces before the first record, which end one of an earlier range
         self._leading = not at_file_start
+        self._maybe: list[bytes] = []  # pieces that are too little to tell whether a record starts
         self._open: list[bytes] = []
         self._unpacker = None
 
-    def add(self, piece: bytes) -> bytes | None:
-        """The content of the record that the piece completes, if it completes one."""
-        if self._unpacker is None:
-            if not starts_record(piece):
-                if self._leading:
-                    self.lead.append(piece)
-                return None
-            self._leading, self._unpacker, self._content = False, zlib.decompressobj(31), []
-        self._open.append(piece)
-        self._content.append(self._unpacker.decompress(MAGIC + piece))
+    def add(self, piece: bytes) -> list[bytes]:
+        """The contents of the records that the piece completes."""
+        if self._unpacker is not None:
+            return self._unpack([piece])
+        self._maybe.append(piece)
+        starts = starts_record(self._maybe)
+        if starts is None:
+            return []
+        if not starts:
+            return self._skip()
+        pieces, self._maybe = self._maybe, []
+        self._leading, self._unpacker, self._content = False, zlib.decompressobj(31), []
+        return self._unpack(pieces)
+
+    def _unpack(self, pieces: list[bytes]) -> list[bytes]:
+        for piece in pieces:
+            self._open.append(piece)
+            self._content.append(self._unpacker.decompress(MAGIC + piece))
         if not self._unpacker.eof:
-            return None
+            return []
         self._unpacker, self._open = None, []
-        return b"".join(self._content)
-
-    def tail(self) -> list[bytes]:
-        """Pieces of a record that the range does not complete."""
-        return self._open
+        return [b"".join(self._content)]
+
+    def _skip(self) -> list[bytes]:
+        """Gives up the first undecided piece; a record may start at each of the others."""
+        first, *others = self._maybe
+        self._maybe = []
+        if self._leading:
+            self._lead.append(first)
+        return [content for piece in others for content in self.add(piece)]
+
+    def finish(self) -> list[bytes]:
+        """The contents that are left when no piece follows."""
+        found = []
+        while self._maybe:
+            found += self._skip()
+        return found
+
+    def rest(self) -> list[tuple[bool | None, list[bytes]]]:
+        """(lead, pieces) that the range does not complete: what ends a record of an earlier range, then
+        those of a record or of a possible one; lead is null if they may do either."""
+        tail = (None if self._leading else False, self._open or self._maybe)
+        return [(lead, pieces) for lead, pieces in ((True, self._lead), tail) if pieces]
 
 
 def _pieces(spark: SparkSession, folder: str) -> DataFrame:
@@ -219,8 +251,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds + rest_kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names=[*names, "file", "range", "lead", "pieces"])
 
-    def rest(place: tuple, lead: bool, pieces: list[bytes]) -> list[tuple]:
-        return [(*(None,) * len(kinds), *place, lead, pieces)] if pieces else []
+    def rest(place: tuple, reader: _Assembly) -> list[tuple]:
+        return [(*(None,) * len(kinds), *place, lead, pieces) for lead, pieces in reader.rest()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, reader = None, _Assembly(True)
@@ -230,30 +262,31 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                 for file, start, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if (file, start) != place:
                         if place:
-                            rows += rest(place, True, reader.lead) + rest(place, False, reader.tail())
+                            rows += rest(place, reader)
                         place, reader = (file, start), _Assembly(start == 0)
-                    content = reader.add(piece)
-                    if content is not None and (found := parse(content)) is not None:
-                        rows.append((*found, None, None, None, None))
+                    for content in reader.add(piece):
+                        if (found := parse(content)) is not None:
+                            rows.append((*found, None, None, None, None))
                 yield batch_of(rows)
         if place:
-            yield batch_of(rest(place, True, reader.lead) + rest(place, False, reader.tail()))
+            yield batch_of(rest(place, reader))
 
     found = staged(_pieces(spark, folder).mapInArrow(run, schema), "records")
     whole = found.where("file is null").select(*names)
     # a record that its range did not complete goes on with the leading pieces of the next ones
     cut = found.where("file is not null").select("file", "range", "lead", "pieces")
-    begun = F.sum(F.when(~F.col("lead"), 1).otherwise(0)).over(Window.partitionBy("file").orderBy("range", F.desc("lead")))
-    chains = cut.withColumn("chain", begun).where("chain > 0").groupBy("file", "chain")
+    # (lead pieces before anything that may start a record belong to none)
+    order = Window.partitionBy("file").orderBy("range", F.desc("lead"))
+    begun = F.max(F.coalesce(~F.col("lead"), F.lit(True))).over(order)
+    chain = F.sum(F.when(~F.col("lead"), 1).otherwise(0)).over(order)
+    chains = cut.withColumn("begun", begun).withColumn("chain", chain).where("begun").groupBy("file", "chain")
 
     def join(key, rows):
-        parts = sorted(zip(rows["range"].to_pylist(), rows["pieces"].to_pylist(), strict=True))
-        reader, out = _Assembly(True), []
-        for _, pieces in parts:
-            for piece in pieces:
-                content = reader.add(piece)
-                if content is not None and (one := parse(content)) is not None:
-                    out.append(one)
+        leads = [lead is not True for lead in rows["lead"].to_pylist()]  # a range's lead comes first
+        parts = sorted(zip(rows["range"].to_pylist(), leads, rows["pieces"].to_pylist(), strict=True))
+        reader = _Assembly(True)
+        contents = [c for *_, pieces in parts for piece in pieces for c in reader.add(piece)] + reader.finish()
+        out = [one for c in contents if (one := parse(c)) is not None]
         columns = zip(*out, strict=True) if out else [[] for _ in kinds]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 

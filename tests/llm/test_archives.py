@@ -95,6 +95,44 @@ def test_ranges_cut_anywhere(spark, folder, size):
     assert len(got) == len(want) and {r.page_id: bytes(r.payload) for r in got} == want
 
 
+@pytest.mark.parametrize("size", ["150", "700", "1m"])
+def test_magic_in_the_header_of_a_member(spark, folder, size):
+    """A member's first piece is too short to show its record, for some by over 256 bytes."""
+    draw, want, path, magic = random.Random(6), {}, Path(folder("header")), b"\x1f\x8b\x08"
+    path.mkdir()
+    fields = [b"", b"a" + magic + b"b\0", magic * 3 + b"\0", b"n" * 400 + magic + b"m" * 300 + magic + b"\0"]
+    with open(path / "a.warc", "wb") as out:
+        for i in range(40):
+            payload = bytes(draw.choice(b"\x1f\x8b\x08ab") for _ in range(draw.randint(0, 300)))
+            content, name = warc.record(i, None, payload, None, False), fields[i % 4]
+            packer = zlib.compressobj(0 if i % 3 else 6, zlib.DEFLATED, -15)
+            out.write(magic + bytes([8 if name else 0, 0, 0, 0, 0, 0, 255]) + name + packer.compress(content) + packer.flush())
+            out.write(zlib.crc32(content).to_bytes(4, "little") + len(content).to_bytes(4, "little"))
+            if i % 5 == 0:
+                out.write(gzip.compress(b"not a record"))
+            want[i] = payload
+    small = {"maxPartitionBytes": size, "openCostInBytes": "0", "minPartitionNum": "400"}
+    for k, v in small.items():
+        spark.conf.set(f"spark.sql.files.{k}", v)
+    try:
+        got = warc.read_archives(spark, str(path)).collect()
+    finally:
+        for k in small:
+            spark.conf.unset(f"spark.sql.files.{k}")
+    assert len(got) == len(want) and {r.page_id: bytes(r.payload) for r in got} == want
+
+
+def test_pieces_that_only_look_like_a_start():
+    """Undecided pieces of packed data before a record do not hide it."""
+    member = warc._member(warc.record(1, None, b"x", None, False)).removeprefix(warc.MAGIC)
+    undecided = bytes([4, 0, 0, 0, 0, 0, 255, 255, 255])  # a header with an extra field of 64 KiB
+    reader = warc._Assembly(False)
+    found = [c for piece in (undecided, member, member) for c in reader.add(piece)]
+    assert found == [] and reader.rest() == [(None, [undecided, member, member])]
+    assert [warc.parse(c)[0] for c in reader.finish()] == [1, 1]
+    assert reader.rest() == [(True, [undecided])]
+
+
 def naive_top(vectors, queries, k):
     out = []
     for q in queries:
