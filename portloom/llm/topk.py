@@ -70,8 +70,12 @@ class Elimination:
         return np.partition(scores, -self.k, axis=1)[:, -self.k]
 
     def best(self, queries: np.ndarray, ids: np.ndarray, candidates: np.ndarray, candidate_ids: np.ndarray):
-        """(query row, candidate row, score) of what may be among the k best, k and ties per query."""
+        """(query row, candidate row, score) of the k best of these candidates that may be among the k
+        best of all, equal scores by id."""
         to_candidates = _distances(self.lifted(candidates), self.pivots).astype(np.float32)
+        by_id = np.argsort(candidate_ids, kind="stable")
+        place = np.empty(len(by_id), dtype=np.int64)
+        place[by_id] = np.arange(len(by_id))
         found = []
         for at in range(0, len(queries), AT_ONCE):
             q, own = queries[at : at + AT_ONCE], ids[at : at + AT_ONCE, None] == candidate_ids[None]
@@ -85,6 +89,9 @@ class Elimination:
             bound = np.where(own, -np.inf, (scale - lower * lower) / 2 + _SLACK * scale)
             floor = self.floor_scores(q, ids[at : at + AT_ONCE])
             for row, column, score in self._in_bound_order(q, candidates, bound, floor):
+                if len(column) > self.k:  # a group of ties is cut to its smallest ids
+                    order = np.lexsort((place[column], -score))[: self.k]
+                    column, score = column[order], score[order]
                 found.append((np.full(len(column), at + row), column, score))
         return tuple(map(np.concatenate, zip(*found, strict=True))) if found else None
 

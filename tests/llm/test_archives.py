@@ -159,6 +159,15 @@ def test_search_as_brute_force(spark, n, k, kind, monkeypatch):
     assert sorted(tuple(r) for r in got) == naive_top(vectors, [i for i, _ in vectors if i % 4 == 0], k)
 
 
+def test_a_group_of_ties_gives_k_rows_per_query():
+    draw = np.random.default_rng(3)
+    x, ids = np.repeat([[3.0, 4.0]], 500, axis=0), draw.permutation(500)
+    plan = topk.Elimination(x[:100], ids[:100], 25.0, 7)
+    q, c, score = plan.best(np.array([[1.0, 1.0], [2.0, 0.0]]), np.array([1000, 1001]), x, ids)
+    assert [sorted(ids[c[q == i]]) for i in (0, 1)] == [list(range(7))] * 2
+    assert score.tolist() == [7.0] * 7 + [6.0] * 7
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0])]
     rows += [(5, [3.0]), (None, [9.0, 9.0]), (6, [2.0, 2.0]), (7, [2.0, 2.0]), (6, [2.0, 2.0]), (8, [])]
