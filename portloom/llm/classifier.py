@@ -31,7 +31,7 @@ from portloom.llm.frames import map_arrow, small_batches
 from portloom.llm.linewords import blocks, line_words
 from portloom.llm.staging import staged
 
-SLOT_BITS, WIDTH, NONZERO, REACH = 14, 32, 2, 2
+SLOT_BITS, WIDTH, NONZERO, REACH = 15, 64, 4, 2
 SLOTS = 1 << SLOT_BITS
 WORDS_AT_ONCE = 1 << 20  # words whose contexts are added together
 FEATURES = 2 * WIDTH + 1
@@ -213,10 +213,13 @@ def fit(features: DataFrame, labels: DataFrame, doc_id: str = "doc_id", max_rows
     """``labels``: (doc_id, label 0 or 1) of the documents to learn from."""
     id_col, label = labels.columns
     known = labels.select(F.col(id_col).alias("_id"), F.col(label).alias("_label")).dropna().dropDuplicates(["_id"])
+    known = known.withColumn("_mix", F.xxhash64("_id"))
+    ids = features.select(F.col(doc_id).alias("_id"))
+    # only ids are shuffled; of the features, those of at most ``max_rows`` ids are looked up
+    first = ids.join(known, "_id").orderBy("_mix").limit(max_rows).dropDuplicates(["_id"])
     rows = (
         features.select(F.col(doc_id).alias("_id"), "features")
-        .join(known, "_id")
-        .withColumn("_mix", F.xxhash64("_id"))
+        .join(F.broadcast(first), "_id")
         .orderBy("_mix", "features")
         .limit(max_rows)
         .select("features", "_label", (F.pmod(F.col("_mix"), F.lit(5)) == 0).alias("_apart"))

@@ -218,6 +218,29 @@ def test_context_sums_as_a_plain_count(spark):
     assert classifier.context_sums(df.repartition(7)).tolist() == sums.tolist()
 
 
+def test_word_vectors_keep_their_sizes():
+    """Smaller ones are no way to save CPU time."""
+    assert (1 << classifier.SLOT_BITS, classifier.WIDTH, classifier.NONZERO) >= (1 << 15, 64, 4)
+    assert classifier.WIDTH >= 64 and classifier.NONZERO >= 4
+
+
+def test_labelled_rows_as_a_plain_choice(spark, monkeypatch):
+    """The rows with the smallest hashes of their ids, also where an id has many rows."""
+    draw, seen = np.random.default_rng(8), []
+    monkeypatch.setattr(classifier, "fit_network", lambda x, y, apart: seen.append((x, y, apart)))
+    x = draw.normal(size=(90, classifier.FEATURES)).astype("<f4")
+    rows = [(i // 3 if i % 10 else None, x[i].tobytes()) for i in range(90)]
+    known = [(i, i % 2) for i in range(2, 40)] + [(5, 1), (None, 1), (3, None)]
+    features = spark.createDataFrame(rows, "doc_id long, features binary")
+    classifier.fit(features, spark.createDataFrame(known, "doc_id long, quality int"), max_rows=25)
+    label = {i: q for i, q in known if i is not None and q is not None}
+    mix = {i: spark_hash(i.to_bytes(8, "little")) for i in label}
+    want = sorted((mix[i], f, label[i]) for i, f in rows if i in label)[:25]
+    assert seen[0][0].tobytes() == b"".join(f for _, f, _ in want)
+    assert seen[0][1].tolist() == [q for *_, q in want]
+    assert seen[0][2].tolist() == [m % 5 == 0 for m, *_ in want]
+
+
 def test_classifier_held_out(spark, documents):
     texts = [f"the good text number {i} is a plain one" if i % 2 else f"BAD!! {i} TEXT!! *** ### NUMBER!!" for i in range(400)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
