@@ -95,6 +95,7 @@ def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int,
         rarity = np.frombuffer(sent.value, np.uint8)
         for block, owner, place in blocks(batch.column("text").to_pylist()):
             line, h = line_words(block)
+            whole_at = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else np.empty(0, np.int64)
             # line, rarity and word in one number: sorting puts each line's set in the words' order
             packed = (line.astype(np.uint64) << np.uint64(WORD_BITS + 8)) | (h >> np.uint64(64 - WORD_BITS))
             packed |= rarity[slot_of(h)].astype(np.uint64) << np.uint64(WORD_BITS)
@@ -110,13 +111,18 @@ def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int,
             if not len(first):
                 continue
             whole = np.add.reduceat(mixed(word, 0xD6E8FEB86659FD93), first)
+            # short sets have few words to tell them apart, so two of them count with all their bits
+            whole += mixed(np.minimum.reduceat(h, whole_at), 0x9FB21C651E98DF25)
+            whole += mixed(np.maximum.reduceat(h, whole_at), 0xA0761D6478BD642F)
             maps = [
                 np.bitwise_xor.reduceat(np.uint64(1) << ((word >> np.uint64(shift)) & np.uint64(63)), first)
                 for shift in (0, 6)
             ]
             prefix = size - np.ceil(threshold * size - _SLACK).astype(np.int64) + 1
             enough = size >= min_words
-            use = np.repeat(enough, size) & (inside < np.repeat(prefix, size)) & (level > _ONCE)
+            # a set that not even one word more may join has equal sets only
+            joins = enough & (size >= threshold * (size + 1) - _SLACK)
+            use = np.repeat(joins, size) & (inside < np.repeat(prefix, size)) & (level > _ONCE)
             counts = np.add.reduceat(use, first)[enough]
             ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
             at_line = line[first][enough]

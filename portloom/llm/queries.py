@@ -61,7 +61,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_line_dedup")
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+    return linededup.dedup_lines(docs, min_words=1).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import xxhash
 
 from portloom.llm import linededup, simhash
 from portloom.llm.components import components
+from portloom.llm.queries import QUERIES
 
 BLANK = r"[^\x20\x09-\x0D]+"
 
@@ -152,3 +153,25 @@ def test_line_edges(edge):
     # rows of one id: equal rows get equal results and keep the first lines
     assert sorted(r[2] for r in found if r[0] == 5) == [0, 0, 0]
     assert linededup.dedup_lines(edge.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("common", [1, 64])
+def test_short_lines_as_brute_force(spark, common):
+    """Lines of one to six words, blank ones, and four words within five."""
+    draw, lines = random.Random(common), ["menu", "share", "a b c d", "a b c d e", "", " ", "menu menu", "d c b a"]
+    for _ in range(120):
+        own = [f"w{draw.randint(0, 9)}" for _ in range(draw.randint(0, 6))]
+        lines.append(" ".join(own))
+    draw.shuffle(lines)
+    rows = [(i * 7 % 37, "\n".join(lines[i * 4 : i * 4 + 4])) for i in range(len(lines) // 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = linededup.dedup_lines(df, min_words=1, common=common).select("doc_id", "n_lines", "n_removed", "text")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(naive_lines(rows, least=1))
+
+
+def test_line_query_removes_short_lines(spark, folder):
+    rows = [(1, "menu\nshare this\n\na b c d"), (2, "menu\n\nthis share\na b c d e"), (3, "menu")]
+    path = folder("lines")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    got = QUERIES["op3_line_dedup"](spark, path).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 4, 0, rows[0][1]), (2, 4, 3, ""), (3, 1, 1, "")]
