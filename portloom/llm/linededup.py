@@ -343,16 +343,17 @@ def removed_lines(
 ) -> DataFrame:
     """(doc, tie, removed): the line numbers to remove from each text; ``docs`` has doc, tie, text."""
     lines = staged(_line_sets(docs, word_levels(docs), threshold, min_words, common), "line-sets", "zstd")
-    first = F.min_by(F.struct("doc", "line", "n", "map", "map2", "key", "words", "at", "wide"), _order()).alias("f")
+    order = F.struct("doc", "line", "key", "tie")  # texts of one id may have equal lines at one place
+    first = F.min_by(F.struct("doc", "tie", "line", "n", "map", "map2", "key", "words", "at", "wide"), order).alias("f")
     sets = staged(lines.groupBy("set").agg(first, F.count(F.lit(1)).alias("lines")).select("set", "f.*", "lines"), "sets", "zstd")
     repeated = repeated_sets(sets, docs, threshold).withColumn("gone", F.lit(True))
     marks = (
-        sets.select("set", "key", "lines", F.col("doc").alias("f_doc"), F.col("line").alias("f_line"))
+        sets.select("set", "key", "lines", *(F.col(c).alias(f"f_{c}") for c in ("doc", "tie", "line")))
         .join(repeated, "key", "left")
         .where("gone or lines > 1")
-        .select("set", "f_doc", "f_line", "gone")
+        .select("set", "f_doc", "f_tie", "f_line", "gone")
     )
-    is_first = (F.col("doc") == F.col("f_doc")) & (F.col("line") == F.col("f_line"))
+    is_first = (F.col("doc") == F.col("f_doc")) & (F.col("tie") == F.col("f_tie")) & (F.col("line") == F.col("f_line"))
     gone = lines.select("doc", "tie", "line", "set").join(staged(marks, "marks"), "set")
     gone = gone.where(~is_first | F.col("gone"))
     return gone.groupBy("doc", "tie").agg(F.collect_set("line").alias("removed"))

@@ -175,3 +175,14 @@ def test_line_query_removes_short_lines(spark, folder):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
     got = QUERIES["op3_line_dedup"](spark, path).collect()
     assert sorted(tuple(r) for r in got) == [(1, 4, 0, rows[0][1]), (2, 4, 3, ""), (3, 1, 1, "")]
+
+
+def test_equal_lines_at_one_place_of_texts_with_one_id(spark):
+    """Only one of the texts without an id, or with the same one, holds the first line."""
+    line = "one two three four five six"
+    rows = [(d, f"{first}\n{end} {end}x") for d, first in ((None, line), (8, f"seven {line} eight nine")) for end in "abc"]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = linededup.dedup_lines(df).collect()
+    for doc in (None, 8):
+        assert sorted(r.n_removed for r in got if r.doc_id == doc) == [0, 1, 1]
+        assert sum(line in r.text for r in got if r.doc_id == doc) == 1
