@@ -215,8 +215,8 @@ def pseudonym(value: Column, key: str) -> Column:
     def is_(pattern: str) -> Column:
         return value.rlike(f"^(?:{pattern})$")
 
-    kinds = [(MAIL, _mail), (DATE, _date), (SOCIAL, _social), (ADDRESS, _address), (CARD, _card)]
-    out = F.when(value.startswith("+"), _phone(key, value))
+    kinds = [(DATE, _date), (SOCIAL, _social), (ADDRESS, _address), (CARD, _card)]
+    out = F.when(is_(MAIL), _mail(key, value)).when(value.startswith("+"), _phone(key, value))
     for pattern, make in kinds:
         out = out.when(is_(pattern), make(key, value))
     return out.otherwise(_phone(key, value))

@@ -176,6 +176,15 @@ def test_texts_are_rebuilt_around_the_values(spark):
     assert [got[i].text for i in (3, 4, 5, 6)] == texts[3:]
 
 
+def test_mail_that_begins_with_a_plus(spark):
+    texts = ["to +news@firm.example now", "+491701234567@sms.example", "call +491701234567"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.pseudonymise(df, KEY).collect()}
+    assert re.fullmatch(rf"to \+[a-z]{{4}}@{re.escape(pii.HOST)} now", got[0]) and "news" not in got[0]
+    assert re.fullmatch(rf"\+[0-9]{{12}}@{re.escape(pii.HOST)}", got[1]) and "491701234567" not in got[1]
+    assert re.fullmatch(r"call \+[0-9]{12}", got[2]) and got[2] != texts[2]
+
+
 def test_pseudonym_edges(edge):
     got = pii.pseudonymise(edge, KEY)
     assert got.columns == edge.columns
