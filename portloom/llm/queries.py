@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portloom.llm import bpe, classifier, linededup, packing, pii, quality, simhash, tokenfiles, topk, warc
+from portloom.llm import bpe, classifier, importance, linededup, packing, pii, quality, simhash, tokenfiles, topk, warc
 from portloom.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = vectors.where(F.col("vec_id") % 20 == 0).select("vec_id")
     found = topk.top_k(vectors, asked, k=20, id_col="vec_id")
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("score").cast("long").alias("score"))
+
+
+@query("op13_importance")
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = importance.resample(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc.doc_id", "n_features", "weight", "score", "rank")
