@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portloom.llm import bpe, classifier, importance, linededup, packing, pii, quality, simhash, tokenfiles, topk, warc
+from portloom.llm import (
+    bpe,
+    classifier,
+    importance,
+    linededup,
+    minhash,
+    packing,
+    pii,
+    quality,
+    simhash,
+    tokenfiles,
+    topk,
+    variants,
+    warc,
+)
 from portloom.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +145,15 @@ def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = importance.resample(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc.doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.group_variants(docs, rewrite=variants.letter_lost(199))
+
+
+@query("op12_minhash")
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, shingle=2)
