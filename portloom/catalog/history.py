@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from portloom.catalog.registry import query, table
 from portloom.operators import history as H
+from portloom.operators.intervals import intersect_histories
 from portloom.operators.marts import entity_dimension
 from portloom.operators.pick import latest_version
+from portloom.session import workspace
+from portloom.sources.histories import apply_snapshots, read_history
 
 STAGES = ["view", "signup", "click", "purchase", "error"]
 
@@ -147,3 +150,78 @@ def point_in_time_ties(spark, sf):
     hist = H.scd2(coarse, ["user_id"], ["h", "event_id"], ["event_type"])
     hist = hist.withColumnRenamed("event_type", "type_then")
     return H.point_in_time_join(events.select("event_id", "user_id", "ts"), hist, ["user_id"], "ts", ["type_then"])
+
+
+BANDS = INTERVALS.replace("event_type", "value_band").replace(
+    "FROM events)", "FROM (SELECT *, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS value_band FROM events))"
+)
+OVERLAP = "a.valid_from < coalesce(b.valid_to, 'infinity') AND b.valid_from < coalesce(a.valid_to, 'infinity')"
+COMMON = """greatest(a.valid_from, b.valid_from) AS valid_from, least(a.valid_to, b.valid_to) AS valid_to,
+      a.valid_to IS NULL AND b.valid_to IS NULL AS is_current"""
+
+
+@query(
+    "temporal_relation",
+    f"""SELECT a.user_id, event_type, value_band, {COMMON}
+    FROM ({INTERVALS}) a JOIN ({BANDS}) b ON a.user_id = b.user_id AND {OVERLAP}""",
+)
+def temporal_relation(spark, sf):
+    """Two historised dimensions of a user as one history, for all times."""
+    events = table(spark, sf, "events").withColumn("value_band", F.when(F.col("value") > 50, "high").otherwise("low"))
+    kinds, bands = (H.scd2(events, ["user_id"], ["ts", "event_id"], [c]) for c in ("event_type", "value_band"))
+    return intersect_histories(kinds, bands, ["user_id"], ["event_type"], ["value_band"])
+
+
+@query(
+    "temporal_overlaps",
+    f"""WITH held AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_returnflag, l_shipdate AS valid_from,
+      CASE WHEN l_orderkey % 97 <> 0 THEN l_shipdate + INTERVAL 1 DAY * (l_orderkey % 40) END AS valid_to FROM lineitem),
+    a AS (SELECT * FROM held WHERE l_returnflag = 'R' AND (valid_to IS NULL OR valid_from < valid_to)),
+    b AS (SELECT * FROM held WHERE l_returnflag = 'A' AND (valid_to IS NULL OR valid_from < valid_to))
+    SELECT a.l_suppkey, a.l_orderkey AS returned_order, a.l_linenumber AS returned_line, b.l_orderkey AS accepted_order,
+      b.l_linenumber AS accepted_line, {COMMON} FROM a JOIN b ON a.l_suppkey = b.l_suppkey AND {OVERLAP}""",
+)
+def temporal_overlaps(spark, sf):
+    """Claims of a supplier that run at the same time, where those of one kind overlap each other too."""
+    days = F.make_dt_interval(days=(F.col("l_orderkey") % 40).cast("int"))
+    held = table(spark, sf, "lineitem").select(
+        "l_suppkey",
+        "l_orderkey",
+        "l_linenumber",
+        "l_returnflag",
+        F.col("l_shipdate").alias("valid_from"),
+        F.when(F.col("l_orderkey") % 97 != 0, F.col("l_shipdate") + days).alias("valid_to"),
+    )
+
+    def of(flag, kind):
+        return held.where(F.col("l_returnflag") == flag).withColumnsRenamed(
+            {"l_orderkey": f"{kind}_order", "l_linenumber": f"{kind}_line"}
+        )
+
+    names = [[f"{kind}_order", f"{kind}_line"] for kind in ("returned", "accepted")]
+    return intersect_histories(of("R", "returned"), of("A", "accepted"), ["l_suppkey"], *names)
+
+
+@query(
+    "scd2_incremental",
+    """WITH daily AS (SELECT user_id, ts::DATE AS d, event_type FROM events
+      QUALIFY row_number() OVER (PARTITION BY user_id, d ORDER BY ts DESC, event_id DESC) = 1),
+    starts AS (SELECT * FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY d) AS p FROM daily)
+      WHERE p IS NULL OR p <> event_type)
+    SELECT user_id, event_type, d::VARCHAR AS valid_from, (lead(d) OVER w)::VARCHAR AS valid_to, lead(d) OVER w IS NULL AS is_current
+    FROM starts WINDOW w AS (PARTITION BY user_id ORDER BY d)""",
+)
+def scd2_incremental(spark, sf):
+    """A history that takes in daily snapshots: a first load, single days, and days that come late."""
+    events, path, landed = table(spark, sf, "events"), workspace(spark, "history"), workspace(spark, "snapshots")
+    last = F.max_by("event_type", F.struct("ts", "event_id")).alias("event_type")
+    daily = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(last)
+    daily.write.partitionBy("day").parquet(landed)
+    snapshots = spark.read.schema("user_id long, event_type string, day date").parquet(landed)
+    for days in (range(1, 19), [20], [21], [19], range(22, 32)):
+        came = [f"2024-01-{d:02d}" for d in days]
+        batch = snapshots.where(F.col("day").isin(*(F.lit(d).cast("date") for d in came)))
+        seen = snapshots.where(F.col("day") <= F.lit(max(came[-1], "2024-01-21")).cast("date"))
+        apply_snapshots(path, batch, ["user_id"], "day", ["event_type"], observed=seen)
+    text = {c: F.col(c).cast("string") for c in ("valid_from", "valid_to")}
+    return read_history(spark, path, ["user_id"], ["event_type"]).withColumns(text)
