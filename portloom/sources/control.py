@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +36,7 @@ def upsert(
 
     On a match only ``set_cols`` (all by default) take the delta's value, null included. Unmatched
     delta rows are inserted unless ``insert`` is off. With ``order_by`` the delta may hold several
-    rows per key and the first of them counts. Base keys are unique and not null.
+    rows per key and the first of them counts. Base keys are unique; a null key is a key.
     """
     keys = list(keys)
     if order_by:
@@ -46,7 +48,10 @@ def upsert(
     def side(df: DataFrame, cols: Sequence[str], tag: str) -> DataFrame:
         return df.select(*keys, F.struct(F.lit(1).alias("_in"), *cols).alias(tag))
 
-    both = side(base, values, "_b").join(side(delta, given, "_d"), keys, "full" if insert else "left")
+    theirs = side(delta, given, "_d").withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same_key = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    both = side(base, values, "_b").join(theirs, same_key, "full" if insert else "left")
+    own_key = {k: F.when(F.col("_b").isNull(), F.col(f"_key_{k}")).otherwise(F.col(k)) for k in keys}
 
     def value(c: str) -> Column:
         old, new = F.col(f"_b.{c}"), F.col(f"_d.{c}") if c in given else F.lit(None)
@@ -55,7 +60,7 @@ def upsert(
             merged = merged.when(F.col("_d").isNotNull(), new)
         return merged.otherwise(old).cast(base.schema[c].dataType).alias(c)
 
-    return both.select(*[value(c) if c in values else F.col(c) for c in base.columns])
+    return both.select(*[value(c) if c in values else own_key[c].alias(c) for c in base.columns])
 
 
 def _now(now: Column | datetime | None) -> Column:

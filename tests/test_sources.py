@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from portloom import session
 from portloom.sources import control, jdbc, landing, loader, tables
 from portloom.sources.layers import materialize
-from portloom.sources.merge import RepeatedKeys, merge_partitions
+from portloom.sources.merge import KeyIndex, RepeatedKeys, merge_partitions
 from portloom.sources.spec import SourceSpec, Split
 
 CONF = session.CHECKPOINT_CONF
@@ -352,3 +352,46 @@ def test_load_incremental_end_to_end(spark, folder, zone):
     ]
     with pytest.raises(ValueError):
         loader.load_snapshot(spark, s, root, "d", day(1), "r")
+
+
+@pytest.mark.parametrize("moving", [False, True])
+def test_a_repeated_batch_with_null_keys_changes_nothing(spark, folder, moving):
+    path, schema = folder("m"), "id int, v string, p string"
+    merge_partitions(spark.createDataFrame([(1, "a", "x"), (None, "n", "x")], schema), path, ["id"], "p", moving=moving)
+    delta = spark.createDataFrame([(None, "N", "x"), (2, "b", None)], schema)
+    for _ in range(2):
+        merge_partitions(delta, path, ["id"], "p", moving=moving)
+        assert rows(spark.read.schema(schema).parquet(path)) == [(None, "N", "x"), (1, "a", "x"), (2, "b", None)]
+    with pytest.raises(RepeatedKeys):
+        merge_partitions(spark.createDataFrame([(None, "y", "x"), (None, "z", "x")], schema), path, ["id"], "p", moving=moving)
+
+
+def test_a_moving_key_is_found_in_its_bucket_of_the_index(spark, folder):
+    path, schema = folder("m"), "id int, v string, p string"
+    first = spark.range(400).selectExpr("cast(id as int) id", "'a' v", "concat('p', id % 20) p")
+    merge_partitions(first, path, ["id"], "p", moving=True)
+    index = KeyIndex(path, first.schema, ["id"], "p")
+    before, table_before = part_files(index.path), part_files(path)
+    moved = spark.createDataFrame([(7, "b", "p3"), (1000, "c", "p3")], schema)
+    mine = index.entries(moved)
+    plan = index.of_same_keys(mine)._jdf.queryExecution().executedPlan().toString()
+    buckets = [r[0] for r in mine.select("_bucket").distinct().collect()]
+    assert "PartitionFilters: [isnotnull(_bucket" in plan or "PartitionFilters: [_bucket" in plan
+    for _ in range(2):
+        merge_partitions(moved, path, ["id"], "p", moving=True)
+        found = spark.read.schema(schema).parquet(path)
+        assert found.count() == 401 and rows(found.where("id in (7, 1000)")) == [(1000, "c", "p3"), (7, "b", "p3")]
+        assert rows(spark.read.parquet(index.path).where("id in (7, 1000)"), "id", "p") == [(1000, "p3"), (7, "p3")]
+    after, table_after = part_files(index.path), part_files(path)
+    changed = {b for b in after if after[b] != before.get(b)}
+    assert changed <= {f"_bucket={b}" for b in buckets}
+    assert {p for p in table_after if p[0] == "p" and table_after[p] != table_before[p]} == {"p=p3", "p=p7"}
+
+
+def test_a_table_without_index_gets_one_and_plain_merges_keep_it(spark, folder):
+    path, schema = folder("m"), "id int, v string, p string"
+    merge_partitions(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], schema), path, ["id"], "p")
+    merge_partitions(spark.createDataFrame([(1, "A", "y")], schema), path, ["id"], "p", moving=True)
+    merge_partitions(spark.createDataFrame([(3, "c", "z")], schema), path, ["id"], "p")
+    merge_partitions(spark.createDataFrame([(3, "C", "y")], schema), path, ["id"], "p", moving=True)
+    assert rows(spark.read.schema(schema).parquet(path)) == [(1, "A", "y"), (2, "b", "y"), (3, "C", "y")]
