@@ -24,7 +24,13 @@ HOST = "pseudonym.invalid"
 FIRST_DAY, DAY_PARTS = "1900-01-01", (319, 229)  # 319 * 229 days: the years 1900 to 2099
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}+"
+# A host is labels with dots and a top level of letters. Possessive groups, which Java's matcher repeats in
+# a loop instead of by recursion, take a label only if two letters follow somewhere after its dot, as
+# a top level needs them; labels that do not begin with two letters are skipped together.
+_LABEL = r"[A-Za-z0-9-]++\."
+_NO_TOP = rf"(?:(?![A-Za-z]{{2}}){_LABEL})*+"
+_LOCAL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++"
+MAIL = rf"{_LOCAL}@{_LABEL}{_NO_TOP}(?:{_LABEL}{_NO_TOP}(?=[A-Za-z]{{2}}))*+[A-Za-z]{{2,}}+"
 CARD = (
     r"(?<!\d)(?<!\d[.,])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?!\d)"
 )
@@ -200,13 +206,16 @@ def _date(key: str, value: Column) -> Column:
 def _mail(key: str, value: Column) -> Column:
     letters = F.split(F.regexp_extract(value, "^([^@]+)@", 1), "")
 
-    def letter(c: Column, i: Column) -> Column:
-        drawn = _draw(key, "mail", i, F.lower(value))
-        alphabet = F.when(c.rlike("[0-9]"), F.lit("0123456789")).otherwise(F.lit("abcdefghijklmnopqrstuvwxyz"))
-        new = F.substring(alphabet, F.pmod(drawn, F.length(alphabet)).cast("int") + 1, F.lit(1))
-        return F.when(c.rlike("[0-9A-Za-z]"), new).otherwise(c)
+    def rewritten(whole: Column) -> Column:
+        def letter(c: Column, i: Column) -> Column:
+            drawn = _draw(key, "mail", i, whole)
+            alphabet = F.when(c.rlike("[0-9]"), F.lit("0123456789")).otherwise(F.lit("abcdefghijklmnopqrstuvwxyz"))
+            new = F.substring(alphabet, F.pmod(drawn, F.length(alphabet)).cast("int") + 1, F.lit(1))
+            return F.when(c.rlike("[0-9A-Za-z]"), new).otherwise(c)
 
-    return F.concat(F.array_join(F.transform(letters, letter), ""), F.lit(f"@{HOST}"))
+        return F.concat(F.array_join(F.transform(letters, letter), ""), F.lit(f"@{HOST}"))
+
+    return _let(F.sha2(F.lower(value), 256), rewritten)  # a long address is hashed once
 
 
 def pseudonym(value: Column, key: str) -> Column:
@@ -227,16 +236,15 @@ def found_values(text: Column) -> Column:
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
-    """Replaces the values in ``text``; ``count`` names a column for the number of values found."""
-    some = F.col(text).rlike("[0-9@]")
-    df = docs.withColumn("_found", F.when(some, found_values(F.col(text))))
-    df = df.withColumn("_new", F.transform("_found", lambda v: pseudonym(v, key)))
-    rebuilt = F.array_join(
-        F.flatten(
-            F.zip_with(F.split(F.col(text), FOUND, -1), F.col("_new"), lambda p, v: F.array(p, F.coalesce(v, F.lit(""))))
-        ),
-        "",
-    )
+    """Replaces the values in ``text``; ``count`` names a column for the number of values found. The
+    other columns stay, whatever their names."""
+    own = F.col("row").getField(text)
+    df = docs.select(F.struct("*").alias("row"))
+    df = df.withColumn("found", F.when(own.rlike("[0-9@]"), found_values(own)))
+    df = df.withColumn("new", F.transform("found", lambda v: pseudonym(v, key)))
+    pieces = F.zip_with(F.split(own, FOUND, -1), F.col("new"), lambda p, v: F.array(p, F.coalesce(v, F.lit(""))))
+    rebuilt = F.when(F.size("found") > 0, F.array_join(F.flatten(pieces), "")).otherwise(own)
+    kept = [(rebuilt if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns if c != count]
     if count:
-        df = df.withColumn(count, F.coalesce(F.size("_found"), F.lit(0)).cast("long"))
-    return df.withColumn(text, F.when(F.size("_found") > 0, rebuilt).otherwise(F.col(text))).drop("_found", "_new")
+        kept.append(F.coalesce(F.size("found"), F.lit(0)).cast("long").alias(count))
+    return df.select(*kept)

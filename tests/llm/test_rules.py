@@ -185,6 +185,27 @@ def test_mail_that_begins_with_a_plus(spark):
     assert re.fullmatch(r"call \+[0-9]{12}", got[2]) and got[2] != texts[2]
 
 
+def test_mail_hosts_of_many_labels(spark):
+    many = 100_000
+    texts = [f"to x@{'a.' * many}com now", f"to x@{'a.' * many}", f"x@{'mail.' * many}1", f"{'y.' * many}z@b.example", "x@a.1.b-c.co.2.de.3 x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.pseudonymise(df, KEY).collect()}
+    assert re.fullmatch(rf"to [a-z]@{re.escape(pii.HOST)} now", got[0])
+    assert got[1] == texts[1]
+    assert re.fullmatch(rf"[a-z]@{re.escape(pii.HOST)}\.1", got[2])
+    assert re.fullmatch(rf"([a-z]\.){{{many}}}[a-z]@{re.escape(pii.HOST)}", got[3])
+    assert re.fullmatch(rf"[a-z]@{re.escape(pii.HOST)}\.3 x", got[4])
+
+
+def test_columns_named_like_the_operator_s_own_stay(spark):
+    names = ["_found", "_new", "found", "new", "row", "_row", "v", "n"]
+    df = spark.createDataFrame([("call +1 779 555 0207", *names)], ["text", *names])
+    got = pii.pseudonymise(df, KEY, count="n_found")
+    assert got.columns == [*df.columns, "n_found"]
+    row = got.first()
+    assert [row[c] for c in names] == names and row.n_found == 1 and row.text != "call +1 779 555 0207"
+
+
 def test_pseudonym_edges(edge):
     got = pii.pseudonymise(edge, KEY)
     assert got.columns == edge.columns
