@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from portloom.catalog.registry import query, table
@@ -10,6 +12,7 @@ from portloom.plans import lineage
 from portloom.session import workspace
 from portloom.sources.tables import read_table
 from portloom.streaming.arrivals import Arrivals
+from portloom.streaming.partials import Measure, PartialMart, land_partitions
 from portloom.streaming.tumbling import current_rows, drain, tumbling
 
 
@@ -94,6 +97,47 @@ def arrival_refresh(spark, sf):
     return read_table(spark, mart).withColumn("version", F.lit(load.version))
 
 
+@query(
+    "partial_refresh",
+    """WITH now AS (SELECT user_id % 10 AS user_group, event_type, CASE WHEN day(ts) = 7 THEN value + 1 ELSE value END::DECIMAL(15,2) AS value,
+      ts FROM events WHERE day(ts) <> 3)
+    SELECT user_group, event_type, count(*) AS n_events, sum(value)::DOUBLE AS total_value, min(value)::DOUBLE AS least_value,
+      max(value)::DOUBLE AS top_value, max(ts) AS last_at, 15 AS n_refreshed FROM now GROUP BY ALL""",
+)
+def partial_refresh(spark, sf):
+    """A mart of partial aggregates after late rows, corrected rows, a withdrawn day and new days."""
+    source, path = workspace(spark, "days"), workspace(spark, "partials")
+    value = F.col("value").cast("decimal(15,2)")
+    events = table(spark, sf, "events").select("user_id", "event_type", "ts", "value", F.to_date("ts").alias("day"))
+    number = F.dayofmonth("day")
+    late = (number == 5) & (F.col("user_id") % 4 == 0)
+    land_partitions(events.where((number <= 18) & ~late), source, "day")
+    mart = PartialMart(
+        spark,
+        path,
+        source,
+        events.schema,
+        "day",
+        {"user_group": F.col("user_id") % 10, "event_type": F.col("event_type")},
+        {
+            "n_events": Measure("count", F.lit(1)),
+            "total_value": Measure("sum", value),
+            "least_value": Measure("min", value),
+            "top_value": Measure("max", value),
+            "last_at": Measure("max", F.col("ts")),
+        },
+    )
+    mart.refresh()
+    corrected = events.withColumn("value", F.when(number == 7, F.col("value") + 1).otherwise(F.col("value")))
+    land_partitions(corrected.where(number.isin(5, 7) | (number > 18)), source, "day", withdrawn=[date(2024, 1, 3)])
+    refreshed = mart.refresh()
+    if mart.refresh():
+        raise AssertionError("refreshed without a new load")
+    return mart.read().withColumns(
+        {c: F.col(c).cast("double") for c in ("total_value", "least_value", "top_value")} | {"n_refreshed": F.lit(len(refreshed))}
+    )
+
+
 @query(
     "stale_partitions",
     """WITH up AS (SELECT strftime(l_shipdate, '%Y-%m') AS part_month, max(l_shipdate) AS u FROM lineitem GROUP BY 1),

@@ -106,20 +106,22 @@ def replace_partitions(
     must be whole partitions. An empty ``df`` is refused and changes nothing unless it is allowed."""
     spark, old = df.sparkSession, None
 
-    def files(rows: DataFrame) -> DataFrame:
-        return rows.select(F.col("_metadata.file_path").alias("file")).distinct()
+    def files() -> DataFrame:
+        present = inside(spark.read.schema(df.schema).parquet(path))
+        return present.select(F.col("_metadata.file_path").alias("file")).distinct()
 
     if path_exists(spark, path):
-        old = cut_lineage(files(inside(spark.read.schema(df.schema).parquet(path))))
+        old = cut_lineage(files())
     rows = counted_write(df, path, (part_col,), mode="overwrite")
     if rows == 0 and not allow_empty:
         raise EmptySnapshot(f"nothing to publish to {path}; its partitions stay")
-    if old is not None:
-        # the write took away the files of the partitions it replaced; what is left is stale
-        stale = files(spark.read.schema(df.schema).parquet(path)).join(old, "file").collect()
-        for row in stale:
-            file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.file))
-            file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)
+    if old is not None and not old.isEmpty():
+        # the write took away the files of the partitions it replaced; folders that still hold old ones are stale
+        folder = F.regexp_replace("file", "/[^/]*$", "").alias("folder")
+        stale = files().join(old, "file").select(folder).where(F.col("folder").contains(f"/{part_col}=")).distinct()
+        for row in stale.collect():  # one row per partition that is to go
+            gone = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.folder))
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
     return rows
 
 

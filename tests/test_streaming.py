@@ -1,9 +1,12 @@
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from portloom.streaming.arrivals import Arrivals
+from portloom.streaming.partials import Measure, PartialMart, land_partitions
 from portloom.streaming.tumbling import current_rows, drain, tumbling
 
 START = datetime(2024, 1, 1)
@@ -62,3 +65,27 @@ def test_refresh_waits_for_every_source(spark, folder):
     spark.range(5, 6).write.mode("append").parquet(a)
     state.drain()
     assert state.waiting_for() == ["b"]
+
+
+def test_partials_read_stale_partitions_only(spark, folder):
+    source, path = folder("source"), folder("partials")
+    schema = "k string, v int, day int"
+
+    def days(*rows_):
+        return spark.createDataFrame(list(rows_), schema)
+
+    land_partitions(days(("a", 1, 1), ("b", 5, 1), ("a", 2, 2), ("a", 9, 3), ("c", 7, 4)), source, "day")
+    measures = {
+        "n": Measure("count", F.lit(1)), "s": Measure("sum", F.col("v")),
+        "low": Measure("min", F.col("v")), "top": Measure("max", F.col("v")),
+    }
+    mart = PartialMart(spark, path, source, days().schema, "day", {"k": F.col("k")}, measures)
+    assert sorted(mart.refresh()) == [1, 2, 3, 4] and mart.refresh() == []
+    assert rows(mart.read()) == [("a", 3, 12, 1, 9), ("b", 1, 5, 5, 5), ("c", 1, 7, 7, 7)]
+    for file in Path(source).glob("day=1/*.parquet"):
+        file.write_bytes(b"not parquet")  # whoever reads this partition again fails
+    land_partitions(days(("a", 3, 3), ("b", 4, 3), ("c", 1, 5)), source, "day", withdrawn=[4])
+    assert sorted(mart.refresh()) == [3, 4, 5]
+    assert rows(mart.read()) == [("a", 3, 6, 1, 3), ("b", 2, 9, 4, 5), ("c", 1, 1, 1, 1)]
+    with pytest.raises(ValueError, match="measures"):
+        Measure("median", F.col("v"))
