@@ -167,3 +167,29 @@ def test_stale_partitions_and_upstream(spark):
     ]
     unseen = upstream_status(edges, status.where("relation <> 'ok'"))
     assert ("gld", "ok", 1, "never") in rows(unseen, "consumer", "waiting_for", "depth", "status")
+
+
+def test_a_deep_chain_takes_few_rounds(spark, monkeypatch):
+    from portloom.operators import closure
+
+    rounds, cut = [], closure.cut_lineage
+    monkeypatch.setattr(closure, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    edges = [(i, i - 1 if i else None) for i in range(1000)]
+    got = hierarchy(spark.createDataFrame(edges, "id int, up int"), "id", "up")
+    assert len(rounds) - 2 <= 12
+    deepest = got.where("node = 999").first()
+    assert (deepest.root, deepest.level, deepest.all_parent_list) == (0, 1000, list(range(999)))
+    assert got.agg(F.sum("level")).first()[0] == 1000 * 1001 // 2
+
+
+def test_hierarchy_of_repeated_rows_several_parents_and_cycles(spark):
+    rows_ = [("a", None), ("b", "a"), ("b", "a"), ("c", "b"), ("c", "a"), ("d", "c"), ("o", "gone"), (None, "a")]
+    rows_ += [("x", "y"), ("y", "z"), ("z", "x"), ("u", "x"), ("v", "u"), ("s", "s"), ("m", "x"), ("m", "a")]
+    got = hierarchy(spark.createDataFrame(rows_, "id string, up string"), "id", "up")
+    found = sorted(((r.node, r.root, r.level, r.all_parent_list) for r in got.collect()), key=str)
+    ways = [
+        ("a", "a", 1, []), ("b", "a", 2, ["a"]), ("c", "a", 3, ["a", "b"]), ("c", "a", 2, ["a"]), ("o", "o", 1, []),
+        ("d", "a", 4, ["a", "b", "c"]), ("d", "a", 3, ["a", "c"]), (None, "a", 2, ["a"]), ("m", "a", 2, ["a"]),
+    ]
+    lost = [(n, None, None, None) for n in "xyzuvs"]
+    assert found == sorted(ways + lost, key=str)
