@@ -169,10 +169,32 @@ def stale_partitions(spark, sf):
     SELECT node AS consumer, root AS waiting_for, depth, status FROM walk JOIN late ON rel = root WHERE depth > 0""",
 )
 def upstream_status(spark, sf):
+    return lineage.upstream_status(*user_lineage(spark, sf))
+
+
+def user_lineage(spark, sf):
     """A lineage tree over the users: user n reads from user n / 3 and is as fresh as its last event."""
     events = table(spark, sf, "events")
     users = events.where(F.col("user_id") > 0).select("user_id").distinct()
     edges = users.select(F.floor(F.col("user_id") / 3).alias("upstream"), F.col("user_id").alias("downstream"))
     loaded = events.where(F.col("user_id") % 17 != 1)
     status = K.freshness(loaded, "ts", ntz("2024-01-31 00:00:00"), "6 HOURS", "24 HOURS", ["user_id"])
-    return lineage.upstream_status(edges, status.select(F.col("user_id").alias("relation"), "status"))
+    return edges, status.select(F.col("user_id").alias("relation"), "status")
+
+
+@query(
+    "downstream_freshness",
+    """WITH RECURSIVE e AS (SELECT DISTINCT user_id // 3 AS up, user_id AS down FROM events WHERE user_id > 0),
+    st AS (SELECT user_id AS r, CASE WHEN max(ts) < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 24 HOUR THEN 'error'
+             WHEN max(ts) < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 6 HOUR THEN 'warn' ELSE 'pass' END AS s
+           FROM events WHERE user_id % 17 <> 1 GROUP BY 1),
+    late AS (SELECT rel, coalesce(s, 'never') AS status FROM (SELECT up AS rel FROM e UNION SELECT down FROM e)
+             LEFT JOIN st ON r = rel WHERE coalesce(s, 'never') <> 'pass'),
+    walk AS (SELECT rel AS root, rel AS node, 0 AS depth FROM late
+             UNION ALL SELECT root, down, depth + 1 FROM walk JOIN e ON up = node)
+    SELECT node AS consumer, status, root AS waiting_for, depth FROM walk JOIN late ON rel = root WHERE depth > 0
+    QUALIFY row_number() OVER (PARTITION BY node ORDER BY CASE status WHEN 'never' THEN 0 WHEN 'error' THEN 1 ELSE 2 END,
+      depth, root) = 1""",
+)
+def downstream_freshness(spark, sf):
+    return lineage.downstream_freshness(*user_lineage(spark, sf))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,20 +72,52 @@ def evaluate(sources: Mapping[str, DataFrame], spec: MetricSpec) -> DataFrame:
     return long.select(F.lit(spec.source).alias("source_name"), *spec.dims, "metric_name", "metric_value")
 
 
+def _one_scan(df: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
+    """(dimensions, metric_name, metric_value) of several specs of one source from a single scan.
+
+    A row stands once for each spec whose condition it meets; the dimensions that a spec does not use
+    are null in its copies, and partial aggregates leave each task once per spec and group.
+    """
+    conditions = [F.expr(s.where) if s.where else F.lit(True) for s in specs]
+    own = F.array_compact(F.array(*(F.when(c, F.lit(i)) for i, c in enumerate(conditions))))
+    copies = df.withColumn("_spec", F.explode(own))
+    dims = sorted({d for s in specs for d in s.dims})
+    users = {d: [i for i, s in enumerate(specs) if d in s.dims] for d in dims}
+    keys = [F.when(F.col("_spec").isin(users[d]), F.col(d)).alias(f"_dim_{d}") for d in dims]
+    measures = {(i, n): m.cast("double").alias(f"_{i}_{n}") for i, s in enumerate(specs) for n, m in s.measures.items()}
+    wide = copies.groupBy("_spec", *keys).agg(*measures.values())
+
+    def text(s: MetricSpec) -> Column:
+        parts = [F.concat(F.lit(f"{d}="), F.coalesce(F.col(f"_dim_{d}").cast("string"), F.lit("null"))) for d in sorted(s.dims)]
+        return F.concat_ws(",", *parts)
+
+    def entries(i: int, s: MetricSpec) -> Column:
+        return F.array(
+            *(F.struct(F.lit(n).alias("metric_name"), F.col(f"_{i}_{n}").alias("metric_value")) for n in s.measures)
+        )
+
+    dimensions, found = F.lit(None).cast("string"), None
+    for i, s in enumerate(specs):
+        mine = F.col("_spec") == i
+        dimensions = F.when(mine, text(s)).otherwise(dimensions)
+        found = F.when(mine, entries(i, s)) if found is None else found.when(mine, entries(i, s))
+    return wide.select(dimensions.alias("dimensions"), F.inline(found))
+
+
 def metric_rows(sources: Mapping[str, DataFrame], specs: Sequence[MetricSpec]) -> DataFrame:
-    """Metrics of several specs in one table; the dimensions become sorted ``name=value`` text."""
-
-    def row(spec: MetricSpec) -> DataFrame:
-        parts = [
-            F.concat(F.lit(f"{d}="), F.coalesce(F.col(d).cast("string"), F.lit("null"))) for d in sorted(spec.dims)
-        ]
-        out = evaluate(sources, spec)
-        return out.select("source_name", F.concat_ws(",", *parts).alias("dimensions"), "metric_name", "metric_value")
-
-    first, *rest = [row(s) for s in specs]
-    for df in rest:
-        first = first.unionAll(df)
-    return first
+    """Metrics of several specs in one table; the dimensions become sorted ``name=value`` text. Each
+    source is scanned once for all its specs that have dimensions."""
+    parts = []
+    for source in dict.fromkeys(s.source for s in specs):
+        mine = [s for s in specs if s.source == source]
+        cut = [s for s in mine if s.dims]
+        if cut:
+            parts.append(_one_scan(sources[source], cut).select(F.lit(source).alias("source_name"), "*"))
+        for s in mine:
+            if not s.dims:  # a total has a row for an empty source too
+                total = evaluate(sources, s)
+                parts.append(total.select("source_name", F.lit("").alias("dimensions"), "metric_name", "metric_value"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def entity_dimension(

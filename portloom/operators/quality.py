@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from portloom.functions.calendar import time_literal
 from portloom.functions.text import code_of
+from portloom.session import cut_lineage
 
+RECONCILE_BUCKETS = 4096
 GATE_SCHEMA = "check_name string, table_name string, column_name string, n_violations long, status string"
 
 
@@ -98,14 +100,43 @@ def freshness(
     return df.groupBy(*by).agg(newest.alias("last_loaded_at"), status.alias("status"))
 
 
-def reconcile(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def _bucket_digests(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """(bucket, digest): number and order-free digests of a bucket's rows."""
+    own = [*keys, *cols]
+    missing = F.array(*(F.col(c).isNull() for c in own))  # a hash alone passes over nulls
+    marks = df.select(
+        "_bucket", F.xxhash64(*own, missing).alias("a"), F.xxhash64(F.lit("other"), missing, *own).alias("b")
+    )
+    digest = F.struct(F.count(F.lit(1)).alias("n"), F.sum(F.col("a").cast("decimal(38,0)")).alias("a"), F.bit_xor("b").alias("b"))
+    return marks.groupBy("_bucket").agg(digest.alias("digest"))
+
+
+def reconcile(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str], buckets: int = RECONCILE_BUCKETS
+) -> DataFrame:
     """Differences between two outputs by key, with the key's rows on either side.
 
     ``difference`` is ``missing`` or ``extra`` for a key of one side only, ``duplicate`` for one held
     by several rows of a side (besides the former, if it is also on one side only), and ``changed``
     with one row per changed column. Of a repeated key the largest row of each side is compared.
-    Both sides go through one grouped pass instead of an outer join, so a repeated key stays linear.
+
+    Keys are dealt into buckets by hash, and both sides' buckets are first compared by digests that
+    do not depend on the order of rows, at most ``buckets`` numbers a side. Only rows of buckets that
+    differ go on and are compared by key; the others are not shuffled.
     """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    sides = [df.select(*keys, *cols, bucket.alias("_bucket")) for df in (old, new)]
+    mine, theirs = (_bucket_digests(s, keys, cols) for s in sides)
+    unlike = mine.join(theirs.withColumnRenamed("digest", "other"), "_bucket", "full").where(
+        ~F.col("digest").eqNullSafe(F.col("other"))
+    )
+    unlike = F.broadcast(cut_lineage(unlike.select("_bucket")))  # at most ``buckets`` rows
+    old, new = (s.join(unlike, "_bucket", "left_semi") for s in sides)
+    return _compared(old, new, keys, cols)
+
+
+def _compared(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Both sides go through one grouped pass instead of an outer join, so a repeated key stays linear."""
     packed = F.struct(*cols)
     both = old.select(*keys, packed.alias("_row"), F.lit(True).alias("_old")).unionAll(
         new.select(*keys, packed.alias("_row"), F.lit(False).alias("_old"))

@@ -10,7 +10,7 @@ from portloom.operators import marts as M
 from portloom.operators import quality as K
 from portloom.operators import shape as S
 from portloom.operators.closure import hierarchy, reachability
-from portloom.plans.lineage import stale_partitions, upstream_status
+from portloom.plans.lineage import downstream_freshness, stale_partitions, upstream_status
 
 
 def test_code_is_null_when_a_part_is(spark):
@@ -193,3 +193,56 @@ def test_hierarchy_of_repeated_rows_several_parents_and_cycles(spark):
     ]
     lost = [(n, None, None, None) for n in "xyzuvs"]
     assert found == sorted(ways + lost, key=str)
+
+
+def test_equal_buckets_are_not_compared_row_by_row(spark, folder):
+    cols = ["x", "y", "z"]
+    spark.range(2000).selectExpr("id AS k", "id % 7 AS x", "if(id % 3 = 0, null, 'v') AS y", "if(id % 3 = 0, 'v', null) AS z").write.parquet(
+        folder("old")
+    )
+    old = spark.read.parquet(folder("old"))
+    # nulls that change places, a changed value, a missing and an extra key, a repeated one
+    swapped = old.where("k = 3").selectExpr("k", "x", "z AS y", "y AS z")
+    new = old.where("k not in (3, 5, 9)").unionAll(swapped).unionAll(old.where("k in (11)"))
+    new = new.unionAll(old.where("k = 5").selectExpr("k", "x + 1", "y", "z")).unionAll(old.where("k = 1").selectExpr("5000L", "x", "y", "z"))
+    want = rows(K._compared(old.select("k", *cols), new, ["k"], cols))
+    assert rows(K.reconcile(old, new, ["k"], cols)) == want and len(want) == 6
+    found = K.reconcile(old, new, ["k"], cols, buckets=50)
+    assert rows(found) == want
+    execution = found._jdf.queryExecution()
+    execution.toRdd().count()
+    plan = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.index("Exchange hashpartitioning(k") < plan.index("LeftSemi")  # listed from the top down
+    assert K.reconcile(old, old, ["k"], cols).isEmpty()
+
+
+def test_specs_of_a_source_share_one_scan(spark, folder):
+    spark.range(100).selectExpr("id % 4 AS a", "if(id % 5 = 0, null, id % 5) AS b", "id AS v").write.parquet(folder("f"))
+    fact = spark.read.parquet(folder("f"))
+    specs = [
+        M.MetricSpec("f", ("a",), {"n": F.count(F.lit(1)), "s": F.sum("v")}),
+        M.MetricSpec("f", ("b", "a"), {"n": F.count(F.lit(1))}, where="v >= 50"),
+        M.MetricSpec("f", ("b",), {"top": F.max("v"), "kinds": F.count_distinct("a")}, where="a = 1"),
+        M.MetricSpec("f", (), {"n": F.count(F.lit(1))}, where="v < 0"),
+    ]
+
+    def alone(spec):
+        parts = [F.concat(F.lit(f"{d}="), F.coalesce(F.col(d).cast("string"), F.lit("null"))) for d in sorted(spec.dims)]
+        return rows(M.evaluate({"f": fact}, spec).select("source_name", F.concat_ws(",", *parts), "metric_name", "metric_value"))
+
+    want = sorted((r for s in specs for r in alone(s)), key=str)
+    found = M.metric_rows({"f": fact}, specs)
+    assert sorted(rows(found), key=str) == want
+    plan = M.metric_rows({"f": fact}, specs[:3])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+
+
+def test_the_worst_state_and_its_nearest_cause(spark):
+    edges = [("a", "b"), ("b", "c"), ("c", "d"), ("x", "c"), ("d", "b"), ("y", "d"), ("d", "e"), ("a", "a"), ("k", "e")]
+    edges = spark.createDataFrame(edges, "upstream string, downstream string")
+    status = [("a", "warn"), ("b", "pass"), ("c", "error"), ("d", "pass"), ("e", "pass"), ("x", "pass"), ("y", "error"), ("k", "odd")]
+    status = spark.createDataFrame(status, "relation string, status string")
+    found = downstream_freshness(edges, status)
+    assert rows(found) == [
+        ("a", "warn", "a", 1), ("b", "error", "c", 2), ("c", "error", "c", 3), ("d", "error", "c", 1), ("e", "never", "k", 1),
+    ]
