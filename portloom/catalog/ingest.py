@@ -10,7 +10,7 @@ from portloom.catalog.registry import query, table
 from portloom.functions.text import to_messages
 from portloom.operators.shape import union_sources
 from portloom.session import workspace
-from portloom.sources import control, landing, loader, tables
+from portloom.sources import control, jdbc, landing, loader, tables
 from portloom.sources.merge import merge_partitions
 from portloom.sources.spec import SourceSpec
 
@@ -309,3 +309,29 @@ def publish_window_replace(spark, sf):
 def publish_payload(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     return to_messages(rows, ["o_orderstatus", "o_orderkey"])
+
+
+@query(
+    "balanced_extract_ranges",
+    """SELECT column_name, n AS n_rows, 16 AS n_ranges, true AS is_balanced FROM (
+      SELECT 'l_orderkey' AS column_name, count(*) AS n FROM lineitem UNION ALL SELECT 'l_shipdate', count(*) FROM lineitem)""",
+)
+def balanced_extract_ranges(spark, sf):
+    """Ranges for a parallel extract cut by row counts, on a skewed key and on a time: each row is in one
+    range and none has more than twice the mean."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
+    # a quarter of the keys far from the others, and some missing
+    skewed = F.when(F.col("l_orderkey") % 50 != 0, F.when(F.col("l_orderkey") % 4 == 0, F.col("l_orderkey") * 1000).otherwise(F.col("l_orderkey")))
+    lines, out = lines.withColumn("l_orderkey", skewed), None
+    for column in ("l_orderkey", "l_shipdate"):
+        conditions = jdbc.range_predicates(column, jdbc.balanced_bounds(lines, column, 16))
+        counts = lines.agg(F.array(*(F.count(F.when(F.expr(c), 1)) for c in conditions)).alias("n"))
+        total = F.aggregate("n", F.lit(0).cast("long"), lambda s, x: s + x)
+        found = counts.select(
+            F.lit(column).alias("column_name"),
+            total.alias("n_rows"),
+            F.size("n").alias("n_ranges"),
+            (F.array_max("n") * F.size("n") <= 2 * total).alias("is_balanced"),
+        )
+        out = found if out is None else out.unionAll(found)
+    return out

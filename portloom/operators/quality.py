@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from portloom.functions.calendar import time_literal
 from portloom.functions.text import code_of
@@ -37,9 +38,24 @@ def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _long(df, {c: _count_if(F.col(c).isNull()) for c in cols}, "column_name", "n_violations")
 
 
-def unique(df: DataFrame, cols: Sequence[str], count_as: str = "n_rows") -> DataFrame:
-    """Keys held by more than one row. A key with a null part is not compared."""
-    keyed = df.dropna(subset=list(cols))
+def _key_digest(cols: Sequence[str]) -> Column:
+    return F.xxhash64(*cols)
+
+
+def unique(
+    df: DataFrame, cols: Sequence[str], count_as: str = "n_rows", digest: Callable[[Sequence[str]], Column] = _key_digest
+) -> DataFrame:
+    """Keys held by more than one row. A key with a null part is not compared.
+
+    Composite and textual keys are first counted by a digest of eight bytes, so what is shuffled per
+    row does not depend on the width of the key; whole keys are compared only where digests meet.
+    """
+    cols = list(cols)
+    keyed = df.dropna(subset=cols)
+    if len(cols) > 1 or not isinstance(df.schema[cols[0]].dataType, T.NumericType):
+        marked = keyed.select(*cols, digest(cols).alias("_digest"))
+        met = marked.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_digest")
+        keyed = marked.join(met, "_digest", "left_semi")
     return keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_as)).where(F.col(count_as) > 1)
 
 

@@ -246,3 +246,13 @@ def test_the_worst_state_and_its_nearest_cause(spark):
     assert rows(found) == [
         ("a", "warn", "a", 1), ("b", "error", "c", 2), ("c", "error", "c", 3), ("d", "error", "c", 1), ("e", "never", "k", 1),
     ]
+
+
+def test_unique_is_exact_when_digests_meet(spark):
+    pairs = [(f"k{i % 40}", i // 2) for i in range(80)] + [("k1", 0), ("k1", 0), (None, 1), (None, 1), ("x", None)]
+    df = spark.createDataFrame(pairs, "a string, b int")
+    want = rows(df.dropna().groupBy("a", "b").count().where("count > 1"))
+    for digest in (None, lambda cols: F.pmod(F.xxhash64(*cols), F.lit(3)), lambda cols: F.lit(1).cast("long")):
+        found = K.unique(df, ["a", "b"], **({"digest": digest} if digest else {}))
+        assert found.columns == ["a", "b", "n_rows"] and rows(found) == want == [("k1", 0, 3)]
+    assert rows(K.unique(df, ["b"])) == rows(df.dropna(subset=["b"]).groupBy("b").count().where("count > 1"))

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -395,3 +395,19 @@ def test_a_table_without_index_gets_one_and_plain_merges_keep_it(spark, folder):
     merge_partitions(spark.createDataFrame([(3, "c", "z")], schema), path, ["id"], "p")
     merge_partitions(spark.createDataFrame([(3, "C", "y")], schema), path, ["id"], "p", moving=True)
     assert rows(spark.read.schema(schema).parquet(path)) == [(1, "A", "y"), (2, "b", "y"), (3, "C", "y")]
+
+
+def test_balanced_ranges_hold_every_row_once(spark):
+    values = [None] * 7 + [5] * 400 + list(range(600)) + [10**12 + i for i in range(300)]
+    df = spark.createDataFrame([(v, date(2024, 1, 1) + timedelta(days=i % 90)) for i, v in enumerate(values)], "k long, d date")
+    for column, most in (("k", 520), ("d", 2 * 1307 / 8)):
+        conditions = jdbc.range_predicates(column, jdbc.balanced_bounds(df, column, 8))
+        met = [df.where(c).count() for c in conditions]
+        assert sum(met) == 1307 and max(met) <= most and len(conditions) <= 8
+    assert jdbc.range_predicates("k", []) == ["1 = 1"] and jdbc.balanced_bounds(df, "k", 1) == []
+    assert jdbc.balanced_bounds(df.limit(0), "k", 8) == []
+    assert jdbc.range_predicates("t", [date(2024, 1, 2), date(2024, 1, 5)]) == [
+        "t < DATE '2024-01-02' OR t IS NULL", "t >= DATE '2024-01-02' AND t < DATE '2024-01-05'", "t >= DATE '2024-01-05'",
+    ]
+    with pytest.raises(ValueError, match="bound"):
+        jdbc.range_predicates("k", ["x'; DROP"])
