@@ -10,8 +10,8 @@ those to the left that a longer dictionary gram across the place could swallow,
 right that such a gram could cover. The largest of these numbers is the word's own bound. So two
 words one edit apart share at least ``grams - bound`` grams, by either word's count; each has one of
 them among its ``bound + 1`` rarest, and it stands at the same distance from the start or from the
-end in both. That is the key by which the words' lists are merged. What is left must have enough
-grams in common, and is then verified by the edit distance itself.
+end in both. That is the key by which the words' lists are merged. What is left must differ in two
+letters at most, have enough grams in common, and is then verified by the edit distance itself.
 
 Words whose bound leaves nothing to share are also indexed by plain grams of ``QMIN``, of which an
 edit changes ``QMIN`` at most, and meet each other there. No pair is lost, and there is no cap.
@@ -25,13 +25,14 @@ rows. Columns besides the id and the text are not read.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
-from operator import itemgetter
 
 import pyarrow as pa
 import xxhash
@@ -49,7 +50,7 @@ RATIO = 5
 MIN_LENGTH = 6
 MIN_COUNT = 5
 _LETTERS = "A-Za-zÀ-ÿ"
-_NAMES = ["word", "n", "length", "plain", "weak", "least", "grams", "keys"]
+_NAMES = ["word", "n", "length", "letters", "plain", "weak", "least", "grams", "keys"]
 _HELD = 200_000  # distinct strings a task holds before it sends their counts
 
 
@@ -77,7 +78,7 @@ def word_counts(
             for batch in small_batches(whole, "text"):
                 for doc, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
                     lowered = (text.as_py() or "").encode().lower().decode()  # bytes: only A-Z change
-                    own = Counter(map(itemgetter(0), run_of.finditer(lowered)))
+                    own = Counter(map(operator.itemgetter(0), run_of.finditer(lowered)))
                     if rewrite is None:
                         total.update(own)
                         continue
@@ -188,7 +189,7 @@ def _entry(word: str, dictionary: Dictionary, kind: str) -> tuple[int, list[int]
     return len(spans) - bound, numbered, sorted(keys)
 
 
-_ENTRY = "word string, n long, length int, plain boolean, weak boolean, least int, grams array<long>, keys array<long>"
+_ENTRY = "word string, n long, length int, letters long, plain boolean, weak boolean, least int, grams array<long>, keys array<long>"
 
 
 def _index(words: DataFrame, dictionary: Dictionary) -> DataFrame:
@@ -202,12 +203,13 @@ def _index(words: DataFrame, dictionary: Dictionary) -> DataFrame:
                 rows = []
                 for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
                     least, grams, keys = _entry(word, variable, "v")
-                    rows.append((word, n, len(word), False, least <= 0, least, grams, keys))
+                    letters = functools.reduce(operator.or_, (1 << ord(c) % 63 for c in word), 0)
+                    rows.append((word, n, len(word), letters, False, least <= 0, least, grams, keys))
                     if least <= 0:
                         least, grams, keys = _entry(word, fixed, "p")
-                        rows.append((word, n, len(word), True, False, least, grams, keys))
+                        rows.append((word, n, len(word), letters, True, False, least, grams, keys))
                 longs = pa.list_(pa.int64())
-                kinds = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.int32(), longs, longs]
+                kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), longs, longs]
                 arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=_NAMES)
 
@@ -226,6 +228,7 @@ def near_pairs(words: DataFrame, grams: int = GRAMS) -> DataFrame:
         (F.col("word") < F.col("word_b"))
         & (F.abs(F.col("length") - F.col("length_b")) <= 1)
         & ~(F.col("weak") & F.col("weak_b"))
+        & (F.bit_count(F.col("letters").bitwiseXOR(F.col("letters_b"))) <= 2)
         & (shared >= F.greatest("least", "least_b"))
         & (F.levenshtein("word", "word_b", 1) == 1)
     )
