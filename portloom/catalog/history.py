@@ -222,6 +222,6 @@ def scd2_incremental(spark, sf):
         came = [f"2024-01-{d:02d}" for d in days]
         batch = snapshots.where(F.col("day").isin(*(F.lit(d).cast("date") for d in came)))
         seen = snapshots.where(F.col("day") <= F.lit(max(came[-1], "2024-01-21")).cast("date"))
-        apply_snapshots(path, batch, ["user_id"], "day", ["event_type"], observed=seen)
+        apply_snapshots(path, batch, ["user_id"], "day", ["event_type"], observed=seen, buckets=4)
     text = {c: F.col(c).cast("string") for c in ("valid_from", "valid_to")}
     return read_history(spark, path, ["user_id"], ["event_type"]).withColumns(text)

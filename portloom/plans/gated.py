@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from portloom.operators import quality as K
 from portloom.plans import topology as G
 from portloom.plans.ports import ORG_COLUMNS, PUMP, SCRUBBER
 from portloom.sources.layers import materialize
+from portloom.sources.tables import publish_version, stage_version
 
 Marts = dict[str, DataFrame]
 
@@ -89,17 +91,20 @@ def pipe_marts(ports: DataFrame, org: DataFrame) -> list[Mart]:
 
 
 def build_gated(marts: Sequence[Mart], root: str, must_pass: bool = True) -> DataFrame:
-    """Builds the marts in order: write to the sandbox, check what was written, then publish.
+    """Builds the marts in order: each is written once as a version that no reader sees, what was
+    written is checked, and a log line publishes it.
 
-    Returns the check results with ``published`` per table. The first failing table is left in the
-    sandbox, the published one keeps its last good version, and later marts are not built; with
-    ``must_pass`` this raises, otherwise the results up to there are returned.
+    Returns the check results with ``published`` per table. The first failing table stays unpublished,
+    its last good version stays the newest, and later marts are not built; with ``must_pass`` this
+    raises, otherwise the results up to there are returned.
     """
-    staged: Marts = {}
+    built: Marts = {}
     results = []
     for mart in marts:
-        staged[mart.name] = materialize(mart.build(staged), mart.name, "sbx", root)
-        suite = K.run_suite(mart.checks(staged))
+        df = mart.build(built)
+        staged = stage_version(df, f"{root}/gld/{mart.name}")
+        built[mart.name] = staged.read(df.sparkSession)
+        suite = K.run_suite(mart.checks(built))
         suite = materialize(suite, f"{mart.name}_checks", "sbx", root)
         try:
             K.gate(suite)
@@ -108,9 +113,6 @@ def build_gated(marts: Sequence[Mart], root: str, must_pass: bool = True) -> Dat
                 raise
             results.append(suite.withColumn("published", F.lit(False)))
             break
-        staged[mart.name] = materialize(staged[mart.name], mart.name, "gld", root)
+        publish_version(df.sparkSession, staged)
         results.append(suite.withColumn("published", F.lit(True)))
-    out = results[0]
-    for more in results[1:]:
-        out = out.unionAll(more)
-    return out
+    return reduce(DataFrame.unionAll, results)

@@ -67,26 +67,47 @@ def counted_write(df: DataFrame, folder: str, partition_by: tuple[str, ...] = ()
     return int(seen.get["n"])
 
 
-def replace_table(df: DataFrame, path: str, allow_empty: bool = False) -> Load:
-    """Full replace: stage a new version, refuse an empty one, then publish it with one log line.
+@dataclass(frozen=True)
+class Staged:
+    """A written version of the table at ``path`` that no reader sees yet."""
 
-    Running it again with the same rows gives the same table. ``df`` may read the table itself.
-    """
-    spark = df.sparkSession
+    path: str
+    folder: str
+    row_count: int
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/{self.folder}")
+
+
+def stage_version(df: DataFrame, path: str) -> Staged:
+    """Writes a new version beside the published ones. ``df`` may read the table itself."""
     folder = f"data/{uuid.uuid4().hex}"
-    rows = counted_write(df, f"{path}/{folder}")
-    if rows == 0 and not allow_empty:
-        raise EmptySnapshot(f"snapshot for {path} has no rows; the previous version stays")
-    newest = _newest(spark, path) if table_exists(spark, path) else None
+    return Staged(path, folder, counted_write(df, f"{path}/{folder}"))
+
+
+def publish_version(spark: SparkSession, staged: Staged) -> Load:
+    """Makes a staged version the newest by one log line; nothing is copied."""
+    newest = _newest(spark, staged.path) if table_exists(spark, staged.path) else None
     version = newest.version + 1 if newest else 1
     entry = spark.range(1).select(
         F.lit(version).cast("long").alias("version"),
-        F.lit(folder).alias("folder"),
-        F.lit(rows).cast("long").alias("row_count"),
+        F.lit(staged.folder).alias("folder"),
+        F.lit(staged.row_count).cast("long").alias("row_count"),
         F.current_timestamp().alias("published_at"),
     )
-    entry.coalesce(1).write.mode("append").json(f"{path}/_versions_log")
-    return Load(version, rows)
+    entry.coalesce(1).write.mode("append").json(f"{staged.path}/_versions_log")
+    return Load(version, staged.row_count)
+
+
+def replace_table(df: DataFrame, path: str, allow_empty: bool = False) -> Load:
+    """Full replace: stage a new version, refuse an empty one, then publish it with one log line.
+
+    Running it again with the same rows gives the same table. ``df`` may read the table itself.
+    """
+    staged = stage_version(df, path)
+    if staged.row_count == 0 and not allow_empty:
+        raise EmptySnapshot(f"snapshot for {path} has no rows; the previous version stays")
+    return publish_version(df.sparkSession, staged)
 
 
 def write_partition(df: DataFrame, path: str, part_date: str, part_col: str = "part_date") -> int:
