@@ -36,7 +36,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portloom.llm.frames import small_batches
@@ -49,6 +49,8 @@ EXTEND = 4
 RATIO = 5
 MIN_LENGTH = 6
 MIN_COUNT = 5
+SHORT_WORD = 256
+_HALVINGS = 32
 _LETTERS = "A-Za-zÀ-ÿ"
 _NAMES = ["word", "n", "length", "letters", "plain", "weak", "least", "grams", "keys"]
 _HELD = 200_000  # distinct strings a task holds before it sends their counts
@@ -216,6 +218,25 @@ def _index(words: DataFrame, dictionary: Dictionary) -> DataFrame:
     return words.select("word", "n").mapInArrow(run, _ENTRY)
 
 
+def _one_edit(a: str, b: str, size_a: str, size_b: str) -> Column:
+    """Whether two different words whose lengths differ by one at most are one edit apart.
+
+    Spark's bounded edit distance takes time with the square of the length; long words are compared
+    by what follows their longest common beginning, which is found by halving."""
+    first, other, m, n = F.col(a), F.col(b), F.col(size_a), F.col(size_b)
+
+    def halve(found: Column, _: Column) -> Column:
+        middle = F.floor((found["low"] + found["high"] + 1) / 2).cast("int")
+        same = F.substring(first, F.lit(1), middle) == F.substring(other, F.lit(1), middle)
+        low, high = F.when(same, middle).otherwise(found["low"]), F.when(same, found["high"]).otherwise(middle - 1)
+        return F.when(found["low"] < found["high"], F.struct(low.alias("low"), high.alias("high"))).otherwise(found)
+
+    whole = F.struct(F.lit(0).alias("low"), F.least(m, n).alias("high"))
+    common = F.aggregate(F.sequence(F.lit(1), F.lit(_HALVINGS)), whole, halve)["low"]
+    rest = [F.substring(word, common + 1 + longer.cast("int"), size) for word, longer, size in ((first, m >= n, m), (other, n >= m, n))]
+    return F.when(F.greatest(m, n) <= SHORT_WORD, F.levenshtein(first, other, 1) == 1).otherwise(rest[0] == rest[1])
+
+
 def near_pairs(words: DataFrame, grams: int = GRAMS) -> DataFrame:
     """(word, n, near, near_n), each pair of words one edit apart in both directions.
 
@@ -230,7 +251,7 @@ def near_pairs(words: DataFrame, grams: int = GRAMS) -> DataFrame:
         & ~(F.col("weak") & F.col("weak_b"))
         & (F.bit_count(F.col("letters").bitwiseXOR(F.col("letters_b"))) <= 2)
         & (shared >= F.greatest("least", "least_b"))
-        & (F.levenshtein("word", "word_b", 1) == 1)
+        & _one_edit("word", "word_b", "length", "length_b")
     )
     pairs = staged(merged.select("word", "n", F.col("word_b").alias("near"), F.col("n_b").alias("near_n")).distinct(), "near")
     turned = pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))

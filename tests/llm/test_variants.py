@@ -116,6 +116,14 @@ def test_edge_texts(spark, edge):
         variants.group_variants(edge, min_length=3)
 
 
+@pytest.mark.parametrize("short", [0, 256])
+def test_one_edit_of_short_and_long_words(spark, short, monkeypatch):
+    monkeypatch.setattr(variants, "SHORT_WORD", short)
+    counts = {w: 9 for w in words_near(random.Random(8), 500, "abé")}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert sorted(tuple(r) for r in variants.variant_groups(words).collect()) == naive_groups(counts)
+
+
 def test_very_long_words(spark):
     long = "lorem" * 100_000
     rows = [(1, f"{long} {long}"), (2, f"{long}x {long[1:]}"), (3, "short words only")]
