@@ -39,7 +39,7 @@ from portloom.llm.frames import small_batches
 from portloom.llm.linewords import blocks, line_words, mixed
 from portloom.llm.slots import SLOT_BITS, slot_of, slot_table
 from portloom.llm.staging import staged
-from portloom.llm.vocabulary import forget
+from portloom.llm.vocabulary import forget, release
 
 THRESHOLD = 0.8
 MIN_WORDS = 5
@@ -63,6 +63,7 @@ def word_levels(docs: DataFrame, text: str = "text") -> bytes:
                 for block, _, _ in blocks(part.column("text").to_pylist()):
                     slots, n = np.unique(slot_of(line_words(block)[1]), return_counts=True)
                     total[slots] += n.astype(np.int32)
+        release()
         return total
 
     def level(n: np.ndarray) -> np.ndarray:
@@ -148,6 +149,7 @@ def _line_sets(docs: DataFrame, levels: bytes, threshold: float, min_words: int,
         for batch in batches:
             for part in small_batches(batch, "text"):
                 yield from sets(part)
+        release()
 
     return docs.mapInArrow(run, schema)
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from portloom.llm.frames import small_batches
 from portloom.llm.staging import staged
-from portloom.llm.vocabulary import library_encoder, read_vocabulary
+from portloom.llm.vocabulary import REMEMBERED, library_encoder, read_vocabulary
 
 CAPACITY = 2048
 
@@ -144,8 +144,10 @@ def token_pieces(
     doc_id: str = "doc_id",
     text: str = "text",
     with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
-    """Every document's ids with the end id, cut into pieces of at most ``capacity``."""
+    """Every document's ids with the end id, cut into pieces of at most ``capacity``. A task remembers
+    the ids of ``remembered`` words a generation, about 17 MB for 100,000."""
     vocabulary = read_vocabulary(vocabulary_path)
     end = end_id.to_bytes(4, "little")
     schema = T.StructType(
@@ -160,7 +162,7 @@ def token_pieces(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(vocabulary)
+        encoder = library_encoder(vocabulary, remembered)
         for whole in batches:
             for batch in small_batches(whole, "text"):
                 found = []
@@ -179,6 +181,9 @@ def token_pieces(
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
 
-def pack_documents(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, end_id: int = 0, remembered: int = REMEMBERED
+) -> DataFrame:
     """Pieces of all documents with their place in the sequences."""
-    return pack(token_pieces(docs, vocabulary_path, capacity, end_id), ["doc_id", "piece"], capacity)
+    pieces = token_pieces(docs, vocabulary_path, capacity, end_id, remembered=remembered)
+    return pack(pieces, ["doc_id", "piece"], capacity)

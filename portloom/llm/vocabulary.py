@@ -6,6 +6,8 @@ its size is that of the vocabulary and does not depend on the data.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import json
 import os
@@ -14,6 +16,8 @@ import struct
 from functools import lru_cache
 from pathlib import Path
 
+import pyarrow as pa
+
 from portloom.llm.bytelevel import WORD, byte_letters
 from portloom.llm.chunks import WHITE, ChunkEncoder, TextParts, spaced_chunks, words
 
@@ -29,6 +33,17 @@ def forget() -> None:
     _ENCODERS.clear()
 
 
+def release() -> None:
+    """At the end of a task: frees the remembered chunks, and gives memory that this worker process no
+    longer uses back to the system, as the process lives on and later stages need room."""
+    forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the usual C library on Linux
+    if trim is not None:
+        trim(0)
+
+
 def read_vocabulary(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
@@ -72,13 +87,13 @@ def _latin_cut(spec: dict) -> tuple[re.Pattern, bool] | None:
     return re.compile(pattern), lower
 
 
-def library_encoder(vocabulary: str) -> ChunkEncoder:
-    """Ids of the tokenizers library. White space stays in the chunks if the vocabulary is
+def library_encoder(vocabulary: str, remembered: int = REMEMBERED) -> ChunkEncoder:
+    """Ids of the tokenizers library; ``remembered`` chunks a generation are kept. White space stays in the chunks if the vocabulary is
     byte-level without a normalizer; otherwise the vocabulary must drop white space.
 
     Latin chunks are cut here and only their words go to the library's model; others pass through
     the library as a whole."""
-    key = hashlib.sha256(vocabulary.encode()).hexdigest()
+    key = f"{hashlib.sha256(vocabulary.encode()).hexdigest()} {remembered}"
     if key not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
@@ -103,5 +118,5 @@ def library_encoder(vocabulary: str) -> ChunkEncoder:
             return b"".join(map(word_ids, cut.findall(chunk.lower() if lower else chunk)))
 
         parts = TextParts(words if spec["normalizer"] else spaced_chunks, special_ids(spec))
-        _ENCODERS[key] = ChunkEncoder(encode_one, parts, REMEMBERED)
+        _ENCODERS[key] = ChunkEncoder(encode_one, parts, remembered)
     return _ENCODERS[key]
