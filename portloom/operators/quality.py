@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from portloom.functions.calendar import time_literal
 from portloom.functions.text import code_of
-from portloom.session import cut_lineage
+from portloom.session import cut_lineage, stored
 
 RECONCILE_BUCKETS = 4096
 GATE_SCHEMA = "check_name string, table_name string, column_name string, n_violations long, status string"
@@ -92,8 +92,10 @@ def scrubber_owner(nodes: DataFrame, ports: DataFrame) -> DataFrame:
 
 def merge_owner(nodes: DataFrame) -> DataFrame:
     """Merges whose owner differs from the owner of their scrubber; a null owner passes."""
-    m = nodes.where(F.col("type_code") == "SCRUBBER_MERGE").select("code", "main_equipment_code", "group_code")
-    s = nodes.where(F.col("type_code") == "SCRUBBER").select(
+    kept = nodes.where(F.col("type_code").isin("SCRUBBER", "SCRUBBER_MERGE"))
+    kept = stored(kept.select("code", "type_code", "main_equipment_code", "group_code"), "owned-nodes")  # read by both sides
+    m = kept.where(F.col("type_code") == "SCRUBBER_MERGE").select("code", "main_equipment_code", "group_code")
+    s = kept.where(F.col("type_code") == "SCRUBBER").select(
         F.col("code").alias("group_code"), F.col("main_equipment_code").alias("_owner")
     )
     differing = m.join(s, "group_code").where(F.col("main_equipment_code") != F.col("_owner"))

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from portloom.functions.text import code_of
 from portloom.operators.closure import reachability
 from portloom.operators.pick import pick_first
+from portloom.operators.shape import encode
 from portloom.operators.skew import ROWS_PER_SLICE, skew_join
 from portloom.plans.ports import BYP, NOR, ORG_COLUMNS, PUMP, PUMP_POSN, SCRUBBER
-from portloom.session import cut_lineage
+from portloom.session import stored
 
 # fixed values: type -> (precedence, layer)
 NODE_TYPES = {
@@ -82,6 +83,16 @@ def org_enrich(ports: DataFrame, org: DataFrame) -> DataFrame:
     return ports.join(org.select("eqp_id", *ORG_COLUMNS), "eqp_id")
 
 
+def org_numbers(org: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(eqp_id, _org) and (_org, organisation columns): equipments with a number for their organisation
+    rows, and the rows of each number; equipments of equal organisation share one."""
+    rows = org.select("eqp_id", F.struct(*ORG_COLUMNS).alias("_row")).where(F.col("eqp_id").isNotNull())
+    held = stored(rows.groupBy("eqp_id").agg(F.sort_array(F.collect_list("_row")).alias("_rows")), "org-rows")
+    numbers = held.select("_rows").distinct().withColumn("_org", F.monotonically_increasing_id())
+    numbers = stored(numbers, "org-numbers")
+    return held.join(numbers, "_rows").select("eqp_id", "_org"), numbers.select("_org", F.inline("_rows"))
+
+
 def chambers_with_scrubber(ports: DataFrame) -> DataFrame:
     return ports.where(is_scrubber()).select(*CHAMBER).distinct()
 
@@ -91,10 +102,15 @@ def chamber_cells(ports: DataFrame, org: DataFrame) -> DataFrame:
 
     Rows shrink to paths first; only those are matched with the scrubber chambers.
     """
-    paths = mapped(ports, org).groupBy(*PATH).agg(F.max(is_scrubber()).alias("_s"))
+    return _cells(mapped(ports, org))
+
+
+def _cells(known: DataFrame, *also: str) -> DataFrame:
+    """``also`` are columns that belong to the equipment."""
+    paths = known.groupBy(*PATH, *also).agg(F.max(is_scrubber()).alias("_s"))
     held = paths.groupBy(*CHAMBER).agg(F.max("_s").alias("_held"))
     coded = paths.join(held, CHAMBER).select(
-        F.when(F.col("_held"), path_code()).otherwise(chamber_code()).alias("code"), "eqp_id"
+        F.when(F.col("_held"), path_code()).otherwise(chamber_code()).alias("code"), "eqp_id", *also
     )
     return coded.distinct()
 
@@ -107,11 +123,16 @@ def chambers(ports: DataFrame, org: DataFrame) -> DataFrame:
 
 def scrubber_owners(ports: DataFrame, org: DataFrame) -> DataFrame:
     """One row per scrubber code: the equipment using it in NOR position first, then by id."""
-    rows = mapped(ports, org).where(is_scrubber() & F.col("seqp_ch").isNotNull())
+    return _owners(mapped(ports, org))
+
+
+def _owners(known: DataFrame, *also: str) -> DataFrame:
+    rows = known.where(is_scrubber() & F.col("seqp_ch").isNotNull())
     rows = rows.select(
         scrubber_code().alias("code"),
         "eqp_id",
         "seqp_maker",
+        *also,
         F.when(F.col("eqp_posn") == NOR, 0).otherwise(1).alias("_rank"),
     )
     order = [F.col("_rank"), F.col("eqp_id").asc_nulls_last(), F.col("seqp_maker").asc_nulls_last()]
@@ -134,35 +155,39 @@ def valves(ports: DataFrame, org: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _node(kind: str, code: Column, group: Column, vendor: Column | None = None, owner: Column | None = None) -> Column:
-    """A node candidate. ``eqp_id`` is the equipment whose organisation the node gets."""
-    priority, layer = NODE_TYPES[kind]
-    eqp = F.col("eqp_id") if owner is None else owner
+def _node(kind: str, code: Column, group: Column | None = None, vendor: Column | None = None) -> Column:
+    """A node candidate of the equipment ``eqp_id``; without ``group`` the code, or of the equipment's
+    own nodes the equipment, is the group."""
+    none = F.lit(None).cast("string")
     return F.struct(
         code.alias("code"),
-        F.lit(priority).alias("type_priority"),
-        F.lit(kind).alias("type_code"),
-        (F.lit(None).cast("string") if kind == "MAIN" else eqp).alias("main_equipment_code"),
-        eqp.alias("eqp_id"),
-        group.alias("group_code"),
-        F.lit(layer).alias("layer_order"),
-        (F.lit(None).cast("string") if vendor is None else vendor).alias("vendor_code"),
+        F.lit(NODE_TYPES[kind][0]).alias("type_priority"),
+        F.col("eqp_id").alias("eqp_id"),
+        F.col("_org").alias("_org"),
+        (none if group is None else group).alias("group_code"),
+        (none if vendor is None else vendor).alias("vendor_code"),
     )
 
 
-def node_candidates(ports: DataFrame, org: DataFrame) -> DataFrame:
-    """Nodes of all types before precedence, without organisation columns.
+def node_candidates(ports: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Nodes of all types before precedence, only with what their type does not say. ``numbers`` has the
+    equipments that have an organisation, with its number in ``_org``.
 
     A chamber unfolds to MAIN and CHAMBER, a port row to its pump or valve, an owned scrubber to
     SCRUBBER, MERGE and DUCT. A duct then exists only where a scrubber is owned, and the vendor
     order of the later dedup picks its first maker. Copies are left to that dedup, which keeps one
-    row per code and task before its shuffle.
+    row per code and task before its shuffle. The ports that have an organisation are matched and
+    written once; all three parts read them from there.
     """
     maker, group = F.col("seqp_maker"), F.col("_scrubber")
+    used = ["eqp_id", "eqp_chamber_id", "eqp_chamber_posn", "eqp_posn", "seqp_type", "seqp_maker", "seqp_id", "seqp_ch"]
+    known = ports.select(*used).join(numbers, "eqp_id")
+    known = stored(known.sortWithinPartitions("eqp_id"), "mapped-ports")  # like codes together compress well
     usable = is_scrubber() & F.col("seqp_ch").isNotNull()
     role = F.when(usable & F.col("eqp_posn").isin(NOR, BYP), F.col("eqp_posn"))
-    units = mapped(ports, org).select(
+    units = known.select(
         "eqp_id",
+        "_org",
         "seqp_maker",
         F.when(is_pump(), F.col("seqp_id")).alias("_pump"),
         F.when(role.isNotNull(), scrubber_code()).alias("_scrubber"),
@@ -170,23 +195,21 @@ def node_candidates(ports: DataFrame, org: DataFrame) -> DataFrame:
         F.when(role.isNotNull(), valve_code(scrubber_code(), role)).alias("_valve"),
     )
     unit_nodes = F.array(
-        F.when(F.col("_pump").isNotNull(), _node("PUMP", F.col("_pump"), F.col("_pump"), maker)),
+        F.when(F.col("_pump").isNotNull(), _node("PUMP", F.col("_pump"), vendor=maker)),
         F.when(F.col("_role") == NOR, _node("SCRUBBER_NOR_VALVE", F.col("_valve"), group, maker)),
         F.when(F.col("_role") == BYP, _node("SCRUBBER_BYP_VALVE", F.col("_valve"), group, maker)),
     )
     from_units = units.select(F.inline(F.array_compact(unit_nodes)))
 
-    eqp = F.col("eqp_id")
-    held = F.array(_node("MAIN", eqp, eqp), _node("CHAMBER", F.col("code"), eqp))
-    from_chambers = chamber_cells(ports, org).select(F.inline(held))
+    held = F.array(_node("MAIN", F.col("eqp_id")), _node("CHAMBER", F.col("code")))
+    from_chambers = _cells(known, "_org").select(F.inline(held))
 
-    duct = code_of(F.col("eqp_id"), "_DUCT")
     owned = F.array(
-        _node("SCRUBBER", F.col("code"), F.col("code"), maker),
+        _node("SCRUBBER", F.col("code"), vendor=maker),
         _node("SCRUBBER_MERGE", code_of(F.col("code"), "_MERGE"), F.col("code"), maker),
-        _node("LATERAL_DUCT", duct, duct, maker),
+        _node("LATERAL_DUCT", code_of(F.col("eqp_id"), "_DUCT"), vendor=maker),
     )
-    from_scrubbers = scrubber_owners(ports, org).select(F.inline(owned))
+    from_scrubbers = _owners(known, "_org").select(F.inline(owned))
     return from_chambers.unionAll(from_units).unionAll(from_scrubbers)
 
 
@@ -194,12 +217,23 @@ def nodes(ports: DataFrame, org: DataFrame) -> DataFrame:
     """Equipment nodes of eight types; of nodes sharing a code the first type stays."""
     order = [
         F.col("type_priority"),
-        F.col("main_equipment_code").asc_nulls_last(),
-        F.col("vendor_code").asc_nulls_last(),
         F.col("eqp_id"),
+        F.col("vendor_code").asc_nulls_last(),
         F.col("group_code"),
     ]
-    return org_enrich(pick_first(node_candidates(ports, org), ["code"], order), org).select(*NODE_COLUMNS)
+    numbers, rows = org_numbers(org)
+    found = pick_first(node_candidates(ports, numbers), ["code"], order).join(rows, "_org")
+    kinds = {priority: kind for kind, (priority, _) in NODE_TYPES.items()}
+    kind, main = F.col("type_priority"), NODE_TYPES["MAIN"][0]
+    own = F.when(kind.isin(main, NODE_TYPES["CHAMBER"][0]), F.col("eqp_id")).otherwise(F.col("code"))
+    grouped = kind.isin(*(NODE_TYPES[k][0] for k in ("SCRUBBER_NOR_VALVE", "SCRUBBER_BYP_VALVE", "SCRUBBER_MERGE")))
+    said = {
+        "type_code": encode("type_priority", kinds),
+        "main_equipment_code": F.when(kind != main, F.col("eqp_id")),
+        "group_code": F.when(grouped, F.col("group_code")).otherwise(own),
+        "layer_order": encode("type_priority", dict(NODE_TYPES.values())),
+    }
+    return found.withColumns(said).select(*NODE_COLUMNS)
 
 
 def tmll_pumps(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
@@ -221,11 +255,11 @@ def path_units(ports: DataFrame, org: DataFrame) -> DataFrame:
         F.when(is_pump(), F.col("seqp_id")).otherwise(scrubber_code()).alias("unit"),
         F.when(role == NOR, F.col("seqp_maker")).alias("maker"),
     )
-    rows = rows.where(F.col("role").isNotNull()).distinct()
-    units = rows.groupBy(*PATH, "role", "unit").agg(F.sort_array(F.collect_list(F.struct("maker"))).alias("makers"))
-    units = cut_lineage(units)
+    rows = rows.where(F.col("role").isNotNull())
+    units = rows.groupBy(*PATH, "role", "unit").agg(F.sort_array(F.collect_set(F.struct("maker"))).alias("makers"))
+    units = stored(units, "units")
     complete = units.groupBy(*PATH).agg(F.max(F.col("role") == "PUMP").alias("_p"), F.max(F.col("role") == NOR).alias("_n"))
-    return units.join(complete.where("_p AND _n").select(*PATH), PATH, "left_semi")
+    return stored(units.join(complete.where("_p AND _n").select(*PATH), PATH, "left_semi"), "path-units")
 
 
 def _path_pairs(units: DataFrame, rows_per_slice: int) -> DataFrame:

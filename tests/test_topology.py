@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from conftest import rows
 from fixture_ports import ORG_SCHEMA, PORT_SCHEMA, golden, org, pump, scrub
+from pyspark.sql import functions as F
 
 from portloom.operators import quality as K
 from portloom.plans import ports as P
@@ -223,3 +224,28 @@ def test_gate_publishes_good_marts_and_blocks_bad_ones(built, spark, folder):
     with pytest.raises(K.GateFailed, match="unique slv_org.eqp_id"):
         build_gated(pipe_marts(bad_ports, bad_org.unionAll(bad_org)), folder("twice"))
     assert not table_exists(spark, f"{other}/gld/dim_equipment")
+
+
+def tables_of(df):
+    """The names of the stored tables that a frame reads, without their random parts."""
+    return {f.split("/")[-2].rsplit("-", 1)[0] for f in df.inputFiles()}
+
+
+def test_nodes_match_the_ports_once(spark, folder):
+    spark.createDataFrame(golden(), PORT_SCHEMA).write.parquet(folder("ports"))
+    ports = P.valid_ports(spark.read.parquet(folder("ports")))
+    orgs = spark.createDataFrame(org("AX10", "BX20", "CX30"), ORG_SCHEMA)
+    assert tables_of(G.nodes(ports, orgs)) == {"mapped-ports", "org-numbers"}
+
+
+def test_nodes_come_once_for_each_organisation_row(spark, built):
+    ports, orgs, nodes, _ = built
+    other = orgs.where("eqp_id = 'AX10'").withColumn("team_code", F.lit(None).cast("string"))
+    twice = G.nodes(ports, orgs.unionAll(other))
+    moved = nodes.join(other.select("eqp_id"), F.coalesce("main_equipment_code", "code") == F.col("eqp_id"), "left_semi")
+    expected = nodes.unionAll(moved.withColumn("team_code", F.lit(None).cast("string")))
+    assert Counter(map(tuple, twice.collect())) == Counter(map(tuple, expected.collect()))
+
+
+def test_merge_owner_reads_written_nodes(built):
+    assert tables_of(K.merge_owner(built[2])) == {"owned-nodes"}
