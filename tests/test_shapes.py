@@ -11,6 +11,7 @@ from portloom.operators import quality as K
 from portloom.operators import shape as S
 from portloom.operators.closure import hierarchy, reachability
 from portloom.plans.lineage import downstream_freshness, stale_partitions, upstream_status
+from portloom.session import CLEANUP_CONF, stored
 
 
 def test_code_is_null_when_a_part_is(spark):
@@ -256,3 +257,18 @@ def test_unique_is_exact_when_digests_meet(spark):
         found = K.unique(df, ["a", "b"], **({"digest": digest} if digest else {}))
         assert found.columns == ["a", "b", "n_rows"] and rows(found) == want == [("k1", 0, 3)]
     assert rows(K.unique(df, ["b"])) == rows(df.dropna(subset=["b"]).groupBy("b").count().where("count > 1"))
+
+
+def test_reachability_keeps_its_rounds_as_tables(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string")
+    found = reachability(edges, spark.createDataFrame([("a",)], "node string"))
+    assert {f.split("/")[-2].rsplit("-", 1)[0] for f in found.inputFiles()} == {"reached", "names"}
+    assert rows(found) == [("a", "a", 0), ("a", "b", 1), ("a", "c", 2)]
+
+
+def test_stored_leaves_the_session_as_it_was(spark):
+    before = spark.conf.get(CLEANUP_CONF, None)
+    df = spark.range(5).selectExpr("id % 2 AS k", "id").groupBy("k").count()
+    assert sorted(map(tuple, stored(df, "small").collect())) == [(0, 3), (1, 2)]
+    assert sorted(map(tuple, df.collect())) == [(0, 3), (1, 2)]
+    assert spark.conf.get(CLEANUP_CONF, None) == before
