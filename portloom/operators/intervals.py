@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from portloom.operators.ordered import numbered
 from portloom.operators.skew import join_null_safe
-from portloom.session import cut_lineage
+from portloom.session import stored
 
 # a bound of a key's time line: before all times, at a time, after all times
 _EARLIEST, _TIMED, _LATEST = 0, 1, 2
@@ -51,12 +51,12 @@ def intersect_histories(
         real = df.where(start.isNull() | end.isNull() | (start < end))
         return real.select(*keys, F.struct(*cols).alias("_row"), start.alias("_start"), end.alias("_end"))
 
-    sides = [cut_lineage(timed(df, cols)) for df, cols in ((left, left_cols), (right, right_cols))]
+    sides = [stored(timed(df, cols), "intervals") for df, cols in ((left, left_cols), (right, right_cols))]
     ends = [s.select(*keys, *_bound(F.col(c), m)) for s in sides for c, m in (("_start", _EARLIEST), ("_end", _LATEST))]
     bounds = numbered(
         reduce(DataFrame.unionAll, ends).distinct(), [F.col(c) for c in (*keys, "_kind", "_at")], "_number"
     )
-    bounds = cut_lineage(bounds)
+    bounds = stored(bounds, "bounds")
 
     def placed(side: DataFrame) -> DataFrame:
         for c, missing, number in (("_start", _EARLIEST, "_first"), ("_end", _LATEST, "_beyond")):
@@ -64,7 +64,7 @@ def intersect_histories(
             side = side.withColumns({"_kind": kind, "_at": at})
             side = join_null_safe(side, bounds.withColumnRenamed("_number", number), [*keys, "_kind", "_at"], "inner")
             side = side.drop("_kind", "_at")
-        return cut_lineage(side)
+        return stored(side, "placed")
 
     mine, theirs = (placed(s) for s in sides)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portloom.session import cut_lineage
+from portloom.session import stored
 
 _IN_PARTITION = 33  # monotonically_increasing_id: partition number above these bits, place in it below
 
@@ -22,7 +22,7 @@ def numbered(df: DataFrame, order: Sequence[Column], into: str) -> DataFrame:
     spark = df.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    placed = cut_lineage(placed.withColumn("_place", F.monotonically_increasing_id()))
+    placed = stored(placed.withColumn("_place", F.monotonically_increasing_id()), "in-order")
     own = F.shiftright("_place", _IN_PARTITION).cast("int")
     before, so_far = [], 0
     for r in placed.groupBy(own.alias("own")).count().orderBy("own").collect():  # one row per range

@@ -134,3 +134,10 @@ def test_a_run_that_failed_between_its_writes_is_repeated(spark, folder, monkeyp
     apply_snapshots(path, second, ["k"], "day", ["a"])
     want = scd2(first.unionAll(second), ["k"], ["day"], ["a"])
     assert rows(read_history(spark, path, ["k"], ["a"])) == rows(want)
+
+
+def test_intersection_reads_written_tables(spark):
+    sides = [spark.createDataFrame([("k", n, 1, 5)], f"k string, {n} string, valid_from int, valid_to int") for n in "ab"]
+    found = intersect_histories(*sides, ["k"], ["a"], ["b"])
+    assert {f.split("/")[-2].rsplit("-", 1)[0] for f in found.inputFiles()} == {"placed"}
+    assert [tuple(r) for r in found.collect()] == [("k", "a", "b", 1, 5, False)]
