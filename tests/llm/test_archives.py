@@ -197,6 +197,7 @@ def test_queries_give_their_columns(spark):
     found = {name: QUERIES[name](spark, DATA) for name in QUERIES if name != "op10_topk"}
     counts = {name: df.count() for name, df in found.items()}
     assert counts.pop("op5_packing") >= n["documents"] and counts.pop("op9_warc") == n["pages"]
+    assert counts.pop("op11_spelling_variants") > 0  # a row per word
     assert set(counts.values()) == {n["documents"]}
     assert dict(found["op6_simhash"].dtypes) == {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"}
     assert dict(found["op8_quality_classifier"].dtypes) == {
