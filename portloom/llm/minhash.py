@@ -9,14 +9,13 @@ trees part a pair of 0.8 or more with probability below 1e-7. Candidates come fr
   behind it) that is not of its component yet, which is the one of the longest common prefix. The
   ``NEAREST`` of them over all trees by sketch are compared. That takes a few rows a node, however
   large a group of near copies is, and ties such groups into components.
-- Regions. What is compared after that are all pairs of different components in a region. The depth
-  adapts to each region: one of more than ``CROWDED`` nodes is split by the next hash, and so on to
-  ``DEPTH``, so a node meets at most ``CROWDED`` others in a tree, at any size of the corpus. Beyond the
-  last depth there is only the neighbours' order.
+- Regions. What is compared after that are all pairs of different components in a region, whatever its
+  size: those of at most ``CROWDED`` nodes by a join, larger ones in blocks of ``PER_BLOCK`` nodes of like size,
+  block against block. A component that fills blocks is not compared with itself, so a large group of near
+  copies costs a row for each of the nodes it lies among. Only a large group of texts that are similar below
+  the threshold is paired in full; its tasks hold two blocks at a time.
 
-A link can be missed only where more than ``CROWDED`` nodes share a region, that is, among large groups
-of texts that are similar below the threshold; on the supplied tables with large groups of near copies
-the components of one node in 45,315 differed from those of all pairs of all regions.
+No pair of a region is left out, so a link is missed only by the bounds above and by the sketches.
 
 Candidates must agree in size and in a sketch of four bits of each min-hash; a pair of 0.8 differs in
 more than ``SKETCH_MISSES`` of the ``HASHES`` with probability below 1e-5. They are then confirmed on the
@@ -31,7 +30,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ TREES, DEPTH, FIRST = 16, 8, 2
 HASHES = TREES * DEPTH
 _HASH_BYTES = 2
 CROWDED = 128
+PER_BLOCK = 4096
+_CELLS = 1 << 20
 NEAREST = 3
 ROUNDS = 2
 PLANES = 4
@@ -141,15 +144,16 @@ def _members(nodes: DataFrame) -> DataFrame:
     """One row per tree and node, with the tree's label; only nodes that share a region with others."""
     trees = F.array(*(F.lit(t).cast("tinyint") for t in range(TREES)))
     width = DEPTH * _HASH_BYTES
-    rows = (
-        nodes.withColumn("tree", F.explode(trees))
-        .withColumn("label", F.substring(F.col("labels"), F.col("tree").cast("int") * width + 1, F.lit(width)))
-        .drop("labels")
-        .withColumn("key", _prefix(FIRST))
-    )
-    regions = rows.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("members"))
-    found = rows.join(regions.where("members > 1").drop("members"), ["tree", "key"])
-    return staged(found.drop("key"), "members")
+
+    def label(hashes: int) -> Column:
+        return F.substring(F.col("labels"), F.col("tree").cast("int") * width + 1, F.lit(hashes * _HASH_BYTES))
+
+    rows = nodes.select("node", "labels", F.explode(trees).alias("tree")).select("node", "tree", label(FIRST).alias("key"))
+    regions = rows.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = rows.join(regions.drop("members"), ["tree", "key"])  # sketches join only nodes that are in one
+    shared = shared.groupBy("node").agg(F.collect_list("tree").alias("trees"))
+    found = nodes.join(shared, "node").withColumn("tree", F.explode("trees")).withColumn("label", label(DEPTH))
+    return staged(found.drop("labels", "trees"), "members")
 
 
 def _misses(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -201,26 +205,91 @@ def _neighbours(members: DataFrame, percent: int, behind: bool) -> DataFrame:
     return found.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
-def _region_pairs(members: DataFrame, percent: int, crowded: int) -> DataFrame:
-    """(a, b) of different components that share a region of at most ``crowded`` nodes."""
-    left, out = members, None
-    for depth in range(FIRST, DEPTH + 1):
-        rows = left.withColumn("key", _prefix(depth))
-        regions = rows.groupBy("tree", "key").agg(
-            F.count(F.lit(1)).alias("members"), (F.min("root") < F.max("root")).alias("mixed")
-        )
-        found = staged(rows.join(regions.where("mixed").drop("mixed"), ["tree", "key"]), f"regions-{depth}")
-        fitting = found.where(F.col("members") <= crowded).drop("members", "label")
-        other = fitting.select("tree", "key", *(F.col(c).alias(f"{c}_b") for c in ("node", "root", "n", *SKETCH)))
-        pairs = fitting.join(other, ["tree", "key"]).where(
-            (F.col("node") > F.col("node_b")) & (F.col("root") != F.col("root_b")) & _alike(percent)
+def _compared(rows: dict[str, np.ndarray], others: dict[str, np.ndarray], percent: int) -> np.ndarray:
+    """Index pairs (row, other) of different components whose sizes and sketches allow the similarity."""
+    both = {c: np.concatenate([rows[c], others[c]]) for c in rows}
+    first, found = len(rows["n"]), [np.empty((0, 2), dtype=np.int64)]
+    step = max(1, _CELLS // max(1, len(others["n"])))
+    for at in range(0, first, step):
+        here = slice(at, min(first, at + step))
+        small = np.minimum(rows["n"][here, None], others["n"][None, :])
+        large = np.maximum(rows["n"][here, None], others["n"][None, :])
+        fits = (100 * small >= percent * large) & (rows["root"][here, None] != others["root"][None, :])
+        x, y = np.nonzero(fits)
+        close = _misses(both, x + at, y + first) <= SKETCH_MISSES
+        found.append(np.stack([x[close] + at, y[close]], axis=1))
+    return np.concatenate(found)
+
+
+def _crowded_pairs(rows: DataFrame, percent: int, per_block: int) -> DataFrame:
+    """(a, b) of different components in regions of any size, block against block.
+
+    A region is dealt into blocks of about ``per_block`` nodes: by size, in classes so wide that a pair meets
+    in one or in two next to each other, then by component. A component that fills blocks has blocks of its own,
+    which are not compared with each other; so a large group of near copies costs as much as what it lies among.
+    """
+    wide = float(np.log(100 / percent)) + 1e-3
+    rows = rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(wide)).cast("int"))
+    region, group = ["tree", "key"], ["tree", "key", "class"]
+    roots = rows.groupBy(*group, "root").agg(F.count(F.lit(1)).alias("held"))
+    large = roots.where(F.col("held") > per_block)
+    rest = roots.where(F.col("held") <= per_block).groupBy(*group).agg(F.sum("held").alias("held"))
+    none = F.lit(None).cast("long")
+    blocks = large.unionByName(rest.withColumn("root", none)).withColumn("blocks", F.ceil(F.col("held") / per_block).cast("int"))
+    blocks = staged(blocks.withColumnRenamed("root", "own").drop("held"), "blocks")
+    of_large = blocks.where("own IS NOT NULL").select(*group, F.col("own").alias("root"), F.col("blocks").alias("of_own"))
+    of_rest = blocks.where("own IS NULL").select(*group, F.col("blocks").alias("of_rest"))
+    dealt = rows.join(of_large, [*group, "root"], "left").join(of_rest, group, "left")
+    mine = F.col("of_own").isNotNull()
+    dealt = dealt.withColumn("own", F.when(mine, F.col("root"))).withColumn(
+        "block",
+        F.when(mine, F.pmod(F.xxhash64("node"), F.col("of_own"))).otherwise(F.pmod(F.xxhash64("root"), F.col("of_rest"))).cast("int"),
+    )
+    place = ["class", "own", "block"]
+    each = blocks.select(*group, "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    met = each.join(each.select(*region, *(F.col(c).alias(f"{c}_b") for c in place)), region)
+    rank = [F.struct("own", "block"), F.struct(F.col("own_b").alias("own"), F.col("block_b").alias("block"))]
+    following = (F.col("class_b") == F.col("class") + 1) | ((F.col("class_b") == F.col("class")) & (rank[0] <= rank[1]))
+    met = met.where(following & ~F.coalesce(F.col("own") == F.col("own_b"), F.lit(False)))
+    met = staged(met.withColumn("meeting", F.monotonically_increasing_id()), "meetings")
+
+    def side(suffix: str) -> DataFrame:
+        keys = [*region, *place]
+        at = met.select("meeting", *(F.col(c if c in region else f"{c}{suffix}").alias(f"{c}_m") for c in keys))
+        same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"{c}_m")) for c in keys))
+        held = ("meeting", "node", "root", "n", *SKETCH)
+        return dealt.join(at, same).select(*(F.col(c).alias(f"{c}{suffix}") for c in held))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, others = (
+            {c: t.column(f"{c}{suffix}").to_numpy() for c in ("node", "root", "n", *SKETCH)}
+            for t, suffix in ((left, ""), (right, "_b"))
         )
-        pairs = pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
-        out = pairs if out is None else out.unionAll(pairs)
-        left = found.where(F.col("members") > crowded).drop("members", "key")
-        if left.isEmpty():
-            break
-    return out.distinct()
+        at = _compared(rows, others, percent)
+        x, y = rows["node"][at[:, 0]], others["node"][at[:, 1]]
+        return pa.table({"a": pa.array(np.maximum(x, y), pa.int64()), "b": pa.array(np.minimum(x, y), pa.int64())})
+
+    return side("").groupBy("meeting").cogroup(side("_b").groupBy("meeting_b")).applyInArrow(run, "a long, b long")
+
+
+def _region_pairs(members: DataFrame, percent: int, crowded: int) -> DataFrame:
+    """(a, b) of different components that share a region and whose sizes and sketches allow the
+    similarity: those of at most ``crowded`` nodes by a join, the others block against block."""
+    rows = members.withColumn("key", _prefix(FIRST)).drop("label")
+    regions = rows.groupBy("tree", "key").agg(
+        F.count(F.lit(1)).alias("members"), (F.min("root") < F.max("root")).alias("mixed")
+    )
+    found = staged(rows.join(regions.where("mixed").drop("mixed"), ["tree", "key"]), "regions")
+    fitting = found.where(F.col("members") <= crowded).drop("members")
+    other = fitting.select("tree", "key", *(F.col(c).alias(f"{c}_b") for c in ("node", "root", "n", *SKETCH)))
+    pairs = fitting.join(other, ["tree", "key"]).where(
+        (F.col("node") > F.col("node_b")) & (F.col("root") != F.col("root_b")) & _alike(percent)
+    )
+    pairs = pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+    left = found.where(F.col("members") > crowded).drop("members")
+    if not left.isEmpty():
+        pairs = pairs.unionAll(_crowded_pairs(left, percent, PER_BLOCK))
+    return pairs.distinct()
 
 
 def _confirmed(pairs: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:

@@ -89,6 +89,25 @@ def test_groups_at_every_depth(spark, crowded, size, monkeypatch):
         assert sum(f == w for f, w in zip(found, want, strict=True)) >= 0.95 * len(want)
 
 
+@pytest.mark.parametrize("per_block", [3, 4096])
+def test_crowded_regions_lose_no_link(spark, per_block, monkeypatch):
+    """Groups of near copies whose links lie around 0.8, in regions far larger than the bound."""
+    monkeypatch.setattr(minhash, "PER_BLOCK", per_block, raising=False)
+    draw = random.Random(11)
+    rows = []
+    for group in range(4):
+        base = [f"g{group}w{i}" for i in range(60 + group)]
+        for _ in range(40):
+            own = list(base)
+            for at in draw.sample(range(len(own)), draw.choice([1, 2, 3, 4])):
+                own[at] = f"x{draw.randint(0, 10**6)}"
+            rows.append((len(rows) + 1, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(minhash, "ROUNDS", 0)  # no neighbours: all links come from the regions
+    found = minhash.near_duplicates(docs, 2, crowded=2)
+    assert in_order(tuple(r) for r in found.collect()) == naive_rows(rows, 2)
+
+
 def test_a_chain_is_one_component(spark):
     words = [f"w{i}" for i in range(400)]
     rows = [(i + 1, " ".join(words[10 * i : 10 * i + 100])) for i in range(30)]  # neighbours share 89 of 109 pairs
