@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from portloom.session import workspace
 
 ROWS_PER_SLICE = 1_000_000
+ROWS_PER_TASK = 500_000
 NULL_KEY_SLICES = 1024
 SAMPLES_PER_SLICE = 64
 _SEARCH_STEPS = 32  # halvings that find a place among up to 2**32 cuts
@@ -43,6 +44,20 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return out.drop(*named.values())
 
 
+def dealt(df: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The frame dealt by ``on`` into as many tasks as its rows need, for steps that hold a task's rows in memory.
+
+    It is left as it is where the session's shuffle partitions are enough, and where one key alone has more rows
+    than a task should get: Spark's adaptive joins split such a key, but not a frame dealt by number.
+    """
+    per_key = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    rows, most = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    tasks = -(-rows // rows_per_task)
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) or most > rows_per_task:
+        return df
+    return df.repartition(tasks, *on)
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,

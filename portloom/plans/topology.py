@@ -16,7 +16,7 @@ from portloom.functions.text import code_of
 from portloom.operators.closure import reachability
 from portloom.operators.pick import pick_first
 from portloom.operators.shape import encode
-from portloom.operators.skew import ROWS_PER_SLICE, skew_join
+from portloom.operators.skew import ROWS_PER_SLICE, ROWS_PER_TASK, dealt, skew_join
 from portloom.plans.ports import BYP, NOR, ORG_COLUMNS, PUMP, PUMP_POSN, SCRUBBER
 from portloom.session import stored
 
@@ -144,9 +144,11 @@ def duct_vendors(ports: DataFrame, org: DataFrame) -> DataFrame:
     return scrubber_owners(ports, org).groupBy("eqp_id").agg(F.min("seqp_maker").alias("vendor_code"))
 
 
-def valves(ports: DataFrame, org: DataFrame) -> DataFrame:
-    rows = mapped(ports, org).where(is_scrubber() & F.col("eqp_posn").isin(NOR, BYP) & F.col("seqp_ch").isNotNull())
-    return rows.select(
+def valves(ports: DataFrame, org: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Copies of a valve are copies in one equipment, so one shuffle serves the match and the distinct rows."""
+    rows = ports.where(is_scrubber() & F.col("eqp_posn").isin(NOR, BYP) & F.col("seqp_ch").isNotNull())
+    rows = dealt(rows.select(*PATH, "eqp_posn", "seqp_maker", "seqp_id", "seqp_ch"), ["eqp_id"], rows_per_task)
+    return mapped(rows, org).select(
         valve_code(scrubber_code(), F.col("eqp_posn")).alias("code"),
         scrubber_code().alias("group_code"),
         "eqp_id",

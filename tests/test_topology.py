@@ -6,6 +6,7 @@ from fixture_ports import ORG_SCHEMA, PORT_SCHEMA, golden, org, pump, scrub
 from pyspark.sql import functions as F
 
 from portloom.operators import quality as K
+from portloom.operators.skew import dealt
 from portloom.plans import ports as P
 from portloom.plans import topology as G
 from portloom.plans.gated import build_gated, pipe_marts
@@ -249,3 +250,19 @@ def test_nodes_come_once_for_each_organisation_row(spark, built):
 
 def test_merge_owner_reads_written_nodes(built):
     assert tables_of(K.merge_owner(built[2])) == {"owned-nodes"}
+
+
+def test_valves_are_dealt_by_their_rows(spark):
+    """More rows than a task should get make more tasks, and the copies still meet; a hot key stays with Spark."""
+    held = [
+        (f"E{i % 50}", "1", "PRO", "NOR" if i % 3 else "BYP", "SCRUBBER", "M1", None, f"S{i % 70}", "0", str(i))
+        for i in range(400)
+    ]
+    ports = spark.createDataFrame(held + held, PORT_SCHEMA)
+    orgs = spark.createDataFrame(org(*(f"E{i}" for i in range(40))), ORG_SCHEMA)
+    want = sorted({(f"{r[7]}0_{r[3]}_1_PRO", f"{r[7]}0", r[0], r[3], "M1") for r in held if int(r[0][1:]) < 40})
+    for per_task in (20, 10, 500_000):  # dealt, a key larger than a task, few rows
+        assert sorted(tuple(r) for r in G.valves(ports, orgs, per_task).collect()) == want
+    many = dealt(ports, ["eqp_id"], 20)
+    assert many.rdd.getNumPartitions() == 40
+    assert dealt(ports, ["eqp_id"], 10) is ports and dealt(ports, ["eqp_id"]) is ports
