@@ -48,14 +48,15 @@ def unique(
     """Keys held by more than one row. A key with a null part is not compared.
 
     Composite and textual keys are first counted by a digest of eight bytes, so what is shuffled per
-    row does not depend on the width of the key; whole keys are compared only where digests meet.
+    row does not depend on the width of the key; whole keys are compared only where digests meet. These
+    digests are written first, so Spark sees how few they are and need not shuffle the keys to match them.
     """
     cols = list(cols)
     keyed = df.dropna(subset=cols)
     if len(cols) > 1 or not isinstance(df.schema[cols[0]].dataType, T.NumericType):
         marked = keyed.select(*cols, digest(cols).alias("_digest"))
         met = marked.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_digest")
-        keyed = marked.join(met, "_digest", "left_semi")
+        keyed = marked.join(stored(met, "met-digests"), "_digest", "left_semi")
     return keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_as)).where(F.col(count_as) > 1)
 
 
@@ -68,15 +69,18 @@ def accepted_values(df: DataFrame, col: str, values: Sequence[str], count_as: st
 def relationships(child: DataFrame, cols: str | Sequence[str], parent: DataFrame, parent_col: str) -> DataFrame:
     """(column_name, value, n_rows): child values without a parent and how many rows hold them.
 
-    Null passes. All columns are unfolded in one pass over the child and counted per value, so a
-    value held by most rows leaves each task once and the parent is matched once for all columns.
+    Null passes. All columns are unfolded in one pass over the child and counted per value, beside each
+    other, so a value held by most rows or by several columns leaves each task once, and the counts are
+    matched with the parent where they are, once for all columns.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    held = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols))
+    held = F.array(*(F.struct(F.lit(i).alias("_c"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)))
     values = child.select(F.inline(held)).where(F.col("value").isNotNull())
-    counts = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = values.groupBy("value").agg(*(_count_if(F.col("_c") == i).alias(f"_n{i}") for i in range(len(cols))))
     known = parent.select(F.col(parent_col).cast("string").alias("value"))
-    return counts.join(known, "value", "left_anti").select("column_name", "value", "n_rows")
+    entries = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("n_rows")) for i, c in enumerate(cols)))
+    lost = counts.join(known, "value", "left_anti").select("value", F.inline(entries))
+    return lost.where("n_rows > 0").select("column_name", "value", "n_rows")
 
 
 def scrubber_owner(nodes: DataFrame, ports: DataFrame) -> DataFrame:
@@ -90,10 +94,12 @@ def scrubber_owner(nodes: DataFrame, ports: DataFrame) -> DataFrame:
     return used.join(nor, ["code", "main_equipment_code"], "left_anti")
 
 
-def merge_owner(nodes: DataFrame) -> DataFrame:
-    """Merges whose owner differs from the owner of their scrubber; a null owner passes."""
+def merge_owner(nodes: DataFrame, written: bool = False) -> DataFrame:
+    """Merges whose owner differs from the owner of their scrubber; a null owner passes. Both sides read the
+    nodes, so these are written first unless they are a ``written`` table."""
     kept = nodes.where(F.col("type_code").isin("SCRUBBER", "SCRUBBER_MERGE"))
-    kept = stored(kept.select("code", "type_code", "main_equipment_code", "group_code"), "owned-nodes")  # read by both sides
+    kept = kept.select("code", "type_code", "main_equipment_code", "group_code")
+    kept = kept if written else stored(kept, "owned-nodes")
     m = kept.where(F.col("type_code") == "SCRUBBER_MERGE").select("code", "main_equipment_code", "group_code")
     s = kept.where(F.col("type_code") == "SCRUBBER").select(
         F.col("code").alias("group_code"), F.col("main_equipment_code").alias("_owner")

@@ -5,6 +5,7 @@ from fixture_ports import ORG_SCHEMA, PORT_SCHEMA, golden, org
 from pyspark.sql import functions as F
 
 from portloom.operators import history as H
+from portloom.operators import quality as K
 from portloom.operators.pick import latest_version
 from portloom.plans import ports as P
 from portloom.plans import topology as G
@@ -58,3 +59,22 @@ def test_organisation_is_shuffled_when_it_is_too_big_to_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_checks_shuffle_each_value_once(spark, folder):
+    """Keys are not shuffled where no digests meet; counted values are matched with the parent where they are."""
+    spark.range(900).selectExpr("concat('c', id) AS code", "concat('c', id % 7) AS a", "concat('x', id % 5) AS b").write.parquet(
+        folder("codes")
+    )
+    codes = spark.read.parquet(folder("codes"))
+    plan = final_plan(K.unique(codes, ["code"]))
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(_digest" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        lost = K.relationships(codes, ["a", "b"], codes, "code")
+        assert final_plan(lost).count("Exchange hashpartitioning") == 2
+        assert sorted(map(tuple, lost.collect())) == [("b", f"x{i}", 180) for i in range(5)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
