@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from portloom.operators import quality as K
 from portloom.plans import topology as G
 from portloom.plans.ports import ORG_COLUMNS, PUMP, SCRUBBER
+from portloom.session import shuffles_for
 from portloom.sources.layers import materialize
 from portloom.sources.tables import publish_version, stage_version
 
@@ -67,7 +68,7 @@ def pipe_marts(ports: DataFrame, org: DataFrame) -> list[Mart]:
             K.Check("accepted_values", name, "type_code", K.accepted_values(t, "type_code", list(G.NODE_TYPES)), "n_rows"),
             K.Check("relationships", name, "main_equipment_code", K.relationships(t, "main_equipment_code", t, "code"), "n_rows"),
             K.Check("relationships", name, "vendor_code", K.relationships(t, "vendor_code", m["dim_vendor"], "code"), "n_rows"),
-            K.Check("merge_owner", name, "main_equipment_code", K.merge_owner(t)),
+            K.Check("merge_owner", name, "main_equipment_code", K.merge_owner(t, written=True)),
             K.Check("scrubber_owner", name, "main_equipment_code", K.scrubber_owner(t, m["slv_ports"])),
         ]
 
@@ -96,16 +97,22 @@ def build_gated(marts: Sequence[Mart], root: str, must_pass: bool = True) -> Dat
 
     Returns the check results with ``published`` per table. The first failing table stays unpublished,
     its last good version stays the newest, and later marts are not built; with ``must_pass`` this
-    raises, otherwise the results up to there are returned.
+    raises, otherwise the results up to there are returned. Each step shuffles into as many partitions as
+    the largest mart before it needs.
     """
     built: Marts = {}
     results = []
+    most = 0
     for mart in marts:
         df = mart.build(built)
-        staged = stage_version(df, f"{root}/gld/{mart.name}")
-        built[mart.name] = staged.read(df.sparkSession)
-        suite = K.run_suite(mart.checks(built))
-        suite = materialize(suite, f"{mart.name}_checks", "sbx", root)
+        spark = df.sparkSession
+        with shuffles_for(spark, most):
+            staged = stage_version(df, f"{root}/gld/{mart.name}")
+        built[mart.name] = staged.read(spark)
+        most = max(most, staged.row_count)
+        with shuffles_for(spark, most):
+            suite = K.run_suite(mart.checks(built))
+            suite = materialize(suite, f"{mart.name}_checks", "sbx", root)
         try:
             K.gate(suite)
         except K.GateFailed:
@@ -113,6 +120,6 @@ def build_gated(marts: Sequence[Mart], root: str, must_pass: bool = True) -> Dat
                 raise
             results.append(suite.withColumn("published", F.lit(False)))
             break
-        publish_version(df.sparkSession, staged)
+        publish_version(spark, staged)
         results.append(suite.withColumn("published", F.lit(True)))
     return reduce(DataFrame.unionAll, results)
