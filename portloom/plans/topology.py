@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portloom.functions.text import code_of
@@ -18,7 +18,7 @@ from portloom.operators.pick import pick_first
 from portloom.operators.shape import encode
 from portloom.operators.skew import ROWS_PER_SLICE, ROWS_PER_TASK, dealt, skew_join
 from portloom.plans.ports import BYP, NOR, ORG_COLUMNS, PUMP, PUMP_POSN, SCRUBBER
-from portloom.session import stored
+from portloom.session import shuffles_for, stored
 
 # fixed values: type -> (precedence, layer)
 NODE_TYPES = {
@@ -46,6 +46,7 @@ VENDOR_NOTE = "PortMaster2 seqp_maker 기준 자동 생성"
 
 PATH = ["eqp_id", "eqp_chamber_id", "eqp_chamber_posn"]
 CHAMBER = ["eqp_id", "eqp_chamber_id"]
+UNITS_PER_ROW = 1000
 NODE_COLUMNS = [
     "code", "type_code", "main_equipment_code", *ORG_COLUMNS, "group_code", "layer_order", "vendor_code",
 ]
@@ -107,9 +108,10 @@ def chamber_cells(ports: DataFrame, org: DataFrame) -> DataFrame:
 
 def _cells(known: DataFrame, *also: str) -> DataFrame:
     """``also`` are columns that belong to the equipment."""
-    paths = known.groupBy(*PATH, *also).agg(F.max(is_scrubber()).alias("_s"))
-    held = paths.groupBy(*CHAMBER).agg(F.max("_s").alias("_held"))
-    coded = paths.join(held, CHAMBER).select(
+    known = known.where(F.col("eqp_chamber_id").isNotNull())
+    paths = known.groupBy(*PATH, *also).agg(F.max(is_scrubber()).alias("_s")).repartition("eqp_id")
+    held = F.max("_s").over(Window.partitionBy(*CHAMBER))
+    coded = paths.withColumn("_held", held).select(
         F.when(F.col("_held"), path_code()).otherwise(chamber_code()).alias("code"), "eqp_id", *also
     )
     return coded.distinct()
@@ -223,8 +225,10 @@ def nodes(ports: DataFrame, org: DataFrame) -> DataFrame:
         F.col("vendor_code").asc_nulls_last(),
         F.col("group_code"),
     ]
-    numbers, rows = org_numbers(org)
-    found = pick_first(node_candidates(ports, numbers), ["code"], order).join(rows, "_org")
+    with shuffles_for(ports.sparkSession, ports.count()):
+        numbers, rows = org_numbers(org)
+        candidates = node_candidates(ports, numbers)
+    found = pick_first(candidates, ["code"], order).join(rows, "_org")
     kinds = {priority: kind for kind, (priority, _) in NODE_TYPES.items()}
     kind, main = F.col("type_priority"), NODE_TYPES["MAIN"][0]
     own = F.when(kind.isin(main, NODE_TYPES["CHAMBER"][0]), F.col("eqp_id")).otherwise(F.col("code"))
@@ -246,35 +250,70 @@ def tmll_pumps(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_
     return free.select("eqp_id", chamber_code().alias("chamber_code"), "pump_code")
 
 
-def path_units(ports: DataFrame, org: DataFrame) -> DataFrame:
-    """(path columns, role, unit, makers): the pumps and scrubbers of paths that have both a pump and
-    a NOR scrubber, once each, written so that all edges start from one pass over the ports."""
+def path_units(ports: DataFrame, org: DataFrame, units_per_row: int = UNITS_PER_ROW) -> DataFrame:
+    """(path columns, free, parts, nors, others): the NOR scrubbers, and the pumps and BYP scrubbers, of paths that
+    have both a pump and a NOR scrubber, once each; a path of more than ``units_per_row`` has ``parts`` rows. The
+    pumps of chambers that hold no scrubber are the others of ``free`` rows, without a position.
+
+    The ports are dealt once, by equipment, which paths and chambers are parts of. The result is written, so
+    that all edges start from one pass over the ports.
+    """
     pump, usable = is_pump() & (F.col("eqp_posn") == PUMP_POSN), is_scrubber() & F.col("seqp_ch").isNotNull()
     role = F.when(pump, "PUMP").when(usable & F.col("eqp_posn").isin(NOR, BYP), F.col("eqp_posn"))
-    rows = mapped(ports, org).select(
+    rows = ports.where(pump | is_scrubber()).select(
         *PATH,
         role.alias("role"),
-        F.when(is_pump(), F.col("seqp_id")).otherwise(scrubber_code()).alias("unit"),
+        F.when(role == "PUMP", F.col("seqp_id")).when(role.isNotNull(), scrubber_code()).alias("unit"),
         F.when(role == NOR, F.col("seqp_maker")).alias("maker"),
+        is_scrubber().alias("_s"),
     )
-    rows = rows.where(F.col("role").isNotNull())
-    units = rows.groupBy(*PATH, "role", "unit").agg(F.sort_array(F.collect_set(F.struct("maker"))).alias("makers"))
-    units = stored(units, "units")
-    complete = units.groupBy(*PATH).agg(F.max(F.col("role") == "PUMP").alias("_p"), F.max(F.col("role") == NOR).alias("_n"))
-    return stored(units.join(complete.where("_p AND _n").select(*PATH), PATH, "left_semi"), "path-units")
+    posn, free = F.col("eqp_chamber_posn"), F.col("free")
+    held = F.max("_s").over(Window.partitionBy(*CHAMBER))
+    in_order = Window.partitionBy(*PATH, "free").orderBy("role", "unit")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    is_nor = F.col("role") == NOR
+    with shuffles_for(ports.sparkSession, ports.count()):
+        known = mapped(rows.repartition("eqp_id"), org).distinct()
+        known = known.withColumn("free", F.col("eqp_chamber_id").isNull() | ~held)
+        known = known.where((free & (F.col("role") == "PUMP")) | (~free & F.col("role").isNotNull() & posn.isNotNull()))
+        units = known.withColumn("eqp_chamber_posn", F.when(~free, posn)).groupBy(*PATH, "free", "role", "unit").agg(
+            F.sort_array(F.collect_set(F.struct("maker"))).alias("makers")
+        )
+        placed = units.select(
+            "*",
+            (free | (F.max(F.col("role") == "PUMP").over(whole) & F.max(is_nor).over(whole))).alias("_kept"),
+            F.ceil(F.count(F.lit(1)).over(whole) / F.lit(units_per_row)).alias("parts"),
+            F.floor((F.row_number().over(in_order) - 1) / F.lit(units_per_row)).alias("_part"),
+        )
+        paths = placed.where("_kept").groupBy(*PATH, "free", "parts", "_part").agg(
+            F.collect_list(F.when(is_nor, F.struct("unit", "makers"))).alias("nors"),
+            F.collect_list(F.when(~is_nor, F.struct("role", "unit"))).alias("others"),
+        )
+        return stored(paths.drop("_part"), "path-units")
 
 
-def _path_pairs(units: DataFrame, rows_per_slice: int) -> DataFrame:
-    """Every NOR scrubber with every pump and every BYP scrubber of its path; never all three."""
-    nors = units.where(F.col("role") == NOR).select(*PATH, F.col("unit").alias("nor"), "makers")
-    others = units.where(F.col("role") != NOR).select(*PATH, "role", F.col("unit").alias("other"))
-    return skew_join(nors, others, PATH, "inner", rows_per_slice)
+def _path_pairs(paths: DataFrame, rows_per_slice: int) -> DataFrame:
+    """Every NOR scrubber with every pump and every BYP scrubber of its path; never all three. Paths of one row
+    hold their pairs, only the parts of larger ones are joined."""
+
+    def unfolded(met: DataFrame) -> DataFrame:
+        one = met.select(*PATH, F.explode("nors").alias("_n"), "others")
+        return one.select(*PATH, F.col("_n.unit").alias("nor"), F.col("_n.makers").alias("makers"), F.inline("others")).withColumnRenamed(
+            "unit", "other"
+        )
+
+    complete = paths.where(~F.col("free"))
+    pairs, large = unfolded(complete.where("parts = 1")), complete.where("parts > 1")
+    if large.isEmpty():
+        return pairs
+    nors, others = (large.select(*PATH, c).where(F.size(c) > 0) for c in ("nors", "others"))
+    return pairs.unionAll(unfolded(skew_join(nors, others, PATH, "inner", max(1, rows_per_slice // UNITS_PER_ROW))))
 
 
 def pair_paths(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """NOR scrubbers of each path with its pumps (``partner_type`` PUMP) and, where there are any, with
     its BYP scrubbers (BYP); a scrubber of several makers comes once for each."""
-    pairs = _path_pairs(path_units(ports, org), rows_per_slice)
+    pairs = _path_pairs(path_units(ports, org, min(UNITS_PER_ROW, rows_per_slice)), rows_per_slice)
     nor, other, byp = F.col("nor"), F.col("other"), F.col("role") == BYP
     return pairs.select("*", F.explode("makers").alias("_m")).select(
         "eqp_id",
@@ -310,26 +349,25 @@ def edges(ports: DataFrame, org: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
     Four types belong to one unit of a complete path and come straight from its row; only PS and SS
     link two units, a NOR scrubber with a pump or a BYP scrubber of its path. SS differs by maker.
     """
-    units = path_units(ports, org)
+    paths = path_units(ports, org, min(UNITS_PER_ROW, rows_per_slice))
+    complete, free = paths.where(~F.col("free")), paths.where("free")
     cell, unit = path_code(), F.col("unit")
     merge = code_of(unit, "_MERGE")
-    of_unit = (
-        F.when(F.col("role") == "PUMP", F.array(_edge("FORELINE", cell, cell, unit)))
-        .when(F.col("role") == BYP, F.array(_edge("ALLBYPASS", cell, valve_code(unit, BYP), merge)))
-        .otherwise(
-            F.array(_edge("SD1", cell, unit, merge), _edge("SD2", cell, merge, code_of(F.col("eqp_id"), "_DUCT")))
-        )
+    of_nor = F.array(_edge("SD1", cell, unit, merge), _edge("SD2", cell, merge, code_of(F.col("eqp_id"), "_DUCT")))
+    of_other = F.when(F.col("role") == "PUMP", F.array(_edge("FORELINE", cell, cell, unit))).otherwise(
+        F.array(_edge("ALLBYPASS", cell, valve_code(unit, BYP), merge))
     )
     valve, other = valve_code(F.col("nor"), NOR), F.col("other")
     by_maker = F.transform(
         "makers", lambda m: _edge("SS", cell, valve, valve_code(other, BYP), m["maker"])
     )
     of_pair = F.when(F.col("role") == BYP, by_maker).otherwise(F.array(_edge("PS", cell, other, valve)))
-    free = F.array(_edge("FORELINE", F.col("chamber_code"), F.col("chamber_code"), F.col("pump_code")))
+    of_free = F.array(_edge("FORELINE", chamber_code(), chamber_code(), unit))
     return (
-        units.select(F.inline(of_unit))
-        .unionAll(_path_pairs(units, rows_per_slice).select(F.inline(of_pair)))
-        .unionAll(tmll_pumps(ports, org, rows_per_slice).select(F.inline(free)))
+        complete.select(*PATH, F.inline("nors")).select(F.inline(of_nor))
+        .unionAll(complete.select(*PATH, F.inline("others")).select(F.inline(of_other)))
+        .unionAll(_path_pairs(paths, rows_per_slice).select(F.inline(of_pair)))
+        .unionAll(free.select(*CHAMBER, F.inline("others")).select(F.inline(of_free)))
     )
 
 

@@ -266,3 +266,19 @@ def test_valves_are_dealt_by_their_rows(spark):
     many = dealt(ports, ["eqp_id"], 20)
     assert many.rdd.getNumPartitions() == 40
     assert dealt(ports, ["eqp_id"], 10) is ports and dealt(ports, ["eqp_id"]) is ports
+
+
+def test_edges_start_from_one_written_pass(spark, built):
+    """The ports are dealt once; paths of many units take several rows, and those are still all paired."""
+    ports, orgs, _, edges = built
+    assert tables_of(G.edges(ports, orgs)) == {"path-units"}
+    assert {r.parts for r in G.path_units(ports, orgs).collect()} == {1}
+    cut = G.path_units(ports, orgs, 2).where("not free").collect()
+    assert max(r.parts for r in cut) > 1 and max(len(r.nors) + len(r.others) for r in cut) == 2
+    assert rows(G.edges(ports, orgs, 2)) == rows(edges)
+
+
+def test_free_pumps_count_without_their_position(spark):
+    twice = [pump("E1", "A", "PRO", 1, "M1"), pump("E1", "A", "PED", 1, "M1"), pump("E1", "B", "PRO", 2, "M1")]
+    ports, orgs = make(spark, [*twice, scrub("E1", "B", "PED", "BYP", 1, "M1")], "E1")
+    assert [r.code for r in G.edges(ports, orgs).collect()] == ["E1_A_E1_PP01_E1_A"]
