@@ -12,7 +12,7 @@ from portloom.operators import quality as K
 from portloom.plans.gated import NODE_FILLED, PIPE_ENDS, PIPE_FILLED, PORT_FILLED, build_gated, pipe_marts
 from portloom.plans.ports import ORG_COLUMNS, PORT_COLUMNS, clean_ports
 from portloom.plans.topology import EDGE_TYPES, NODE_TYPES
-from portloom.session import workspace
+from portloom.session import shuffles_for, stored, workspace
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
 
@@ -59,8 +59,10 @@ def check_accepted_values(spark, sf):
     WHERE eqp_id NOT IN (SELECT eqp_id FROM org) GROUP BY 2""",
 )
 def check_relationships(spark, sf):
-    pipes = K.relationships(dim_pipe(spark, sf), PIPE_ENDS, dim_equipment(spark, sf), "code")
-    return pipes.unionAll(K.relationships(raw_ports(spark, sf), "eqp_id", org(spark, sf), "eqp_id"))
+    raw = raw_ports(spark, sf)
+    with shuffles_for(spark, raw.count()):
+        pipes = K.relationships(dim_pipe(spark, sf), PIPE_ENDS, dim_equipment(spark, sf), "code")
+        return stored(pipes.unionAll(K.relationships(raw, "eqp_id", org(spark, sf), "eqp_id")), "lost-values")
 
 
 @query(
