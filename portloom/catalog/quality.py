@@ -73,7 +73,9 @@ def check_relationships(spark, sf):
       AND (code, main_equipment_code) NOT IN (SELECT (code, eqp_id) FROM nor)""",
 )
 def check_scrubber_owner(spark, sf):
-    return K.scrubber_owner(dim_equipment(spark, sf), ports(spark, sf))
+    used = ports(spark, sf)
+    with shuffles_for(spark, used.count()):
+        return stored(K.scrubber_owner(dim_equipment(spark, sf), used), "lost-owners")
 
 
 @query(

@@ -5,8 +5,11 @@ from conftest import rows
 from fixture_ports import ORG_SCHEMA, PORT_SCHEMA, golden, org, pump, scrub
 from pyspark.sql import functions as F
 
+from portloom import session
+from portloom.catalog import quality as checks
 from portloom.operators import quality as K
 from portloom.operators.skew import dealt
+from portloom.plans import gated
 from portloom.plans import ports as P
 from portloom.plans import topology as G
 from portloom.plans.gated import build_gated, pipe_marts
@@ -282,3 +285,32 @@ def test_free_pumps_count_without_their_position(spark):
     twice = [pump("E1", "A", "PRO", 1, "M1"), pump("E1", "A", "PED", 1, "M1"), pump("E1", "B", "PRO", 2, "M1")]
     ports, orgs = make(spark, [*twice, scrub("E1", "B", "PED", "BYP", 1, "M1")], "E1")
     assert [r.code for r in G.edges(ports, orgs).collect()] == ["E1_A_E1_PP01_E1_A"]
+
+
+def test_shuffles_follow_the_rows(spark, built, folder, monkeypatch):
+    """Builds and checks shuffle into more partitions than the session has where their rows need them."""
+    ports, orgs, *_ = built
+    before, seen = spark.conf.get(session.PARTITIONS_CONF), []
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 2)
+
+    def noting(plain):
+        def noted(df, *args):
+            seen.append(int(spark.conf.get(session.PARTITIONS_CONF)))
+            return plain(df, *args)
+
+        return noted
+
+    for module, name in ((G, "stored"), (gated, "stage_version"), (gated, "materialize"), (checks, "stored")):
+        monkeypatch.setattr(module, name, noting(getattr(module, name)))
+    build_gated(pipe_marts(ports, orgs), folder("sized"))
+    assert seen[0] == int(before) and min(seen[1:]) >= ports.count() / 2  # nothing is known before the first mart
+    for query in ("check_scrubber_owner", "check_relationships"):
+        monkeypatch.setattr(checks, "dim_equipment", lambda spark, sf: G.nodes(ports, orgs))
+        monkeypatch.setattr(checks, "dim_pipe", lambda spark, sf: G.edges(ports, orgs))
+        for source in ("ports", "raw_ports"):
+            monkeypatch.setattr(checks, source, lambda spark, sf: ports)
+        monkeypatch.setattr(checks, "org", lambda spark, sf: orgs)
+        seen.clear()
+        assert getattr(checks, query)(spark, "none").count() == 0
+        assert min(seen) >= ports.count() / 2
+    assert spark.conf.get(session.PARTITIONS_CONF) == before and spark.conf.get(session.ADVISORY_CONF) != session.BYTES_PER_TASK
