@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from portloom.llm import pii, topk, warc
+from portloom.llm import pii, staging, topk, warc
 from portloom.llm.queries import QUERIES
+from portloom.session import stored
 from tests.llm.conftest import DATA
 from tests.llm.test_dedup import naive_fingerprint, naive_groups, naive_lines
 from tests.llm.test_rules import naive_verdicts, order
@@ -256,3 +257,11 @@ def test_stages_as_brute_force(spark, documents):
 def test_run_gives_the_last_stage(spark):
     found = corpus_pipeline.run(spark, DATA)
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(found.columns) and found.count() > 0
+
+
+def test_staged_tables_leave_no_shuffle_behind(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(staging, "stored", lambda df, *rest: seen.append(rest) or stored(df, *rest))
+    df = spark.range(9).selectExpr("id % 2 AS k").groupBy("k").count()
+    assert sorted(map(tuple, staging.staged(df, "small").collect())) == [(0, 5), (1, 4)]
+    assert seen == [("small", "snappy")]
