@@ -50,6 +50,15 @@ _SLACK = 1e-9  # against rounding in products with the threshold
 #: it Spark joins the texts by key.
 BROADCAST_NUMBERS = 4_000_000
 _ONCE = 1  # level of a slot with one occurrence
+#: The groups of narrow words are shuffled in so many parts, one after the other, to need less disk.
+PARTS = 2
+#: Rows that are packed at once, and those that a bucket of words has on average; both are held by one task.
+PACKED_ROWS, BUCKET_ROWS = 1 << 20, 1 << 19
+#: A prefix word of a set as it is shuffled.
+_ROW = np.dtype(
+    [(c, "<u4") for c in ("word", "n", "at", "map2")]
+    + [("line", "<i4"), ("doc", "<i8"), ("key", "<i8"), ("map", "<u8")]
+)
 
 
 def word_levels(docs: DataFrame, text: str = "text") -> bytes:
@@ -185,17 +194,74 @@ def _named(df: DataFrame, prefix: str) -> DataFrame:
     return df.select("word", *(F.col(c).alias(prefix + c) for c in df.columns if c != "word"))
 
 
-def _narrow_pairs(rows: DataFrame, threshold: float, first_only: bool) -> DataFrame:
-    """Pairs (a, b), the earlier set last, within the groups of words of at most ``common`` occurrences;
-    with ``first_only`` the earliest partner that a batch of groups has for each set.
+def _flat_lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, word, place and ``wide`` of all prefix words of a batch of sets."""
+    words, at, wide = (batch.column(c) for c in ("words", "at", "wide"))
+    of = np.repeat(np.arange(batch.num_rows), np.diff(words.offsets.to_numpy()))
+    word = words.flatten().to_numpy().view(np.uint32)
+    return of, word, at.flatten().to_numpy(), wide.flatten().to_numpy(zero_copy_only=False)
 
-    Rows come sorted by word and size; each is compared with the following ones of its group up to
-    the largest size that may match, for all groups of a batch at once. A group that a batch cuts
-    goes on with the next one."""
 
-    def compare(word, key, n, at, parity, parity2, doc, line) -> pa.RecordBatch | None:
+def _packed(sets: DataFrame, buckets: int, part: int, asked: bytes | None) -> DataFrame:
+    """(bucket, rows): the sets' narrow prefix words in buckets of words, those of many sets in one
+    row. Rows are stored byte plane by byte plane in the words' order, which compresses well.
+
+    ``part`` of ``PARTS`` takes those words alone, ``asked`` those of the slots that are set there."""
+    sent = None if asked is None else sets.sparkSession.sparkContext.broadcast(asked)
+
+    def pack(pieces: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(pieces)
+        rows = rows[np.argsort(rows["word"])]
+        bucket = (rows["word"].astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        raw = rows.view(np.uint8).reshape(len(rows), _ROW.itemsize)
+        blobs = [raw[i:j].T.tobytes() for i, j in zip(starts, [*starts[1:], len(rows)], strict=True)]
+        columns = [pa.array(bucket[starts].astype(np.int32)), pa.array(blobs, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "rows"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, size = [], 0
+        for batch in batches:
+            of, word, at, wide = _flat_lists(batch)
+            use = ~wide & (word % PARTS == part)
+            if sent is not None:
+                use &= np.frombuffer(sent.value, np.uint8)[word >> np.uint32(32 - SLOT_BITS)] > 0
+            of, own = of[use], np.empty(int(use.sum()), dtype=_ROW)
+            own["word"], own["at"] = word[use], at[use]
+            for c in ("n", "doc", "line", "key", "map"):
+                own[c] = batch.column(c).to_numpy()[of]
+            own["map2"] = batch.column("map2").to_numpy()[of] & 0xFFFFFFFF
+            pieces.append(own)
+            size += len(own)
+            if size >= PACKED_ROWS:
+                yield pack(pieces)
+                pieces, size = [], 0
+        if size:
+            yield pack(pieces)
+
+    return sets.select("words", "at", "wide", "n", "doc", "line", "key", "map", "map2").mapInArrow(
+        run, "bucket int, rows binary"
+    )
+
+
+def _narrow_pairs(sets: DataFrame, threshold: float, part: int, asked: bytes | None = None) -> DataFrame:
+    """Pairs (a, b), the earlier set last, within the groups of words of at most ``common`` occurrences:
+    the earliest partner that each set has in a bucket of words, or all of them in the words of ``asked``.
+
+    The rows of a bucket are sorted by word and size; each is compared with the following ones of its
+    group up to the largest size that may match, for all groups at once."""
+    first_only = asked is None
+    most = sets.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0] // PARTS
+    buckets = 1 + most // BUCKET_ROWS
+
+    def compare(found: pa.Table) -> pa.Table:
+        raw = [np.frombuffer(b.as_buffer(), np.uint8).reshape(_ROW.itemsize, -1).T for b in found.column("rows")]
+        rows = np.ascontiguousarray(np.concatenate(raw)).view(_ROW).ravel()
+        rows = rows[np.lexsort((rows["n"], rows["word"]))]
+        word, key, parity, parity2, doc, line = (np.ascontiguousarray(rows[c]) for c in ("word", "key", "map", "map2", "doc", "line"))
+        n, at = rows["n"].astype(np.int64), rows["at"].astype(np.int64)
         largest = np.floor(n / threshold + _SLACK)
-        found = []
+        pairs = [(np.empty(0, np.int64), np.empty(0, np.int64))]
         step, near = 1, np.arange(len(word) - 1)
         while len(near):
             near = near[(word[near] == word[near + step]) & (n[near + step] <= largest[near])]
@@ -203,42 +269,37 @@ def _narrow_pairs(rows: DataFrame, threshold: float, first_only: bool) -> DataFr
             needed = _needed(n[i], n[j], threshold, np.ceil)
             ok = np.minimum(n[i] - at[i], n[j] - at[j]) >= needed
             for p in (parity, parity2):
-                ok &= np.bitwise_count((p[i] ^ p[j]).view(np.uint64)) <= n[i] + n[j] - 2 * needed
-            found.append((i[ok], j[ok]))
+                ok &= np.bitwise_count(p[i] ^ p[j]) <= n[i] + n[j] - 2 * needed
+            pairs.append((i[ok], j[ok]))
             step += 1
             near = near[near + step < len(word)]
-        if not found:
-            return None
-        i, j = (np.concatenate(side) for side in zip(*found, strict=True))
+        i, j = (np.concatenate(side) for side in zip(*pairs, strict=True))
         same = doc[i] == doc[j]
         after = (doc[i] > doc[j]) | (same & ((line[i] > line[j]) | ((line[i] == line[j]) & (key[i] > key[j]))))
         late, early = np.where(after, i, j), np.where(after, j, i)
         if first_only:
             order = np.lexsort((key[early], line[early], doc[early], key[late]))
             late, early = late[order], early[order]
-            if len(late):
-                new = np.append(True, key[late][1:] != key[late][:-1])
-                late, early = late[new], early[new]
+            new = np.append(True, key[late][1:] != key[late][:-1])[: len(late)]
+            late, early = late[new], early[new]
         columns = [pa.array(key[late]), pa.array(key[early]), pa.array(doc[early]), pa.array(line[early])]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "doc", "line"])
+        return pa.Table.from_arrays(columns, names=["a", "b", "doc", "line"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
+    packed = _packed(sets, buckets, part, asked)
+    return packed.groupBy("bucket").applyInArrow(compare, "a long, b long, doc long, line int")
+
+
+def _narrow_words(sets: DataFrame) -> bytes:
+    """A table of the slots of the sets' narrow prefix words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
         for batch in batches:
-            own = [c.to_numpy() for c in batch.columns]
-            if kept is not None:
-                own = [np.concatenate(pair) for pair in zip(kept, own, strict=True)]
-            if not len(own[0]):
-                continue
-            cut = int(np.searchsorted(own[0], own[0][-1]))  # the last word may go on
-            kept = [c[cut:] for c in own]
-            if cut and (out := compare(*(c[:cut] for c in own))) is not None:
-                yield out
-        if kept is not None and (out := compare(*kept)) is not None:
-            yield out
+            _, word, _, wide = _flat_lists(batch)
+            total[word[~wide] >> np.uint32(32 - SLOT_BITS)] = 1
+        return total
 
-    dealt = rows.select("word", "key", "n", "at", "map", "map2", "doc", "line").repartition("word")
-    return dealt.sortWithinPartitions("word", "n").mapInArrow(run, "a long, b long, doc long, line int")
+    return slot_table(sets.select("words", "at", "wide"), count, lambda n: np.ones(len(n), dtype=np.uint8))
 
 
 def _wide_pairs(late: DataFrame, wide: DataFrame, threshold: float) -> DataFrame:
@@ -296,36 +357,40 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
         "lines",
         "zstd",
     )
-    words = F.array_distinct(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
-    a = texts.select(F.col("key").alias("a"), words.alias("words_a"), F.col("place").alias("place_a"))
-    b = texts.select(F.col("key").alias("b"), words.alias("words_b"), F.col("place").alias("place_b"))
-    shared = F.size(F.array_intersect("words_a", "words_b"))
-    union = F.size("words_a") + F.size("words_b") - F.col("shared")
-    return (
-        pairs.join(a, "a")
-        .join(b, "b")
-        .withColumn("shared", shared)
-        .where(F.col("shared") >= union * F.lit(threshold) - _SLACK)
-        .select(F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("key"))
-        .distinct()
-    )
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in small_batches(whole, "text_a"):
+                reached = []
+                for key, a, b in zip(*(batch.column(c).to_pylist() for c in ("key", "text_a", "text_b")), strict=True):
+                    words_a, words_b = set(a.encode().split()), set(b.encode().split())  # bytes part at ASCII blanks alone
+                    shared = len(words_a & words_b)
+                    if shared >= (len(words_a) + len(words_b) - shared) * threshold - _SLACK:
+                        reached.append(key)
+                yield pa.RecordBatch.from_arrays([pa.array(reached, pa.int64())], names=["key"])
+
+    # whole lines are shuffled, not their words one by one, which take several times the room
+    a = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"), F.col("place").alias("place_a"))
+    b = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"), F.col("place").alias("place_b"))
+    later = F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b"))
+    both = pairs.join(a, "a").join(b, "b").select(later.alias("key"), "text_a", "text_b")
+    return both.mapInArrow(similar, "key long").distinct()
 
 
 def repeated_sets(sets: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """Keys of the sets whose first line has a similar line before it."""
-    each = F.explode(F.arrays_zip("words", "at", "wide")).alias("w")
+    each = F.explode(F.filter(F.arrays_zip("words", "at", "wide"), lambda w: w["wide"])).alias("w")
     columns = ["doc", "line", "key", "n", "map", "map2"]
-    rows = sets.select(*columns, each).select(
-        *columns, F.col("w.words").alias("word"), F.col("w.at").alias("at"), F.col("w.wide").alias("wide")
-    )
-    wide, narrow = staged(rows.where("wide").drop("wide"), "wide", "zstd"), rows.where("not wide").drop("wide")
+    wide = sets.where(F.array_contains("wide", True)).select(*columns, each)
+    wide = staged(wide.select(*columns, F.col("w.words").alias("word"), F.col("w.at").alias("at")), "wide", "zstd")
     earliest = wide.groupBy("word").agg(F.min_by(F.struct(*columns, "at"), _order()).alias("e")).select("word", "e.*")
     earliest = staged(earliest, "earliest")
     decided = staged(_verified(_wide_pairs(wide, earliest, threshold).select("a", "b"), docs, threshold), "decided")
 
     # each set that may have earlier partners is verified with the first of them
     open_ = wide.join(decided, "key", "left_anti").select(wide.columns)
-    tried = _wide_pairs(open_, wide, threshold).unionAll(_narrow_pairs(narrow, threshold, first_only=True))
+    tried = _wide_pairs(open_, wide, threshold)
+    for part in range(PARTS):
+        tried = tried.unionAll(staged(_narrow_pairs(sets, threshold, part), "narrow-pairs"))
     tried = staged(tried.groupBy("a").agg(F.min_by("b", F.struct("doc", "line", "b")).alias("b")), "first-partners")
     found = staged(decided.unionAll(_verified(tried.select("a", "b"), docs, threshold)).distinct(), "found")
 
@@ -333,9 +398,10 @@ def repeated_sets(sets: DataFrame, docs: DataFrame, threshold: float) -> DataFra
     rest = staged(tried.select(F.col("a").alias("key")).join(found, "key", "left_anti"), "rest")
     if rest.isEmpty():
         return found
-    shared = narrow.join(rest, "key", "left_semi").select("word").distinct()
-    near = _narrow_pairs(narrow.join(shared, "word", "left_semi"), threshold, first_only=False)
-    pairs = _wide_pairs(wide.join(rest, "key", "left_semi").select(wide.columns), wide, threshold).unionAll(near)
+    asked = _narrow_words(sets.join(rest, "key", "left_semi"))
+    pairs = _wide_pairs(wide.join(rest, "key", "left_semi").select(wide.columns), wide, threshold)
+    for part in range(PARTS):
+        pairs = pairs.unionAll(staged(_narrow_pairs(sets, threshold, part, asked), "narrow-pairs"))
     pairs = pairs.join(rest.select(F.col("key").alias("a")), "a", "left_semi").select("a", "b")
     return found.unionAll(_verified(pairs, docs, threshold)).distinct()
 

@@ -186,3 +186,27 @@ def test_equal_lines_at_one_place_of_texts_with_one_id(spark):
     for doc in (None, 8):
         assert sorted(r.n_removed for r in got if r.doc_id == doc) == [0, 1, 1]
         assert sum(line in r.text for r in got if r.doc_id == doc) == 1
+
+
+def test_narrow_groups_travel_packed(spark):
+    """A row for each bucket of words and task, not for each word; whatever is packed comes back."""
+    lines = [" ".join(f"w{(i * 7 + k) % 90}" for k in range(12)) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc long, text string").selectExpr("doc", "xxhash64(text) AS tie", "text")
+    sets = linededup._line_sets(docs.coalesce(1), linededup.word_levels(docs), 0.8, 5, 512)
+    words = sum(len(r["words"]) for r in sets.collect())
+    size = linededup._ROW.itemsize
+    for part in range(linededup.PARTS):
+        assert linededup._packed(sets, 3, part, None).count() <= 3
+    blobs = [r["rows"] for p in range(linededup.PARTS) for r in linededup._packed(sets, 3, p, None).collect()]
+    assert words > 200 and sum(map(len, blobs)) == words * size
+
+
+def test_verified_lines_are_shuffled_whole(spark):
+    docs = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i k"), (3, "a b c x y z u v w j")]
+    docs = spark.createDataFrame(docs, "doc long, text string")
+    key = {r[0]: xxhash.xxh64_intdigest(r[1]) for r in docs.collect()}
+    key = {d: k - (1 << 64) if k >> 63 else k for d, k in key.items()}
+    pairs = spark.createDataFrame([(key[2], key[1]), (key[1], key[3])], "a long, b long")
+    found = linededup._verified(pairs, docs, 0.8)
+    assert "words_a" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["key"] for r in found.collect()] == [key[2]]
