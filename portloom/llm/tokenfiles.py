@@ -27,35 +27,42 @@ from portloom.llm.vocabulary import library_encoder, read_vocabulary, vocabulary
 
 #: Bytes of each of the four ids that a control byte stands for.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
-_PLACES = np.arange(4)
+_PLACES = np.arange(4, dtype=np.uint8)
 
 
 def _padded(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each number stands if every row is filled up to fours, and the rows' new borders."""
     sizes = np.diff(ends)
     borders = np.append(0, np.cumsum(-(-sizes // 4) * 4))
-    return np.arange(ends[-1]) + np.repeat(borders[:-1] - ends[:-1], sizes), borders
+    at = np.repeat(borders[:-1] - ends[:-1], sizes)
+    at += np.arange(ends[-1])
+    return at, borders
 
 
 def encode_rows(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Control bytes and their borders, data bytes and theirs, of rows of unsigned 32-bit numbers."""
-    extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    extra = (values > 0xFF).view(np.uint8)
+    most = 4 if values.max(initial=0) > 0xFFFF else 2
+    if most == 4:
+        extra = extra + (values > 0xFFFF) + (values > 0xFFFFFF)
     at, borders = _padded(ends)
     filled = np.zeros(borders[-1], dtype=np.uint8)
     filled[at] = extra
-    control = (filled.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
-    raw = values.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data_ends = np.append(0, np.cumsum(extra.astype(np.int64) + 1))[ends]
-    return control, borders // 4, raw[_PLACES <= extra[:, None]], data_ends
+    fours = filled.reshape(-1, 4)
+    control = fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6
+    raw = values.astype(f"<u{most}").view(np.uint8).reshape(-1, most)
+    data_ends = np.append(0, np.cumsum(extra, dtype=np.int64))[ends] + ends
+    return control, borders // 4, raw[_PLACES[:most] <= extra[:, None]], data_ends
 
 
 def decode_rows(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of all rows, one after the other."""
     at, _ = _padded(np.append(0, np.cumsum(sizes)))
     lengths = LENGTHS[control].ravel()[at]
-    raw = np.zeros((len(at), 4), dtype=np.uint8)
-    raw[lengths[:, None] > _PLACES] = data
-    return raw.view("<u4").ravel()
+    most = 4 if lengths.max(initial=0) > 2 else 2
+    raw = np.zeros((len(at), most), dtype=np.uint8)
+    raw[lengths[:, None] > _PLACES[:most]] = data
+    return raw.view(f"<u{most}").ravel().astype("<u4", copy=False)
 
 
 def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, width: str, doc_id: str, text: str) -> DataFrame:

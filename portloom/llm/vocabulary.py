@@ -12,7 +12,7 @@ import hashlib
 import json
 import os
 import re
-import struct
+from array import array
 from functools import lru_cache
 from pathlib import Path
 
@@ -65,6 +65,17 @@ def special_ids(spec: dict) -> dict[str, bytes]:
 _LATIN = re.compile("[\x00-\u012f\u0131-\u017f]*")
 _LATIN_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
 _LATIN_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+#: Signs that are a word of their own at the end of a chunk, after letters.
+_SIGNS = frozenset(".,;:!?")
+
+
+def _latin_pattern(pattern: str) -> str:
+    """A word pattern with the letters and numbers of Latin texts written out."""
+    for kind, chars in ((r"[\p{L}]", f"[{_LATIN_LETTERS}]"), (r"[\p{N}]", f"[{_LATIN_NUMBERS}]")):
+        pattern = pattern.replace(kind, chars)
+    # outside of brackets of their own the classes stand alone or in a negated class
+    pattern = re.sub(r"(\[\^[^\]]*)\\p\{L\}\\p\{N\}", rf"\g<1>{_LATIN_LETTERS}{_LATIN_NUMBERS}", pattern)
+    return pattern.replace(r"\p{L}", f"[{_LATIN_LETTERS}]").replace(r"\p{N}", f"[{_LATIN_NUMBERS}]")
 
 
 def _latin_cut(spec: dict) -> tuple[re.Pattern, bool] | None:
@@ -79,12 +90,7 @@ def _latin_cut(spec: dict) -> tuple[re.Pattern, bool] | None:
         pattern, lower = parts[0]["pattern"]["Regex"].replace(r"\s", WHITE), True
     else:
         return None
-    for kind, chars in ((r"[\p{L}]", f"[{_LATIN_LETTERS}]"), (r"[\p{N}]", f"[{_LATIN_NUMBERS}]")):
-        pattern = pattern.replace(kind, chars)
-    # outside of brackets of their own the classes stand alone or in a negated class
-    pattern = re.sub(r"(\[\^[^\]]*)\\p\{L\}\\p\{N\}", rf"\g<1>{_LATIN_LETTERS}{_LATIN_NUMBERS}", pattern)
-    pattern = pattern.replace(r"\p{L}", f"[{_LATIN_LETTERS}]").replace(r"\p{N}", f"[{_LATIN_NUMBERS}]")
-    return re.compile(pattern), lower
+    return re.compile(_latin_pattern(pattern)), lower
 
 
 def library_encoder(vocabulary: str, remembered: int = REMEMBERED) -> ChunkEncoder:
@@ -105,18 +111,33 @@ def library_encoder(vocabulary: str, remembered: int = REMEMBERED) -> ChunkEncod
         model, cut_of = tokenizer.model, _latin_cut(spec)
         letters = byte_letters()
 
+        def ids_of(word: str) -> bytes:
+            """Ids of a word, already in the letters of the file."""
+            return array("I", [t.id for t in model.tokenize(word)]).tobytes()
+
         @lru_cache(maxsize=WORDS_KEPT)
         def word_ids(word: str) -> bytes:
-            ids = [t.id for t in model.tokenize("".join(map(letters.__getitem__, word.encode())))]
-            return struct.pack(f"<{len(ids)}I", *ids)
+            return ids_of("".join(map(letters.__getitem__, word.encode())))
+
+        # letters and one space before them are one word where the pattern is that of byte-level files
+        plain = cut_of is not None and cut_of[0].pattern == _latin_pattern(WORD.pattern) and not cut_of[1]
+        space = letters[32]
 
         def encode_one(chunk: str) -> bytes:
-            if cut_of is None or not _LATIN.fullmatch(chunk):
-                ids = tokenizer.encode(chunk, add_special_tokens=False).ids
-                return struct.pack(f"<{len(ids)}I", *ids)
+            if cut_of is None or not (chunk.isascii() or _LATIN.fullmatch(chunk)):
+                return array("I", tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
             cut, lower = cut_of
+            if plain:
+                body = chunk[1:] if chunk[0] == " " else chunk
+                if body.isalpha():
+                    if chunk.isascii():
+                        return ids_of(chunk.replace(" ", space))
+                    return ids_of("".join(map(letters.__getitem__, chunk.encode())))
+                if body[-1:] in _SIGNS and body[:-1].isalpha():
+                    return memory[chunk[:-1]] + word_ids(chunk[-1])
             return b"".join(map(word_ids, cut.findall(chunk.lower() if lower else chunk)))
 
         parts = TextParts(words if spec["normalizer"] else spaced_chunks, special_ids(spec))
         _ENCODERS[key] = ChunkEncoder(encode_one, parts, remembered)
+        memory = _ENCODERS[key].memory
     return _ENCODERS[key]

@@ -169,3 +169,10 @@ def test_packing_edges(edge):
         assert at <= 512
     assert len(sequences) == len(naive_best_fit([w[3] for w in want], 512))
     assert packing.pack_documents(edge.where("false"), WORD).collect() == []
+
+
+def test_words_with_signs_share_the_words_ids():
+    encoder, tokenizer = library_encoder(read_vocabulary(BYTE), 1000), Tokenizer.from_file(BYTE)
+    text = "xa, a xa, xa. é! xa ªb; x9, don't, ,"
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids_of(tokenizer, text)
+    assert {"xa", " xa", " é"} <= encoder.memory.keys()
