@@ -102,6 +102,12 @@ def _rings(fps: DataFrame) -> DataFrame:
     )
 
 
+def _shuffled(rings: DataFrame) -> DataFrame:
+    """Joined by a shuffle: Spark sizes unfolded rows by the table that they come from, a fraction of what they
+    take, and would send them through the driver."""
+    return rings.hint("merge")
+
+
 def _pivot_links(fps: DataFrame, max_bits: int) -> DataFrame:
     """Links of members of a bucket to one of its members, in several rounds with other pivots."""
     members, links = _rings(fps.select("fp")), None
@@ -113,7 +119,7 @@ def _pivot_links(fps: DataFrame, max_bits: int) -> DataFrame:
             .drop("n")
         )
         found = (
-            members.join(pivots, ["turn", "key"])
+            _shuffled(members).join(pivots, ["turn", "key"])
             .where((F.col("fp") != F.col("pivot")) & (_distance("fp", "pivot") <= max_bits))
             .select("fp", "pivot")
         )
@@ -165,7 +171,7 @@ def _cross_links(fps: DataFrame, max_bits: int) -> DataFrame:
         .withColumn("lane", F.when(F.col("main").isNull(), 0).when(inside, 2).otherwise(1))
         .select("turn", "key", "lane", "flip", "ring", "root", "fp")
     )
-    pair = probe.join(index, ["turn", "key", "lane"]).where(
+    pair = probe.join(_shuffled(index), ["turn", "key", "lane"]).where(
         (F.col("root") != F.col("root_b"))
         & ((F.col("flip") != 0) | (F.col("fp") < F.col("fp_b")) | (F.col("lane") != 0))
         & _chain_holds(F.col("ring"), F.col("ring_b"), max_bits)

@@ -1,5 +1,6 @@
 """SimHash groups and repeated lines against brute force."""
 
+import itertools
 import random
 import re
 
@@ -84,6 +85,24 @@ def test_close_fingerprints_in_every_bit(spark):
     assert got == want
 
 
+def test_unfolded_rings_are_not_broadcast(spark, folder):
+    """Spark sizes them by the table of fingerprints, which is small here as it is at some sizes of the job."""
+    draw = random.Random(3)
+    prints = [p - (1 << 63) for p in (draw.getrandbits(64) for _ in range(300))]
+    prints += [p ^ 1 for p in prints[:50]]
+    spark.createDataFrame([(p, p) for p in prints], "fp long, root long").write.parquet(folder("prints"))
+    fps = spark.read.parquet(folder("prints"))
+    for links in (simhash._pivot_links(fps, 4), simhash._cross_links(fps, 4)):
+        links.collect()
+        ran = links._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].split("\n")
+        depth = lambda line: len(re.match(r"[\s:+*()\d-]*", line)[0])
+        sent = [i for i, line in enumerate(ran) if re.match(r"[\s:+-]*BroadcastExchange", line)]
+        for i in sent:
+            inside = itertools.takewhile(lambda line, top=depth(ran[i]): depth(line) > top, ran[i + 1 :])
+            assert not any("Generate" in line for line in inside)
+        assert any("SortMergeJoin" in line for line in ran)
+
+
 def test_simhash_edges(edge):
     rows = [(r.doc_id, r.text) for r in edge.collect()]
     check_groups(simhash.near_duplicates(edge, 4, 4), rows, 4)
