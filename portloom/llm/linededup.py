@@ -244,15 +244,17 @@ def _packed(sets: DataFrame, buckets: int, part: int, asked: bytes | None) -> Da
     )
 
 
-def _narrow_pairs(sets: DataFrame, threshold: float, part: int, asked: bytes | None = None) -> DataFrame:
+def _narrow_pairs(
+    sets: DataFrame, threshold: float, part: int, buckets: int, asked: bytes | None = None, late_of: bytes | None = None
+) -> DataFrame:
     """Pairs (a, b), the earlier set last, within the groups of words of at most ``common`` occurrences:
-    the earliest partner that each set has in a bucket of words, or all of them in the words of ``asked``.
+    the earliest partner that each set has in a bucket of words, or in the words of ``asked`` all of
+    them whose later set has its slot in ``late_of``.
 
     The rows of a bucket are sorted by word and size; each is compared with the following ones of its
     group up to the largest size that may match, for all groups at once."""
     first_only = asked is None
-    most = sets.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0] // PARTS
-    buckets = 1 + most // BUCKET_ROWS
+    sent = None if first_only else sets.sparkSession.sparkContext.broadcast(late_of)
 
     def compare(found: pa.Table) -> pa.Table:
         raw = [np.frombuffer(b.as_buffer(), np.uint8).reshape(_ROW.itemsize, -1).T for b in found.column("rows")]
@@ -277,7 +279,10 @@ def _narrow_pairs(sets: DataFrame, threshold: float, part: int, asked: bytes | N
         same = doc[i] == doc[j]
         after = (doc[i] > doc[j]) | (same & ((line[i] > line[j]) | ((line[i] == line[j]) & (key[i] > key[j]))))
         late, early = np.where(after, i, j), np.where(after, j, i)
-        if first_only:
+        if not first_only:
+            open_ = np.frombuffer(sent.value, np.uint8)[slot_of(key[late].view(np.uint64))] > 0
+            late, early = late[open_], early[open_]
+        else:
             order = np.lexsort((key[early], line[early], doc[early], key[late]))
             late, early = late[order], early[order]
             new = np.append(True, key[late][1:] != key[late][:-1])[: len(late)]
@@ -289,17 +294,31 @@ def _narrow_pairs(sets: DataFrame, threshold: float, part: int, asked: bytes | N
     return packed.groupBy("bucket").applyInArrow(compare, "a long, b long, doc long, line int")
 
 
-def _narrow_words(sets: DataFrame) -> bytes:
-    """A table of the slots of the sets' narrow prefix words."""
+def _key_slots(keys: DataFrame) -> bytes:
+    """A table of the slots of the keys."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
         for batch in batches:
-            _, word, _, wide = _flat_lists(batch)
-            total[word[~wide] >> np.uint32(32 - SLOT_BITS)] = 1
+            total[slot_of(batch.column("key").to_numpy().view(np.uint64))] = 1
         return total
 
-    return slot_table(sets.select("words", "at", "wide"), count, lambda n: np.ones(len(n), dtype=np.uint8))
+    return slot_table(keys.select("key"), count, lambda n: np.ones(len(n), dtype=np.uint8))
+
+
+def _narrow_words(sets: DataFrame, late_of: bytes) -> bytes:
+    """A table of the slots of the narrow prefix words of the sets whose key has its slot in ``late_of``."""
+    sent = sets.sparkSession.sparkContext.broadcast(late_of)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
+        for batch in batches:
+            of, word, _, wide = _flat_lists(batch)
+            open_ = np.frombuffer(sent.value, np.uint8)[slot_of(batch.column("key").to_numpy().view(np.uint64))] > 0
+            total[word[~wide & open_[of]] >> np.uint32(32 - SLOT_BITS)] = 1
+        return total
+
+    return slot_table(sets.select("key", "words", "at", "wide"), count, lambda n: np.ones(len(n), dtype=np.uint8))
 
 
 def _wide_pairs(late: DataFrame, wide: DataFrame, threshold: float) -> DataFrame:
@@ -315,15 +334,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     other's word by word. A key stands for its line; the lines are read from the documents again."""
     pairs = staged(pairs.distinct(), "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-
-    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
-        for batch in batches:
-            total[slot_of(batch.column("key").to_numpy().view(np.uint64))] = 1
-        return total
-
-    flags = slot_table(wanted, count, lambda n: np.ones(len(n), dtype=np.uint8))
-    sent = docs.sparkSession.sparkContext.broadcast(flags)
+    sent = docs.sparkSession.sparkContext.broadcast(_key_slots(wanted))
     schema = T.StructType(
         [
             T.StructField("doc", T.LongType()),
@@ -389,8 +400,9 @@ def repeated_sets(sets: DataFrame, docs: DataFrame, threshold: float) -> DataFra
     # each set that may have earlier partners is verified with the first of them
     open_ = wide.join(decided, "key", "left_anti").select(wide.columns)
     tried = _wide_pairs(open_, wide, threshold)
+    buckets = 1 + sets.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0] // PARTS // BUCKET_ROWS
     for part in range(PARTS):
-        tried = tried.unionAll(staged(_narrow_pairs(sets, threshold, part), "narrow-pairs"))
+        tried = tried.unionAll(staged(_narrow_pairs(sets, threshold, part, buckets), "narrow-pairs"))
     tried = staged(tried.groupBy("a").agg(F.min_by("b", F.struct("doc", "line", "b")).alias("b")), "first-partners")
     found = staged(decided.unionAll(_verified(tried.select("a", "b"), docs, threshold)).distinct(), "found")
 
@@ -398,10 +410,11 @@ def repeated_sets(sets: DataFrame, docs: DataFrame, threshold: float) -> DataFra
     rest = staged(tried.select(F.col("a").alias("key")).join(found, "key", "left_anti"), "rest")
     if rest.isEmpty():
         return found
-    asked = _narrow_words(sets.join(rest, "key", "left_semi"))
+    late_of = _key_slots(rest)
+    asked = _narrow_words(sets, late_of)
     pairs = _wide_pairs(wide.join(rest, "key", "left_semi").select(wide.columns), wide, threshold)
     for part in range(PARTS):
-        pairs = pairs.unionAll(staged(_narrow_pairs(sets, threshold, part, asked), "narrow-pairs"))
+        pairs = pairs.unionAll(staged(_narrow_pairs(sets, threshold, part, buckets, asked, late_of), "narrow-pairs"))
     pairs = pairs.join(rest.select(F.col("key").alias("a")), "a", "left_semi").select("a", "b")
     return found.unionAll(_verified(pairs, docs, threshold)).distinct()
 

@@ -13,17 +13,21 @@ _VISIBLE = (~np.isin(_BYTES, [32, *range(9, 14)])).astype(np.uint8)
 _LETTERS = (_BYTES >= 128) | np.isin(_BYTES | 32, range(97, 123))
 _KIND = np.where(_LETTERS, 1, np.where(np.isin(_BYTES, range(48, 58)), 2, 3)).astype(np.uint8) * _VISIBLE
 _LETTER = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * 2 + 1
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_powers = np.ones(1, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
 
 
-def _power(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        more = np.full(max(n, 64), _BASE)
+def _power(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers; those for a block are kept, more are made for a long line alone."""
+    found = _powers.get(base)
+    if found is None or len(found) < n:
+        more = np.full(max(n, BLOCK_BYTES + 1), base, dtype=np.uint64)
         more[0] = 1
-        _powers = np.multiply.accumulate(more)
-    return _powers
+        found = np.multiply.accumulate(more)
+        if n <= BLOCK_BYTES + 1:
+            _powers[base] = found
+    return found[:n]
 
 
 def mixed(h: np.ndarray, by: int) -> np.ndarray:
@@ -37,20 +41,20 @@ def line_words(block: bytes, by_kind: bool = False) -> tuple[np.ndarray, np.ndar
     """Line number and hash of every word of a block of lines; ``by_kind`` also parts letters,
     digits and other signs."""
     chars = np.frombuffer(block, np.uint8)
-    kind = (_KIND if by_kind else _VISIBLE)[chars]
-    visible = kind > 0
-    begins = visible.copy()
-    begins[1:] &= kind[1:] != kind[:-1]
-    at = np.flatnonzero(visible)
-    if not len(at):
+    kind = (_KIND if by_kind else _VISIBLE).take(chars)
+    edges = np.concatenate(([0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(kind)]))
+    runs = np.flatnonzero(kind[edges[:-1]]) if len(kind) else np.empty(0, np.int64)
+    if not len(runs):
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    starts = np.flatnonzero(begins)
-    first = np.flatnonzero(begins[at])  # of each word among the visible characters
-    sizes = np.diff(np.append(first, len(at)))
-    inside = np.arange(len(at)) - np.repeat(first, sizes)
-    h = np.add.reduceat(_LETTER[chars[at]] * _power(int(sizes.max()))[inside], first)
-    line = np.cumsum(chars == 10)[starts]
-    return line, mixed(h + sizes.astype(np.uint64), 0x94D049BB133111EB)
+    starts, ends = edges[runs], edges[runs + 1]
+    # sums of letters by powers of their places in the block; a word's own begin at the power of its start
+    sums = np.zeros(len(chars) + 1, np.uint64)
+    np.multiply(_LETTER.take(chars), _power(_BASE, len(chars)), out=sums[1:])
+    np.cumsum(sums, out=sums)
+    h = (sums[ends] - sums[starts]) * _power(_INVERSE, len(chars))[starts]
+    before = np.searchsorted(starts, np.flatnonzero(chars == 10))
+    line = np.repeat(np.arange(len(before) + 1), np.diff(before, prepend=0, append=len(starts)))
+    return line, mixed(h + (ends - starts).astype(np.uint64), 0x94D049BB133111EB)
 
 
 def blocks(texts: Iterable[str | None]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:

@@ -7,7 +7,7 @@ import re
 import pytest
 import xxhash
 
-from portloom.llm import linededup, simhash
+from portloom.llm import linededup, linewords, simhash
 from portloom.llm.components import components
 from portloom.llm.queries import QUERIES
 
@@ -229,3 +229,33 @@ def test_verified_lines_are_shuffled_whole(spark):
     found = linededup._verified(pairs, docs, 0.8)
     assert "words_a" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [r["key"] for r in found.collect()] == [key[2]]
+
+
+def test_second_round_pairs_open_sets_only(spark):
+    """Of a group of like lines, only the pairs whose later line is still open are made again."""
+    lines = [" ".join([*(f"w{k}" for k in range(19)), f"x{i}"]) for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc long, text string").selectExpr("doc", "xxhash64(text) AS tie", "text")
+    sets = linededup._line_sets(docs, linededup.word_levels(docs), 0.8, 5, 512)
+    open_ = sets.where("doc in (7, 20)").select("key")
+    late_of = linededup._key_slots(open_)
+    asked = linededup._narrow_words(sets, late_of)
+    found = [linededup._narrow_pairs(sets, 0.8, p, 1, asked, late_of) for p in range(linededup.PARTS)]
+    keys = {r[0] for r in open_.collect()}
+    assert {r["a"] for f in found for r in f.collect()} == keys
+    partners = {(r["a"], r["doc"]) for f in found for r in f.collect()}
+    assert len(partners) == 7 + 20
+
+
+def test_word_hashes_do_not_depend_on_the_place(monkeypatch):
+    """Words at any place, blocks beyond the kept powers included, have the hash that they have alone."""
+    monkeypatch.setattr(linewords, "_powers", {})
+    monkeypatch.setattr(linewords, "BLOCK_BYTES", 16)
+    words = ["a", "ab", "ba", "long-word", "\u00e9", "x1!y", "ab"] * 9
+    text = "\n \n".join(" ".join(words[i : i + 5]) for i in range(0, len(words), 5))
+    line, h = linewords.line_words(text.encode())
+    alone = [linewords.line_words(w.encode())[1][0] for w in words]
+    assert h.tolist() == alone and len(set(alone)) == 6
+    assert line.tolist() == [2 * (i // 5) for i in range(len(words))]
+    assert all(len(kept) <= 17 for kept in linewords._powers.values())
+    for blank in (b"", b"\n", b" \n "):
+        assert [x.tolist() for x in linewords.line_words(blank)] == [[], []]
