@@ -266,6 +266,19 @@ def test_reachability_keeps_its_rounds_as_tables(spark):
     assert rows(found) == [("a", "a", 0), ("a", "b", 1), ("a", "c", 2)]
 
 
+def test_names_get_their_numbers_without_a_join(spark, monkeypatch):
+    from portloom.operators import closure
+
+    edges = spark.createDataFrame([("a", "bb"), ("bb", "cc"), ("cc", "d"), ("d", "bb"), ("a", None), ("x", "y")], "src string, dst string")
+    seeds = spark.createDataFrame([("a",), ("q",), (None,)], "node string")
+    want = [("a", "a", 0), ("a", "bb", 1), ("a", "cc", 2), ("a", "d", 3), ("q", "q", 0)]
+    joined = []
+    monkeypatch.setattr(closure, "_numbered", lambda df, *rest, f=closure._numbered: joined.append(1) or f(df, *rest))
+    assert rows(reachability(edges, seeds)) == want and not joined
+    monkeypatch.setattr(closure, "_digest", F.length)  # names that share a digest are told apart all the same
+    assert rows(reachability(edges, seeds)) == want and len(joined) == 3
+
+
 def test_stored_leaves_the_session_as_it_was(spark):
     before = spark.conf.get(CLEANUP_CONF, None)
     df = spark.range(5).selectExpr("id % 2 AS k", "id").groupBy("k").count()

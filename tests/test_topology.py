@@ -198,6 +198,15 @@ def test_code_collision_keeps_first_type_and_smallest_owner(spark):
     assert got["SX1_NOR_A_PRO"].main_equipment_code == "E3"
 
 
+def test_a_known_number_of_ports_is_not_counted(built, monkeypatch):
+    ports, orgs, nodes, edges = built
+    asked = []
+    monkeypatch.setattr(G, "shuffles_for", lambda spark, n, f=G.shuffles_for: asked.append(n) or f(spark, n))
+    assert rows(G.nodes(ports, orgs, most_rows=10**6)) == rows(nodes)
+    assert rows(G.edges(ports, orgs, most_rows=10**6 + 1)) == rows(edges)
+    assert asked == [10**6, 10**6 + 1]
+
+
 def test_reachability_from_chamber_to_duct(built):
     _, _, nodes, edges = built
     reached = G.pipe_reachability(nodes, edges).where("root = 'AX10_A_PRO'").collect()
